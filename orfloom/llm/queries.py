@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
+from orfloom.llm.urls import judge_urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    profiles = fit_language_profiles(docs, where=~held_out)
+    found = predict_language(docs.select("doc_id", held_out.alias("held_out"), "text"), profiles)
+    return found.drop("text")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), VOCABULARY), digests=True)
 
@@ -23,8 +43,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
+
+
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_token_files": op4_token_files,
     "op8_token_counts": op8_token_counts,
+    "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {}
