@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
@@ -35,6 +36,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), VOCABULARY), digests=True)
 
@@ -49,6 +58,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
