@@ -10,6 +10,7 @@ from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
+from orfloom.llm.topk import top_k
 from orfloom.llm.urls import judge_urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +29,10 @@ URL_RULES = [
 ]
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -57,6 +62,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_top_k": op1_top_k,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
