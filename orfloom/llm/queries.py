@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orfloom.llm.decontaminate import decontaminate
+from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
@@ -53,6 +54,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), VOCABULARY), digests=True)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
 }
