@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
+from orfloom.llm.lm import lm_scores
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
 from orfloom.llm.topk import top_k
@@ -54,6 +55,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), VOCABULARY), digests=True)
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op6_lm_scores": op6_lm_scores,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
