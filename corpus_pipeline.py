@@ -1,10 +1,78 @@
-"""Training-corpus pipeline over ``documents``; filled in as its stages are built."""
+"""Training-corpus pipeline over ``documents``: five stages, each a written table.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
+last return the columns of ``documents``.  An empty table passes through; extra
+columns of ``docs`` are kept.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orfloom.llm.decontaminate import decontaminate
+from orfloom.llm.jaccard import jaccard_classes
+from orfloom.llm.language import UNDETERMINED, fit_language_profiles, predict_language
+from orfloom.llm.mixing import mix_sources
+from orfloom.llm.queries import MIX_WEIGHTS, VOCABULARY, mix_levels
+from orfloom.llm.storage import stored
+from orfloom.llm.token_files import read_token_files, write_token_files
+
+#: Cosine under which a text resembles no language of the corpus at all.
+LEAST_LANGUAGE_SCORE = 0.05
+#: Share of the tokens that the mixture keeps.
+MIX_FRACTION = 0.9
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter and texts like no language go; a null ``lang`` is filled."""
+    profiles = fit_language_profiles(docs)
+    found = predict_language(docs, profiles).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document of the smallest id stays; a row that is repeated stays once."""
+    stay = jaccard_classes(docs).where("component_id = doc_id").select("doc_id").distinct()
+    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; a document of which no word is left goes."""
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), cleaned=True)
+    found = found.where("n_hit = 0 or n_hit < n_words")
+    cut = F.col("n_hit") > 0
+    found = found.withColumn("n_chars", F.when(cut, F.length("clean_text").cast("long")).otherwise(F.col("n_chars")))
+    return found.withColumn("text", F.when(cut, F.col("clean_text")).otherwise(F.col("text"))).select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come down to their weights; no document is repeated."""
+    return mix_sources(docs, mix_levels(), MIX_WEIGHTS, fraction=MIX_FRACTION, max_epochs=1).select(*docs.columns)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in ascending id; a row for each document, read back from them."""
+    return read_token_files(write_token_files(docs, VOCABULARY), digests=True)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
+]
+
+#: The language profiles cannot be written in SQL; a test compares the stages with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order over ``documents``, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs, f"pipeline-{name}")
+    return docs

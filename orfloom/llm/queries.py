@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.lm import lm_scores
+from orfloom.llm.mixing import mix_sources, words
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
 from orfloom.llm.topk import top_k
@@ -55,6 +56,22 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), VOCABULARY), digests=True)
 
 
+#: The mixture's weights by level: domain, language, source; 1 where none is given.
+MIX_WEIGHTS = [{"domain0": 2.0}, {"en": 2.0}, {"src0": 2.0}]
+
+
+def mix_levels() -> list[Column]:
+    """The tables have no domain: sources are dealt into three."""
+    domain = F.concat(F.lit("domain"), F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(3)).cast("string"))
+    return [domain, F.col("lang"), F.col("source")]
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mix_sources(docs, mix_levels(), MIX_WEIGHTS, fraction=0.8, max_epochs=2, seed=11)
+    return mixed.select("doc_id", "epoch", "lang", "source", words(F.col("text")).alias("n_tokens"))
+
+
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     return lm_scores(table(spark, sf_dir, "documents"), ~held_out)
@@ -77,6 +94,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_mixing": op5_mixing,
     "op6_lm_scores": op6_lm_scores,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
