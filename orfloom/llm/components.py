@@ -17,7 +17,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star links each node's larger neighbours to its least neighbour,
     small-star its smaller ones; both only shuffle edges, the least neighbour
     is a pre-aggregated minimum, and a hub's edges are joined to its one row,
-    which adaptive skew handling splits.  Every round is a written table.
+    which adaptive skew handling splits.  Every round, one of each, is a
+    written table.
     Loops, repeated edges and nulls are fine; no edges give no rows.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
@@ -27,7 +28,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large-star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         state = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")

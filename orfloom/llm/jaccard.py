@@ -10,10 +10,11 @@ that a passage which many documents share makes no long columns.
 1. *Sets*: distinct n-grams of each document, a 64-bit name of the whole set
    (copies collapse there), and the count sketch.
 2. *Columns*: prefix n-grams that at least two sets have.
-3. *Rows*: sets with such an n-gram, with their whole content, written once.
+3. *Rows*: the places of those n-grams in the sets that have them.
 4. *Hubs*: in every column each set is paired with one hub of its size class;
-   each set keeps the hub it shares most columns with, and the pair is counted
-   exactly.  That joins large groups of near copies without their pairs.
+   each set keeps the hub it shares most columns with, and where these could
+   be enough the pair is counted exactly on the whole sets.  That joins large
+   groups of near copies without their pairs; what it misses is left to 5.
 5. *Product*: what is left: pairs of a column that are not connected yet, their
    overlaps accumulated over columns, pairs under the size-derived bound
    discarded, the others counted exactly.
@@ -31,13 +32,13 @@ from pyspark.sql import functions as F
 
 from orfloom.llm.components import components
 from orfloom.llm.storage import stored
-from orfloom.llm.text import SPACE_WORDS, binary_column, hashed_words, mix, slices
+from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
 #: Counters of the sketch and bits of the column filter: fixed sizes, broadcast.
 SKETCH_BITS, FILTER_BITS = 22, 27
 _BLOCK = 1 << 16
-#: Rounds of hubs before the product.
-HUB_ROUNDS = 2
+#: Rounds of hubs before the product; a further one only where columns hold more than so many sets on average.
+HUB_ROUNDS, DENSE = 3, 20
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -162,6 +163,11 @@ def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (m >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (m & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
 
 
+def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    one, two = _bits(keys)
+    return (bits[one >> 3] >> (7 - (one & 7)) & 1) & (bits[two >> 3] >> (7 - (two & 7)) & 1)
+
+
 def _column_filter(keys: DataFrame) -> np.ndarray:
     """A Bloom filter of fixed size over all keys; exact membership is settled by a join later."""
     width = _BLOCK * 8
@@ -191,40 +197,60 @@ def _column_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _rows(docs: DataFrame, size: int, num: int, den: int, classes, columns) -> DataFrame:
-    """Sets with a prefix n-gram in the filter: those keys with their place, the last prefix key, and the whole set."""
+    """Sets with a prefix n-gram in the filter: those keys with their place, and the last prefix key."""
 
     def run(batches):
         seen: set[int] = set()
         order, bits = classes.value, columns.value
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("sid", "n", "last", "keys", "places", "content")}
+            out: dict[str, list] = {k: [] for k in ("sid", "n", "last", "keys", "places")}
             for _, _, raw, offsets in slices(batch.column(1)):
                 for s in shingle_sets(raw, offsets, size):
                     if not len(s) or (sid := set_names(s)[0]) in seen:
                         continue
                     seen.add(sid)
                     prefix = ordered_prefix(s, order, num, den)
-                    one, two = _bits(prefix)
-                    place = np.flatnonzero((bits[one >> 3] >> (7 - (one & 7)) & 1) & (bits[two >> 3] >> (7 - (two & 7)) & 1))
+                    place = np.flatnonzero(_in_filter(bits, prefix))
                     if len(place):
                         out["sid"].append(sid)
                         out["n"].append(len(s))
                         out["last"].append(int(prefix[-1]))
                         out["keys"].append(prefix[place].view(np.int64))
                         out["places"].append(place.astype(np.int32))
-                        out["content"].append(s.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["sid"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["last"], pa.int64()), pa.array(out["keys"], pa.list_(pa.int64())), pa.array(out["places"], pa.list_(pa.int32())), pa.array(out["content"], pa.binary())],
+                [pa.array(out["sid"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["last"], pa.int64()), pa.array(out["keys"], pa.list_(pa.int64())), pa.array(out["places"], pa.list_(pa.int32()))],
                 names=list(out),
             )
 
-    found = docs.mapInArrow(run, "sid long, n long, last long, keys array<long>, places array<int>, content binary")
-    return stored(found.dropDuplicates(["sid"]), "shingle-rows")  # a set that several tasks met is one row
+    found = docs.mapInArrow(run, "sid long, n long, last long, keys array<long>, places array<int>")
+    return found.dropDuplicates(["sid"])  # a set that several tasks met is one row
+
+
+def _contents(docs: DataFrame, size: int, names) -> DataFrame:
+    """``(sid, content)`` of the sets whose name is in the filter."""
+
+    def run(batches):
+        seen: set[int] = set()
+        bits = names.value
+        for batch in batches:
+            sids, contents = [], []
+            for _, _, raw, offsets in slices(batch.column(1)):
+                for s in shingle_sets(raw, offsets, size):
+                    if not len(s) or (sid := set_names(s)[0]) in seen or not _in_filter(bits, np.array([sid], np.int64).view(np.uint64))[0]:
+                        continue
+                    seen.add(sid)
+                    sids.append(sid)
+                    contents.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
+
+    return docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"])
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose sets meet the threshold, counted exactly."""
-    sets = rows.select("sid", "content")
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose sets meet the threshold, counted exactly; only sets of the pairs are read out of the documents."""
+    pairs = stored(pairs, "pairs")
+    names = docs.sparkSession.sparkContext.broadcast(_column_filter(pairs.select(F.explode(F.array("a", "b")).alias("key"))))
+    sets = _contents(docs, size, names)
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("content").alias("x")), "a")
     both = left.join(sets.select(F.col("sid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -252,22 +278,37 @@ def _labelled(columns: DataFrame, labels: DataFrame | None) -> DataFrame:
     return stored(named.join(open_keys, "key"), "columns")
 
 
-def _hub_pairs(columns: DataFrame, seed: int) -> DataFrame:
-    """For each set the hub, of its own or the next smaller size class, that it shares most columns with."""
-    turn = F.struct(F.xxhash64("comp", F.lit(seed)).alias("h"), F.col("comp").alias("comp"), F.col("sid").alias("hub"))
-    hubs = columns.groupBy("key", "bucket").agg(F.min(turn).alias("hub")).select("key", "bucket", F.col("hub.hub").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+def _rest(n: Column, num: int, den: int) -> Column:
+    """N-grams of a set behind its prefix."""
+    return F.ceil(n * num / den - F.lit(1e-9)) - 1
+
+
+def _enough(num: int, den: int) -> tuple[Column, Column]:
+    """(overlap that sizes ``n_a``, ``n_b`` need, most n-grams that a pair can share behind the prefix that ends first)."""
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * num / (num + den) - F.lit(1e-9))
+    return need, F.when(F.col("last_a") <= F.col("last_b"), _rest(F.col("n_a"), num, den)).otherwise(_rest(F.col("n_b"), num, den))
+
+
+def _hub_pairs(columns: DataFrame, seed: int, num: int, den: int) -> DataFrame:
+    """For each set the hub, of its own or the next smaller size class, that it shares most columns with, if those could be enough."""
+    turn = F.struct(F.xxhash64("comp", F.lit(seed)).alias("h"), "comp", "sid", "n", "last")
+    hubs = columns.groupBy("key", "bucket").agg(F.min(turn).alias("hub"))
+    hubs = hubs.select("key", "bucket", *(F.col(f"hub.{c}").alias(f"{c}_a") for c in ("sid", "comp", "n", "last")))
     wide = hubs.unionByName(hubs.withColumn("bucket", F.col("bucket") + 1))
-    pairs = columns.join(wide, ["key", "bucket"]).where("comp <> hub_comp").groupBy("sid", "hub").agg(F.count("*").alias("shared"))
-    best = pairs.groupBy("sid").agg(F.max(F.struct("shared", "hub")).alias("best"))
-    return best.select(F.col("best.hub").alias("a"), F.col("sid").alias("b"))
+    rows = columns.select("key", "bucket", *(F.col(c).alias(f"{c}_b") for c in ("sid", "comp", "n", "last")))
+    pairs = rows.join(wide, ["key", "bucket"]).where("comp_a <> comp_b").groupBy("sid_b", "sid_a", "n_a", "n_b", "last_a", "last_b").agg(F.count("*").alias("shared"))
+    need, behind = _enough(num, den)
+    best = pairs.where(F.col("shared") + behind >= need).groupBy("sid_b").agg(F.max(F.struct("shared", "sid_a")).alias("best"))
+    return best.select(F.col("best.sid_a").alias("a"), F.col("sid_b").alias("b"))
 
 
 def _product_pairs(columns: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of different components with their accumulated overlaps, those under the bound discarded."""
+
     def side(name: str) -> DataFrame:
         return columns.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("sid", "comp", "n", "place", "last")))
 
-    need = F.ceil((F.col("n_a") + F.col("n_b")) * num / (num + den) - F.lit(1e-9))
+    need, behind = _enough(num, den)
     ahead = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     both = (
         side("a").join(side("b"), "key")
@@ -277,10 +318,6 @@ def _product_pairs(columns: DataFrame, num: int, den: int) -> DataFrame:
     )
     counted = both.groupBy("sid_a", "sid_b", "n_a", "n_b", "last_a", "last_b").agg(F.count("*").alias("shared"), F.max(ahead).alias("ahead"))
 
-    def rest(n: Column) -> Column:
-        return F.ceil(n * num / den - F.lit(1e-9)) - 1  # n-grams behind the prefix
-
-    behind = F.when(F.col("last_a") <= F.col("last_b"), rest(F.col("n_a"))).otherwise(rest(F.col("n_b")))
     # the first common n-gram has the whole overlap ahead of it
     return counted.where((F.col("ahead") >= need) & (F.col("shared") + behind >= need)).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
 
@@ -308,23 +345,24 @@ def jaccard_classes(
     prefixes = _prefixes(docs, size, num, den, classes)
     shared = stored(prefixes.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key"), "shared-columns")
     bits = spark.sparkContext.broadcast(_column_filter(shared))
-    content = _rows(docs, size, num, den, classes, bits)
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
-    flat = content.select("sid", "n", "last", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
+    flat = _rows(docs, size, num, den, classes, bits).select("sid", "n", "last", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
         "sid", "n", "last", F.col("k.keys").alias("key"), F.col("k.places").alias("place"), bucket.alias("bucket")
     )
-    columns = stored(flat.join(shared, "key"), "columns")
+    columns = _labelled(stored(flat.join(shared, "key"), "columns"), None)
     links, labels = [], None
     for turn in range(HUB_ROUNDS):
-        columns = _labelled(columns.drop("comp"), labels)
-        if turn and columns.isEmpty():
+        rows, pairs = columns.groupBy("key").agg(F.count("*").cast("double").alias("m")).agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
+        if not rows or (turn and pairs <= DENSE * rows):
             break
-        links.append(_linked(_hub_pairs(columns, turn), content, num, den))
+        links.append(_linked(_hub_pairs(columns, turn, num, den), docs, size, num, den))
         labels = components(_all(links))
-    columns = _labelled(columns.drop("comp"), labels)
+        columns = _labelled(columns.drop("comp"), labels)
     if not columns.isEmpty():
-        links.append(_linked(_product_pairs(columns, num, den), content, num, den))
+        links.append(_linked(_product_pairs(columns, num, den), docs, size, num, den))
         labels = components(_all(links))
+    if labels is None:
+        labels = components(spark.createDataFrame([], "a long, b long"))
     named = members.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "n", "sid", F.coalesce("component", "sid").alias("comp"))
     least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return named.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
