@@ -11,6 +11,7 @@ from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.lm import lm_scores
 from orfloom.llm.mixing import mix_sources, words
+from orfloom.llm.sql import ORACLES  # noqa: F401  (read beside QUERIES)
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
 from orfloom.llm.topk import top_k
@@ -100,4 +101,3 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {}
