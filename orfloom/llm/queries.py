@@ -11,6 +11,7 @@ from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.lm import lm_scores
 from orfloom.llm.mixing import mix_sources, words
+from orfloom.llm.quality import fit_quality, score_quality
 from orfloom.llm.sql import ORACLES  # noqa: F401  (read beside QUERIES)
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
@@ -86,6 +87,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("keep"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
@@ -99,5 +106,6 @@ QUERIES = {
     "op6_lm_scores": op6_lm_scores,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }

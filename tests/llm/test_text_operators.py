@@ -186,9 +186,11 @@ def near_copies():
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("rounds", [1, 3])
-def test_jaccard_classes(spark, monkeypatch, rounds):
+@pytest.mark.parametrize(("rounds", "column", "block"), [(0, 4, 3), (0, 64, 512), (1, 2, 7), (3, 64, 512)])
+def test_jaccard_classes(spark, monkeypatch, rounds, column, block):
     monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "DENSE_COLUMN", column)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
     monkeypatch.setattr(jaccard, "DENSE", 0)
     docs = near_copies()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_classes(table(spark, docs)).collect()}
@@ -352,3 +354,24 @@ def test_mixing(spark, monkeypatch):
                 want.update((i, t, full + 1) for i, t, _ in places[p])
     assert got == want
     assert mix_sources(df.where("false"), [F.col("g")], [{}]).count() == 0
+
+
+def test_quality(spark):
+    from orfloom.llm.quality import fit_quality, score_quality
+
+    rng = random.Random(15)
+    rows = []
+    for i in range(400):
+        good = i % 3 != 0
+        words = [rng.choice("the cat sat on mat and dog ran".split()) if good else rng.choice(["x###", "$$$", "a | b", "%%%"]) for _ in range(30)]
+        rows.append((i, " ".join(words), "en" if good else "xx", "s1" if good else "s2", "clash"))
+    rows += [(400, None, None, None, "x"), (401, "", "en", None, "x"), (402, "word " * 50_000, "en", "s1", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 400, 2)] + [(0, None), (None, 1)], "doc_id long, quality int")
+    model = fit_quality(df, labels)
+    got = {r["doc_id"]: r for r in score_quality(df, model).collect()}
+    assert len(got) == 403 and all(0 <= r["score"] <= 1 for r in got.values())
+    assert sum((got[i]["score"] >= 0.5) == (i % 3 != 0) for i in range(1, 400, 2)) >= 195
+    flat = fit_quality(df, labels.where("false"))
+    assert {r["score"] for r in score_quality(df, flat).collect()} == {0.5}
+    assert score_quality(df.where("false"), model).count() == 0
