@@ -300,3 +300,17 @@ def differential_region(kind: str | Column, isoform: str | Column, canonical: st
         .when(gap > 0, region(gap, "length_only"))
         .when(iso.isNotNull() & can.isNotNull(), region(F.length(long), "whole"))
     )
+
+
+def orf_from_start(transcript: str | Column, offset: str | Column) -> dict[str, Column]:
+    """The ORF that an external start opens on a spliced transcript (SC26), or the reason why there is none."""
+    t, at = F.upper(col(transcript)), col(offset)
+    codon = F.substr(t, at + 1, F.lit(3))
+    protein = translate(F.substr(t, at + 1))
+    stop = F.instr(protein, "*")
+    reason = (
+        F.when(t.isNull(), "no_transcript").when(at.isNull() | (at < 0) | (at + 3 > F.length(t)), "outside_transcript")
+        .when(~codon.isin(*START_CODONS), "not_a_start").when(stop == 0, "no_stop")
+    )
+    found = F.when(reason.isNull(), F.concat(F.lit("M"), F.substr(protein, F.lit(2), stop - 2)))
+    return {"codon": F.when(reason.isNull(), codon), "protein": found, "aa_len": F.length(found), "rejected": reason}
