@@ -33,4 +33,41 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM r JOIN documents ON node = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
-ORACLES = {"op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}
+
+def _key(url: str) -> str:
+    """The name of a page in links, as ``urls.url_key`` makes it."""
+    plain = f"regexp_replace(trim({url}), '#(.|\\n)*$', '')"
+    head = f"regexp_extract({plain}, '^([^:/?#]+://[^/?#]*)', 1)"
+    return f"({_LOWER.format(head)} || substr({plain}, length({head}) + 1))"
+
+
+def _rule(host: str, path: str, what: str) -> str:
+    rules = [("example.org/en/1", "example.org", "/en/1", "block"), ("example.org/es/", "example.org", "/es/", "block"), ("com/de/", "com", "/de/", "block"), ("com/fr/", "com", "/fr/", "allow"), ("org/", "org", "/", "allow")]
+    cases = " ".join(f"WHEN ({host} = '{h}' OR suffix({host}, '.{h}')) AND starts_with({path}, '{p}') THEN '{name if what == 'rule' else verdict}'" for name, h, p, verdict in rules)
+    return f"CASE {cases} END"
+
+
+_REST = "CASE WHEN strpos({0}, '://') > 0 THEN substr({0}, strpos({0}, '://') + 3) ELSE '' END"
+_QUOTE = "[\"'']?"
+_LINK = "([^\"''\\s>]+)"
+_FOLDER = "nullif(regexp_extract(u, '^([^:/?#]+://[^/?#]*/(?:[^?#]*/)?)', 1), '')"
+
+OP10 = f"""
+WITH RECURSIVE p AS (SELECT page_id, {_key("url")} AS node, coalesce({_REST.format("url")}, '') AS rest FROM pages),
+h AS (SELECT page_id, node, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+t AS (
+  SELECT url AS u, trim(coalesce(nullif(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*{_QUOTE}canonical\\b[^>]*?\\bhref\\s*=\\s*{_QUOTE}{_LINK}', 1), ''),
+    regexp_extract(html, '(?is)<link\\b[^>]*?\\bhref\\s*=\\s*{_QUOTE}{_LINK}[^>]*\\brel\\s*=\\s*{_QUOTE}canonical\\b', 1))) AS l FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
+  UNION ALL
+  SELECT url, trim(regexp_extract(html, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*{_QUOTE}refresh\\b[^>]*?\\bcontent\\s*=\\s*{_QUOTE}[^"''>]*?url\\s*=\\s*{_QUOTE}{_LINK}', 1)) FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+g AS (SELECT u, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN starts_with(l, '//') THEN regexp_extract(u, '^([^:/?#]+:)//', 1) || l
+  WHEN starts_with(l, '/') THEN regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || l ELSE coalesce({_FOLDER}, regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || '/') || l END AS v FROM t WHERE l <> '' AND NOT starts_with(l, '#')),
+d AS (SELECT DISTINCT {_key("u")} AS a, {_key("v")} AS b FROM g),
+e AS (SELECT a, b FROM d WHERE a <> b UNION SELECT b, a FROM d WHERE a <> b),
+r(node, peer) AS (SELECT a, a FROM e UNION SELECT e.b, r.peer FROM r JOIN e ON e.a = r.node),
+k AS (SELECT node, peer, coalesce({_REST.format("peer")}, '') AS rest FROM r),
+c AS (SELECT node, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM k),
+s AS (SELECT node, CASE WHEN bool_or(w = 'allow') THEN 'allow' WHEN bool_or(w = 'block') THEN 'block' ELSE 'allow' END AS shared FROM (SELECT node, {_rule("host", "path", "verdict")} AS w FROM c) GROUP BY 1)
+SELECT page_id, host, path, {_rule("host", "path", "rule")} AS rule, coalesce({_rule("host", "path", "verdict")}, shared, 'allow') AS verdict FROM h LEFT JOIN s USING (node)"""
+
+ORACLES = {"op10_url_filter": OP10, "op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}

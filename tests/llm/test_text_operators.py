@@ -375,3 +375,22 @@ def test_quality(spark):
     flat = fit_quality(df, labels.where("false"))
     assert {r["score"] for r in score_quality(df, flat).collect()} == {0.5}
     assert score_quality(df.where("false"), model).count() == 0
+
+
+def test_url_sql_follows_links(spark, tmp_path):
+    import duckdb
+
+    from orfloom.llm.queries import op10_url_filter
+    from orfloom.llm.sql import ORACLES
+
+    rows = [
+        (1, "http://a.net/x#f", '<link rel="canonical" href="/y">'), (2, "http://A.net/y", None), (3, "http://b.com/de/1", "<link href=http://a.net/y rel=canonical>"), (4, None, "<p>"), (5, "nope", ""),
+        (6, "http://v.net/d/e?q", '<META http-equiv="refresh" content="5;URL=f">'), (7, "http://v.net/d/f", "<link rel=canonical href=//w.com/de/9>"), (8, "http://k.example.org/es/", ""), (9, "http://z.org", ""),
+    ]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = op10_url_filter(spark, str(tmp_path)).collect()
+    db = duckdb.connect()
+    db.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = db.execute(f"select page_id, host, path, rule, verdict from ({ORACLES['op10_url_filter']})").fetchall()
+    assert sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == sorted(want)
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == {1, 2, 3, 6, 7, 8}
