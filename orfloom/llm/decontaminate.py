@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.text import ALNUM_WORDS, LOWER, hashed_words, slices, span_hashes, word_spans
+from orfloom.llm.text import ALNUM_WORDS, LOWER, hashed_words, slices, span_hashes, with_text, word_spans
 
 #: Benchmark text that is broadcast; a larger one is to be applied in parts.
 MOST_BENCHMARK_BYTES = 64 << 20
 #: Every so many positions of the shard's sequence a suffix position is kept.
 SAMPLE = 16
 #: Text of one shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 class WaveletMatrix:
@@ -209,8 +209,8 @@ def decontaminate(
     fewer); a word of a text inside any occurrence of a window is hit.
     ``items``: ids, sorted as strings, of the items with a window in the text;
     ``spans``: merged byte ranges from the first to the last of adjacent hit
-    words.  With ``cleaned``, ``clean_text`` is the text without its spans
-    (null where the text is null).  Null and empty texts and items have no
+    words.  With ``cleaned``, ``clean_text`` is the text without its spans,
+    for the rows that have any (else null).  Null and empty texts and items have no
     words; items without an id are left out; an empty benchmark hits nothing.
     Columns of ``df`` with the names of the results are replaced.
     """
@@ -222,40 +222,36 @@ def decontaminate(
     keep = [f for f in df.schema.fields if f.name not in names]
     span_type = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
+    rows, at = with_text(df, [f.name for f in keep], text)
+
     def run(batches):
         known = windows.value
         for batch in batches:
-            column = batch.column(len(keep))
-            n_words, n_hit = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            items: list[list[str]] = [[] for _ in range(batch.num_rows)]
-            spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            changed: dict[int, str] = {}
-            for lo, hi, raw, offsets in slices(column, SHARD_BYTES):
+            for lo, hi, raw, offsets in slices(batch.column(at), SHARD_BYTES):
                 low = LOWER[raw]
                 starts, ends, first = word_spans(low, offsets, ALNUM_WORDS)
                 hit, doc, item = search_shard(span_hashes(low, starts, ends), first, known)
-                n_words[lo:hi] = np.diff(first)
                 total = np.concatenate([[0], np.cumsum(hit)])
-                n_hit[lo:hi] = total[first[1:]] - total[first[:-1]]
+                n_hit = total[first[1:]] - total[first[:-1]]
+                items: list[list[str]] = [[] for _ in range(hi - lo)]
+                spans: list[list[dict]] = [[] for _ in range(hi - lo)]
+                clean: list[str | None] = [None] * (hi - lo)
                 for d, i in zip(doc.tolist(), item.tolist(), strict=True):  # in the order of names: sorted
-                    items[lo + d].append(known.names[i])
-                for d in np.flatnonzero(n_hit[lo:hi]):
+                    items[d].append(known.names[i])
+                for d in np.flatnonzero(n_hit).tolist():
                     mine = np.flatnonzero(hit[first[d] : first[d + 1]]) + first[d]
                     cut = np.flatnonzero(np.diff(mine) > 1)
                     a = starts[mine[np.concatenate([[0], cut + 1])]] - offsets[d]
                     b = ends[mine[np.append(cut, len(mine) - 1)]] - offsets[d]
-                    spans[lo + d] = [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)]
+                    spans[d] = [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)]
                     if cleaned:
                         whole = raw[offsets[d] : offsets[d + 1]].tobytes()
                         parts = zip([0, *b.tolist()], [*a.tolist(), len(whole)], strict=True)
-                        changed[lo + int(d)] = b"".join(whole[x:y] for x, y in parts).decode("utf-8")
-            out = [pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(span_type))]
-            if cleaned:
-                texts = column.to_pylist() if changed else None
-                for i, t in changed.items():
-                    texts[i] = t
-                out.append(pa.array(texts, pa.string()) if changed else column.cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *out], names=[*(f.name for f in keep), *names])
+                        clean[d] = b"".join(whole[x:y] for x, y in parts).decode("utf-8")
+                out = [pa.array(np.diff(first)), pa.array(n_hit.astype(np.int64)), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(span_type))]
+                if cleaned:
+                    out.append(pa.array(clean, pa.string()))
+                piece = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(len(keep))), *out], names=[*(f.name for f in keep), *names])
 
-    rows = df.select(*(F.col(f"`{f.name}`") for f in keep), F.col(f"`{text}`").alias("__text"))
     return rows.mapInArrow(run, T.StructType([*keep, *added]))

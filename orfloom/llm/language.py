@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.text import slices
+from orfloom.llm.storage import bounded_batches
+from orfloom.llm.text import slices, with_text
 
 DIMENSIONS = 512
 #: Symbols of the alphabet: 0 stands for all that is no letter, the letters share the others by their code point.
@@ -34,7 +35,9 @@ TRIGRAMS = SYMBOLS**3
 MOST_LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Trigrams of a text block that are turned into vectors at once.
-BLOCK = 8192
+BLOCK = 4096
+#: Bytes of text handled at once.
+SLICE = 1 << 20
 
 _symbols: np.ndarray | None = None
 _vectors: dict[tuple[int, int], np.ndarray] = {}
@@ -119,6 +122,7 @@ def fit_language_profiles(
     collected are trigram counts, bounded by languages times the alphabet's
     trigrams, whatever the number of documents.
     """
+    bounded_batches(df.sparkSession)
     rows = df.where(F.col(lang).isNotNull())
     rows = rows.where(where) if where is not None else rows
 
@@ -126,7 +130,7 @@ def fit_language_profiles(
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = np.asarray(batch.column(1).to_pylist(), dtype=object)
-            for lo, hi, raw, offsets in slices(batch.column(0)):
+            for lo, hi, raw, offsets in slices(batch.column(0), SLICE):
                 row, code, n, _ = _trigrams(raw, offsets)
                 names = labels[lo:hi]
                 for name in set(names):
@@ -136,7 +140,7 @@ def fit_language_profiles(
                     total[name] += np.bincount(code[mine], weights=n[mine], minlength=TRIGRAMS).astype(np.int64)
         for name, counts in total.items():
             code = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(code)), pa.array(code), pa.array(counts[code])], names=["lang", "code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), pa.string()), pa.array(code), pa.array(counts[code])], names=["lang", "code", "n"])
 
     counts = (
         rows.select(F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string"))
@@ -178,33 +182,41 @@ def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "tex
     schema = T.StructType([*keep, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shipped = df.sparkSession.sparkContext.broadcast(profiles)  # languages x dimensions numbers
 
+    rows, at = with_text(df, [f.name for f in keep], text)
+
     def run(batches):
         profiles = shipped.value
         labels = np.array([UNDETERMINED, *profiles.languages], dtype=object)
         for batch in batches:
-            pred, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for lo, hi, raw, offsets in slices(batch.column(len(keep)), 1 << 20):
+            for lo, hi, raw, offsets in slices(batch.column(at), SLICE):
+                pred, score = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
                 row, code, n, has = _trigrams(raw, offsets)
-                if not profiles.languages or not len(row):
-                    continue
-                known, which = np.unique(code, return_inverse=True)
-                bundles = np.zeros((hi - lo, profiles.dimensions), dtype=np.float32)
-                for i in range(0, len(known), BLOCK):
-                    mine = (which >= i) & (which < i + BLOCK)
-                    width = min(BLOCK, len(known) - i)
-                    vectors = trigram_vectors(known[i : i + width], profiles.dimensions, profiles.seed)
-                    for top in range(0, hi - lo, 256):
-                        here = mine & (row >= top) & (row < top + 256)
-                        dense = np.zeros((min(256, hi - lo - top), width), dtype=np.float32)
-                        dense[row[here] - top, which[here] - i] = n[here]
-                        bundles[top : top + 256] += dense @ vectors
-                norm = np.linalg.norm(bundles, axis=1)
-                cosine = bundles @ profiles.prototypes.T.astype(np.float32) / np.where(norm > 0, norm, 1)[:, None]
-                best = cosine.argmax(axis=1)
-                pred[lo:hi] = np.where(has, best + 1, 0)
-                score[lo:hi] = np.where(has, np.clip(cosine[np.arange(hi - lo), best].astype(np.float64), 0, 1), 0)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(labels[pred], pa.string()), pa.array(score)], names=[*(f.name for f in keep), *names]
-            )
-
-    return df.select(*(F.col(f"`{f.name}`") for f in keep), F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+                if profiles.languages and len(row):
+                    bundles = _bundles(row, code, n, hi - lo, profiles)
+                    norm = np.linalg.norm(bundles, axis=1)
+                    cosine = bundles @ profiles.prototypes.T.astype(np.float32) / np.where(norm > 0, norm, 1)[:, None]
+                    best = cosine.argmax(axis=1)
+                    pred = np.where(has, best + 1, 0)
+                    score = np.where(has, np.clip(cosine[np.arange(hi - lo), best].astype(np.float64), 0, 1), 0)
+                piece = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece.column(i) for i in range(len(keep))), pa.array(labels[pred], pa.string()), pa.array(score)], names=[*(f.name for f in keep), *names]
+                )
+
+    return rows.mapInArrow(run, schema)
+
+
+def _bundles(row: np.ndarray, code: np.ndarray, n: np.ndarray, rows: int, profiles: LanguageProfiles) -> np.ndarray:
+    """Bundled trigram vectors of each row, by blocks of distinct trigrams."""
+    known, which = np.unique(code, return_inverse=True)
+    bundles = np.zeros((rows, profiles.dimensions), dtype=np.float32)
+    for i in range(0, len(known), BLOCK):
+        mine = (which >= i) & (which < i + BLOCK)
+        width = min(BLOCK, len(known) - i)
+        vectors = trigram_vectors(known[i : i + width], profiles.dimensions, profiles.seed)
+        for top in range(0, rows, 256):
+            here = mine & (row >= top) & (row < top + 256)
+            dense = np.zeros((min(256, rows - top), width), dtype=np.float32)
+            dense[row[here] - top, which[here] - i] = n[here]
+            bundles[top : top + 256] += dense @ vectors
+    return bundles

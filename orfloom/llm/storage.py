@@ -12,6 +12,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a batch that goes to Python, at most: whole texts are long.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ``BATCH_ROWS``, so that a task holds megabytes of text and not tens of them."""
+    if not 0 < int(spark.conf.get(_BATCH_CONF, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; only where it is unset (tests), a folder of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -12,6 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from orfloom.llm.storage import bounded_batches
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -21,6 +25,15 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def with_text(df: DataFrame, names: list[str], text: str) -> tuple[DataFrame, int]:
+    """``df``'s columns ``names`` and, only if it is not among them, the text; and where the text is."""
+    bounded_batches(df.sparkSession)
+    cols = [F.col(f"`{n}`") for n in names]
+    if text in names:
+        return df.select(*cols), names.index(text)
+    return df.select(*cols, F.col(f"`{text}`").alias("__text")), len(names)
+
+
 def _byte_set(*ranges: tuple[int, int]) -> np.ndarray:
     table = np.ones(256, dtype=bool)
     for lo, hi in ranges:
@@ -109,15 +122,3 @@ def hashed_words(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tup
     low = LOWER[buf]
     starts, ends, first = word_spans(low, offsets, table)
     return span_hashes(low, starts, ends), first
-
-
-def packed(parts: list[np.ndarray] | np.ndarray, type_: pa.DataType) -> pa.Array:
-    return pa.array(parts, type=type_)
-
-
-def binary_column(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """One binary value for each span of ``values``."""
-    width = values.dtype.itemsize
-    return pa.Array.from_buffers(
-        pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * width).astype(np.int64).tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())]
-    ).cast(pa.binary())

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orfloom.llm.storage import scratch, stored
+from orfloom.llm.storage import bounded_batches, scratch, stored
 from orfloom.llm.tokens import _encoded, vocabulary
 
 MANIFEST = "part long, path string, dtype string, n_docs long, n_ids long"
@@ -73,6 +73,7 @@ def write_token_files(
     its own; only those of the attempt that ended are in the manifest.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     folder = folder or scratch(spark, "token-files")
     dtype = id_type(vocabulary_path)
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("doc_id is not null")

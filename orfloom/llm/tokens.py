@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.text import SLICE_BYTES, slices
+from orfloom.llm.text import SLICE_BYTES, slices, with_text
 
 #: Distinct merged pre-tokens that a worker remembers.
 MEMORY = 400_000
@@ -262,13 +262,13 @@ def token_counts(df: DataFrame, vocabulary_path: str, text: str = "text", limit:
     schema = T.StructType([*kept, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
     keep = [f.name for f in kept]
 
+    rows, at = with_text(df, keep, text)
+
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("__text"))
+            column = batch.column(at)
             n = count_column(column, vocabulary_path)
             size = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), size, pa.array(n), pa.array(n > limit)], names=[*keep, *names]
-            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), size, pa.array(n), pa.array(n > limit)], names=[*keep, *names])
 
-    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
