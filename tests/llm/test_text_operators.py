@@ -191,7 +191,6 @@ def test_jaccard_classes(spark, monkeypatch, rounds, column, block):
     monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
     monkeypatch.setattr(jaccard, "DENSE_COLUMN", column)
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
-    monkeypatch.setattr(jaccard, "DENSE", 0)
     docs = near_copies()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_classes(table(spark, docs)).collect()}
     assert got == brute_classes(docs)
