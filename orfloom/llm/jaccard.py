@@ -11,13 +11,14 @@ that a passage which many documents share makes no long columns.
    (copies collapse there), and the count sketch.
 2. *Columns*: prefix n-grams that at least two sets have.
 3. *Rows*: the places of those n-grams in the sets that have them.
-4. *Hubs*: in every column each set is paired with one hub of its size class;
-   each set keeps the hub it shares most columns with, and where these could
-   be enough the pair is counted exactly on the whole sets.  That joins large
-   groups of near copies without their pairs; what it misses is left to 5.
-5. *Product*: what is left: pairs of a column that are not connected yet, their
-   overlaps accumulated over columns, pairs under the size-derived bound
-   discarded, the others counted exactly.
+4. *Hubs*: in every column of many sets each set is paired with one hub of its
+   size class; each set keeps the hub it shares most columns with, and where
+   these could be enough the pair is counted exactly on the whole sets.  That
+   joins large groups of near copies without their pairs.
+5. *Product*: columns of few sets are joined with themselves, those of many are
+   multiplied in dense blocks; overlaps are accumulated over columns, pairs
+   under the size-derived bound or already connected are discarded, the others
+   are counted exactly on the whole sets.
 6. Connected components over all exact links.
 """
 
@@ -26,19 +27,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orfloom.llm.components import components
-from orfloom.llm.storage import stored
+from orfloom.llm.storage import bounded_batches, stored
 from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
-#: Counters of the sketch and bits of the column filter: fixed sizes, broadcast.
-SKETCH_BITS, FILTER_BITS = 22, 27
+#: Counters of the sketch, broadcast: a fixed size.
+SKETCH_BITS = 22
+#: Bits of a filter: 16 for each key, at most 2^27 (16 MB).
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 19, 27
 _BLOCK = 1 << 16
-#: Rounds of hubs before the product; a further one only where columns hold more than so many sets on average.
-HUB_ROUNDS, DENSE = 3, 20
+#: Rounds of hubs over the columns of many sets before the product.
+HUB_ROUNDS = 2
+#: A column of more sets is hot: it goes to hubs and then is multiplied in dense blocks of so many rows.
+DENSE_COLUMN, BLOCK_ROWS = 64, 512
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -158,24 +164,24 @@ def _prefixes(docs: DataFrame, size: int, num: int, den: int, classes) -> DataFr
     return docs.mapInArrow(run, "key long, sid long")
 
 
-def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bits(keys: np.ndarray, width: int = MOST_FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
     m = mix(keys)
-    return (m >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (m & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return (m >> np.uint64(64 - width)).astype(np.int64), (m & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
 def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    one, two = _bits(keys)
+    one, two = _bits(keys, (len(bits) * 8).bit_length() - 1)
     return (bits[one >> 3] >> (7 - (one & 7)) & 1) & (bits[two >> 3] >> (7 - (two & 7)) & 1)
 
 
 def _column_filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over all keys; exact membership is settled by a join later."""
+    """A Bloom filter over all keys, of bounded size; exact membership is settled by a join later."""
+    size = min(max(LEAST_FILTER_BITS, (16 * keys.count()).bit_length()), MOST_FILTER_BITS)
     width = _BLOCK * 8
 
     def places(batches):
         for batch in batches:
-            one, two = _bits(batch.column(0).to_numpy().view(np.uint64))
-            both = np.unique(np.concatenate([one, two]))
+            both = np.unique(np.concatenate(_bits(batch.column(0).to_numpy().view(np.uint64), size)))
             yield pa.RecordBatch.from_arrays([pa.array((both // width).astype(np.int32)), pa.array((both % width).astype(np.int32))], names=["block", "bit"])
 
     def build(batches):
@@ -189,9 +195,9 @@ def _column_filter(keys: DataFrame) -> np.ndarray:
         for b, flags in blocks.items():
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["block", "bits"])
 
-    out = np.zeros(((1 << FILTER_BITS) // width, _BLOCK), dtype=np.uint8)
-    dealt = keys.mapInArrow(places, "block int, bit int").repartition(32, "block")
-    for row in dealt.mapInArrow(build, "block int, bits binary").collect():  # a fixed size in all
+    out = np.zeros(((1 << size) // width, _BLOCK), dtype=np.uint8)
+    dealt = keys.mapInArrow(places, "block int, bit int").repartition(len(out), "block")
+    for row in dealt.mapInArrow(build, "block int, bits binary").collect():  # at most 16 MB in all
         out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
     return out.ravel()
 
@@ -266,7 +272,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) ->
                 keep[i] = den * shared >= num * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    return stored(both.mapInArrow(run, "a long, b long").distinct(), "links")
+    links = stored(both.mapInArrow(run, "a long, b long").distinct(), "links")
+    names.destroy()
+    return links
 
 
 def _labelled(columns: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -289,10 +297,17 @@ def _enough(num: int, den: int) -> tuple[Column, Column]:
     return need, F.when(F.col("last_a") <= F.col("last_b"), _rest(F.col("n_a"), num, den)).otherwise(_rest(F.col("n_b"), num, den))
 
 
-def _hub_pairs(columns: DataFrame, seed: int, num: int, den: int) -> DataFrame:
-    """For each set the hub, of its own or the next smaller size class, that it shares most columns with, if those could be enough."""
-    turn = F.struct(F.xxhash64("comp", F.lit(seed)).alias("h"), "comp", "sid", "n", "last")
-    hubs = columns.groupBy("key", "bucket").agg(F.min(turn).alias("hub"))
+def _hub_pairs(columns: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """For each set the hub, of its own or the next smaller size class, that it shares most columns with, if those could be enough.
+
+    The hub of a column is first its best connected set, the likely original
+    of near copies; in later turns a pseudo-random one.
+    """
+    if turn == 0:
+        columns = columns.join(columns.groupBy("sid").agg((-F.sum("m")).alias("h")), "sid")
+    else:
+        columns = columns.withColumn("h", F.xxhash64("sid", F.lit(turn)))
+    hubs = columns.groupBy("key", "bucket").agg(F.min(F.struct("h", "sid", "comp", "n", "last")).alias("hub"))
     hubs = hubs.select("key", "bucket", *(F.col(f"hub.{c}").alias(f"{c}_a") for c in ("sid", "comp", "n", "last")))
     wide = hubs.unionByName(hubs.withColumn("bucket", F.col("bucket") + 1))
     rows = columns.select("key", "bucket", *(F.col(c).alias(f"{c}_b") for c in ("sid", "comp", "n", "last")))
@@ -302,24 +317,82 @@ def _hub_pairs(columns: DataFrame, seed: int, num: int, den: int) -> DataFrame:
     return best.select(F.col("best.sid_a").alias("a"), F.col("sid_b").alias("b"))
 
 
-def _product_pairs(columns: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of different components with their accumulated overlaps, those under the bound discarded."""
+def _few_pairs(columns: DataFrame, hot: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs proposed by columns of few sets, their overlaps accumulated; hot columns count as if shared.
+
+    The first n-gram that a pair shares has the whole overlap ahead of it.
+    """
 
     def side(name: str) -> DataFrame:
-        return columns.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("sid", "comp", "n", "place", "last")))
+        return columns.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("sid", "n", "place", "last")))
 
     need, behind = _enough(num, den)
     ahead = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     both = (
         side("a").join(side("b"), "key")
-        .where("comp_a <> comp_b and (n_a < n_b or (n_a = n_b and sid_a < sid_b))")  # each pair once, the smaller set first
-        .where(F.col("n_a") * den >= F.col("n_b") * num)
-        .where(ahead + F.least("place_a", "place_b") >= need)
+        .where("n_a < n_b or (n_a = n_b and sid_a < sid_b)")  # each pair once, the smaller set first
+        .where((F.col("n_a") * den >= F.col("n_b") * num) & (ahead + F.least("place_a", "place_b") >= need))
     )
-    counted = both.groupBy("sid_a", "sid_b", "n_a", "n_b", "last_a", "last_b").agg(F.count("*").alias("shared"), F.max(ahead).alias("ahead"))
+    counted = both.groupBy("sid_a", "sid_b", "n_a", "n_b", "last_a", "last_b").agg(F.count("*").alias("shared"), F.max(ahead).alias("ahead")).where(F.col("ahead") >= need)
+    most = hot.groupBy("sid").agg(F.count("*").alias("hot"))
+    for x in "ab":
+        counted = counted.join(most.select(F.col("sid").alias(f"sid_{x}"), F.col("hot").alias(f"hot_{x}")), f"sid_{x}", "left")
+    hidden = F.least(F.coalesce("hot_a", F.lit(0)), F.coalesce("hot_b", F.lit(0)))
+    return counted.where(F.col("shared") + hidden + behind >= need).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
 
-    # the first common n-gram has the whole overlap ahead of it
-    return counted.where((F.col("ahead") >= need) & (F.col("shared") + behind >= need)).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
+
+def _many_pairs(hot: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of different components proposed by columns of many sets: dense blocks are multiplied inside tasks.
+
+    A pair is proposed by its first common column alone, with its overlap over all columns.
+    """
+    sizes = hot.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    many = hot.select("key", "sid", "comp").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    many = many.join(rows.select("sid", "n", "last", "keys", "places"), "sid").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    many = many.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+    def multiply(frame: pd.DataFrame) -> pd.DataFrame:
+        key, i, j = (int(frame[c].iloc[0]) for c in ("key", "i", "j"))
+        return pd.DataFrame(_block_product(frame[frame["block"] == i], frame[frame["block"] == j], i == j, key, num, den), columns=["a", "b"])
+
+    return many.groupBy("key", "i", "j").applyInPandas(multiply, "a long, b long")
+
+
+def _block_product(x: pd.DataFrame, y: pd.DataFrame, same: bool, key: int, num: int, den: int) -> np.ndarray:
+    """Pairs of two blocks of rows, by sums of columns: overlaps up to and before ``key``."""
+    if not len(x) or not len(y):  # a block that the hash left empty
+        return np.zeros((0, 2), dtype=np.int64)
+    names = np.unique(np.concatenate([np.concatenate(f["keys"].to_list()) for f in (x, y)]))
+
+    def dense(f: pd.DataFrame, lo: int, hi: int) -> np.ndarray:
+        out = np.zeros((len(f), hi - lo), dtype=np.float32)
+        for r, keys in enumerate(f["keys"]):
+            at = np.searchsorted(names, keys)
+            out[r, at[(at >= lo) & (at < hi)] - lo] = 1
+        return out
+
+    def place(f: pd.DataFrame) -> np.ndarray:
+        return np.array([p[np.searchsorted(k, key)] for k, p in zip(f["keys"], f["places"], strict=True)], dtype=np.int64)
+
+    total, before = (np.zeros((len(x), len(y)), dtype=np.float32) for _ in range(2))
+    split = int(np.searchsorted(names, key))
+    for lo in range(0, len(names), 2048):
+        hi = min(lo + 2048, len(names))
+        a, b = dense(x, lo, hi), dense(y, lo, hi)
+        total += a @ b.T
+        if split > lo:
+            before += a[:, : split - lo] @ b[:, : split - lo].T
+    nx, ny = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None, :]
+    need = -(-(nx + ny) * num // (num + den))
+    rest_x, rest_y = -(-nx * num // den) - 1, -(-ny * num // den) - 1
+    behind = np.where(x["last"].to_numpy()[:, None] <= y["last"].to_numpy()[None, :], rest_x, rest_y)
+    ahead = np.minimum(nx - place(x)[:, None], ny - place(y)[None, :])
+    ok = (before == 0) & (ahead >= need) & (total + behind >= need) & (np.minimum(nx, ny) * den >= np.maximum(nx, ny) * num)
+    ok &= x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
+    if same:
+        ok &= np.triu(np.ones(ok.shape, dtype=bool), 1)
+    r, c = np.nonzero(ok)
+    return np.column_stack([x["sid"].to_numpy()[r], y["sid"].to_numpy()[c]])
 
 
 def jaccard_classes(
@@ -338,31 +411,43 @@ def jaccard_classes(
     """
     num, den = threshold
     spark = df.sparkSession
+    bounded_batches(spark)
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     read = _read_sets(docs, size)
     members = read.where("block is null").select("doc_id", "n", "sid", "sid2")
     classes = spark.sparkContext.broadcast(_order_classes(read.where("block is not null").select("block", "counts")))
     prefixes = _prefixes(docs, size, num, den, classes)
-    shared = stored(prefixes.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key"), "shared-columns")
-    bits = spark.sparkContext.broadcast(_column_filter(shared))
+    counts = prefixes.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
+    shared = stored(counts.where("lo <> hi").select("key", "m"), "shared-columns")
+    bits = spark.sparkContext.broadcast(_column_filter(shared.select("key")))
+    rows = stored(_rows(docs, size, num, den, classes, bits), "shingle-rows")
+    for b in (classes, bits):
+        b.destroy()
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
-    flat = _rows(docs, size, num, den, classes, bits).select("sid", "n", "last", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
+    flat = rows.select("sid", "n", "last", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
         "sid", "n", "last", F.col("k.keys").alias("key"), F.col("k.places").alias("place"), bucket.alias("bucket")
     )
-    columns = _labelled(stored(flat.join(shared, "key"), "columns"), None)
+    columns = stored(flat.join(shared, "key"), "columns")
+    few, hot = columns.where(F.col("m") <= DENSE_COLUMN), columns.where(F.col("m") > DENSE_COLUMN)
     links, labels = [], None
+    still = _labelled(hot, None)
     for turn in range(HUB_ROUNDS):
-        rows, pairs = columns.groupBy("key").agg(F.count("*").cast("double").alias("m")).agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
-        if not rows or (turn and pairs <= DENSE * rows):
+        if still.isEmpty():
             break
-        links.append(_linked(_hub_pairs(columns, turn, num, den), docs, size, num, den))
+        links.append(_linked(_hub_pairs(still, turn, num, den), docs, size, num, den))
         labels = components(_all(links))
-        columns = _labelled(columns.drop("comp"), labels)
-    if not columns.isEmpty():
-        links.append(_linked(_product_pairs(columns, num, den), docs, size, num, den))
-        labels = components(_all(links))
-    if labels is None:
-        labels = components(spark.createDataFrame([], "a long, b long"))
+        still = _labelled(still.drop("comp"), labels)
+    pairs = _few_pairs(few, hot, num, den)
+    if labels is not None:
+        for x in "ab":
+            pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}")), x, "left")
+        pairs = pairs.where("coalesce(comp_a, a) <> coalesce(comp_b, b)").select("a", "b")
+        if not still.isEmpty():
+            pairs = pairs.unionByName(_many_pairs(still, rows, num, den)).distinct()
+    elif HUB_ROUNDS == 0:
+        pairs = pairs.unionByName(_many_pairs(still, rows, num, den)).distinct()
+    links.append(_linked(pairs, docs, size, num, den))
+    labels = components(_all(links))
     named = members.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "n", "sid", F.coalesce("component", "sid").alias("comp"))
     least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return named.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
