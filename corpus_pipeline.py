@@ -12,23 +12,29 @@ from pyspark.sql import functions as F
 
 from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.jaccard import jaccard_classes
-from orfloom.llm.language import UNDETERMINED, fit_language_profiles, predict_language
+from orfloom.llm.language import UNDETERMINED, fit_language_profiles, likeness_floors, predict_language
 from orfloom.llm.mixing import mix_sources
 from orfloom.llm.queries import MIX_WEIGHTS, VOCABULARY, mix_levels
 from orfloom.llm.storage import stored
 from orfloom.llm.token_files import read_token_files, write_token_files
 
-#: Cosine under which a text resembles no language of the corpus at all.
-LEAST_LANGUAGE_SCORE = 0.05
+#: A label gives way where another language's cosine is so many standard errors larger.
+CONFIDENT = 3
 #: Share of the tokens that the mixture keeps.
 MIX_FRACTION = 0.9
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter and texts like no language go; a null ``lang`` is filled."""
+    """Texts without a letter go, and texts less like their language than the floor set by all its labelled texts.
+
+    A null ``lang`` is filled; one that the text clearly contradicts is put right.
+    """
     profiles = fit_language_profiles(docs)
-    found = predict_language(docs, profiles).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    floors = likeness_floors(docs, profiles)
+    floor = F.coalesce(F.create_map(*(F.lit(x) for item in floors.items() for x in item))[F.col("lang_pred")], F.lit(0.0)) if floors else F.lit(0.0)
+    found = predict_language(docs, profiles, label="lang").where((F.col("lang_pred") != UNDETERMINED) & (F.col("likeness") >= floor))
+    wrong = F.col("score") - F.col("label_score") >= CONFIDENT * (2 / profiles.dimensions) ** 0.5
+    return found.withColumn("lang", F.when(F.col("lang").isNull() | wrong, F.col("lang_pred")).otherwise(F.col("lang"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

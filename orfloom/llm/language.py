@@ -111,6 +111,8 @@ class LanguageProfiles:
     prototypes: np.ndarray
     dimensions: int
     seed: int
+    #: Chance that two trigrams of a language are the same.
+    repeats: np.ndarray | None = None
 
 
 def fit_language_profiles(
@@ -157,29 +159,36 @@ def fit_language_profiles(
                 total = np.zeros(dimensions)
                 for i in range(0, len(code), BLOCK):
                     total += n[i : i + BLOCK] @ trigram_vectors(code[i : i + BLOCK], dimensions, seed)
-                out.append((name, total.tolist()))
-            yield pd.DataFrame(out, columns=["lang", "v"])
+                out.append((name, total.tolist(), float((n**2).sum() / n.sum() ** 2)))
+            yield pd.DataFrame(out, columns=["lang", "v", "repeats"])
 
-    found = counts.mapInPandas(bundle, "lang string, v array<double>").limit(MOST_LANGUAGES + 1).collect()  # a row for each language
+    found = counts.mapInPandas(bundle, "lang string, v array<double>, repeats double").limit(MOST_LANGUAGES + 1).collect()  # a row for each language
     if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} distinct languages")
-    found = sorted((r["lang"], r["v"]) for r in found)
-    matrix = np.array([v for _, v in found], dtype=np.float64).reshape(len(found), dimensions)
+    found = sorted((r["lang"], r["v"], r["repeats"]) for r in found)
+    matrix = np.array([v for _, v, _ in found], dtype=np.float64).reshape(len(found), dimensions)
     norm = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return LanguageProfiles([name for name, _ in found], matrix / np.where(norm > 0, norm, 1), dimensions, seed)
+    return LanguageProfiles([name for name, _, _ in found], matrix / np.where(norm > 0, norm, 1), dimensions, seed, np.array([x for _, _, x in found]))
 
 
-def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "text") -> DataFrame:
+def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "text", label: str | None = None) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (largest cosine, cut to 0..1) to every row, in one narrow pass.
 
     Only the text is looked at.  Null, empty and letterless texts, and all
     texts where nothing was learned, get ``und`` and 0.  Ties go to the
     language that sorts first.  Columns of ``df`` with the names of the
     results are replaced.
+
+    With a column ``label`` two more are added.  ``likeness``: how frequent the
+    text's trigrams are in ``lang_pred``, on average, as a share of what a text
+    of that language has; about 1 at any length for texts of the language and
+    near 0 for others.  ``label_score``: cosine with the labelled language
+    (null without a label, 0 for one that was not learned).
     """
-    names = ("lang_pred", "score")
+    names = ("lang_pred", "score") if label is None else ("lang_pred", "score", "likeness", "label_score")
     keep = [f for f in df.schema.fields if f.name not in names]
-    schema = T.StructType([*keep, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*keep, T.StructField("lang_pred", T.StringType()), *(T.StructField(n, T.DoubleType()) for n in names[1:])])
+    labelled = [f.name for f in keep].index(label) if label is not None else 0
     shipped = df.sparkSession.sparkContext.broadcast(profiles)  # languages x dimensions numbers
 
     rows, at = with_text(df, [f.name for f in keep], text)
@@ -187,9 +196,12 @@ def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "tex
     def run(batches):
         profiles = shipped.value
         labels = np.array([UNDETERMINED, *profiles.languages], dtype=object)
+        place = {name: k for k, name in enumerate(profiles.languages)}
         for batch in batches:
             for lo, hi, raw, offsets in slices(batch.column(at), SLICE):
-                pred, score = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
+                pred, score, like, own = np.zeros(hi - lo, np.int64), np.zeros(hi - lo), np.zeros(hi - lo), np.zeros(hi - lo)
+                piece = batch.slice(lo, hi - lo)
+                mine = np.array([-2 if x is None else place.get(x, -1) for x in piece.column(labelled).cast(pa.string()).to_pylist()], np.int64) if label is not None else None
                 row, code, n, has = _trigrams(raw, offsets)
                 if profiles.languages and len(row):
                     bundles = _bundles(row, code, n, hi - lo, profiles)
@@ -198,14 +210,26 @@ def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "tex
                     best = cosine.argmax(axis=1)
                     pred = np.where(has, best + 1, 0)
                     score = np.where(has, np.clip(cosine[np.arange(hi - lo), best].astype(np.float64), 0, 1), 0)
-                piece = batch.slice(lo, hi - lo)
+                    if label is not None:
+                        squares = np.bincount(row, weights=n.astype(np.float64) ** 2, minlength=hi - lo)
+                        all_of = np.bincount(row, weights=n, minlength=hi - lo)
+                        like = score * np.sqrt(squares) / np.maximum(1, all_of) / np.sqrt(profiles.repeats[best])
+                        own = np.where(has & (mine >= 0), cosine[np.arange(hi - lo), np.maximum(mine, 0)].astype(np.float64), 0)
+                more = [pa.array(like), pa.array(own, mask=mine == -2)] if label is not None else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(i) for i in range(len(keep))), pa.array(labels[pred], pa.string()), pa.array(score)], names=[*(f.name for f in keep), *names]
+                    [*(piece.column(i) for i in range(len(keep))), pa.array(labels[pred], pa.string()), pa.array(score), *more], names=[*(f.name for f in keep), *names]
                 )
 
     return rows.mapInArrow(run, schema)
 
 
+def likeness_floors(df: DataFrame, profiles: LanguageProfiles, text: str = "text", lang: str = "lang", quantile: float = 0.05, share: float = 0.3) -> dict[str, float]:
+    """For each language ``share`` of the low ``quantile`` of the likeness of all its labelled texts that are predicted as labelled."""
+    rows = df.where(F.col(lang).isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
+    found = predict_language(rows, profiles, label="lang").where("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("likeness", quantile).alias("low"))
+    return {r["lang"]: share * r["low"] for r in found.collect()}  # a row for each language
+
+
 def _bundles(row: np.ndarray, code: np.ndarray, n: np.ndarray, rows: int, profiles: LanguageProfiles) -> np.ndarray:
     """Bundled trigram vectors of each row, by blocks of distinct trigrams."""
     known, which = np.unique(code, return_inverse=True)
