@@ -34,8 +34,8 @@ CHUNK_BYTES = 4 << 20
 BLOCK_KEYS = 2_000_000
 #: Bits of the filter for each entry, probes for each level, and bytes broadcast at once.
 ENTRY_BITS, PROBES, SHARD_BYTES = 10, 4, 128 << 20
-#: Bigrams seen less often are left to the unigrams.
-LEAST_COUNT = 2
+#: Bigrams seen less often are left to the unigrams: at 1 none is.
+LEAST_COUNT = 1
 #: Weight of the bigram's share.
 WEIGHT = 0.4
 _START, _END = np.uint64(0x51A27B1D00000001), np.uint64(0x51A27B1D00000002)

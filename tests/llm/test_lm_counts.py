@@ -1,0 +1,28 @@
+"""op6_lm_scores takes every bigram of the training texts, those seen once too."""
+
+import collections
+import math
+import random
+import zlib
+
+import pytest
+
+
+def test_single_bigrams_count(spark, tmp_path):
+    from orfloom.llm.queries import op6_lm_scores
+
+    rng = random.Random(22)
+    docs = [(i, " ".join(f"w{rng.randint(0, 60)}" for _ in range(30))) for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["score"] for r in op6_lm_scores(spark, str(tmp_path)).collect()}
+    taught = [t for i, t in docs if zlib.crc32(str(i).encode()) % 10]
+    one = collections.Counter(w for t in taught for w in [*t.split(), None])
+    two = collections.Counter(p for t in taught for p in zip(["<s>", *t.split()], [*t.split(), None], strict=True))
+    assert sum(c == 1 for c in two.values()) > 500
+    n, v = sum(one.values()), len(one)
+    one["<s>"] = len(taught)
+    for i, t in docs:
+        pairs = list(zip(["<s>", *t.split()], [*t.split(), None], strict=True))
+        share = [min(1, 2 ** math.floor(math.log2(two[x])) / one[x[0]]) if two[x] else 0 for x in pairs]
+        want = sum(math.log10(0.6 * (one[w] + 0.1) / (n + 0.1 * (v + 1)) + 0.4 * s) for (_, w), s in zip(pairs, share, strict=True))
+        assert got[i] == pytest.approx(want, rel=0.02)
