@@ -2,13 +2,13 @@
 
 Two logistic classifiers see different things: the words and characters of a
 text, and what is known about the page around them (language, source, size,
-lines).  In each round either one labels the pool documents that it is surest
-of, and the other learns from them.  Both are then calibrated on labelled rows
-that neither has seen, combined, and every document is scored in a narrow pass.
+lines).  In each round either one labels the documents that it is surest of, and
+the other learns from them.  Both are then calibrated on labelled rows that
+neither has seen, combined, and every document is scored in a narrow pass.
 
-Fitting takes bounded samples, chosen by a hash of the id: ``LABELLED_ROWS``
-labelled and ``POOL_ROWS`` other documents.  Only their feature rows reach the
-driver.
+The labels are a bounded sample (``LABELLED_ROWS``), fitted on the driver.  The
+documents without one are all taken: their features are a written table, and
+counts of scores, moments, gradients and Hessians are summed over it in tasks.
 """
 
 from __future__ import annotations
@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.storage import bounded_batches
+from orfloom.llm.storage import bounded_batches, stored
 from orfloom.llm.text import LOWER, SPACE_WORDS, slices, span_hashes, with_text, word_spans
 
-#: Most rows (about) that the fit takes: a documented bound, the same at every size.
-LABELLED_ROWS, POOL_ROWS = 8000, 8000
+#: Most labelled rows (about) that the fit takes: a documented bound, the same at every size.
+LABELLED_ROWS = 8000
 ROUNDS, SURE, SHARE = 3, 0.95, 0.1
+NEWTON_STEPS = 15
+#: Steps of the counted scores (logits, -30 to 30) and tasks that add up partial sums.
+_STEPS, _SUM_TASKS = 60_000, 16
 _WORD_BUCKETS, _SOURCE_BUCKETS, _LANG_BUCKETS = 128, 32, 16
 _LINES = np.ones(256, dtype=bool)
 _LINES[0x0A] = False
@@ -92,20 +95,36 @@ def features(raw: np.ndarray, offsets: np.ndarray, langs: list[str | None], sour
 class Logistic:
     """Ridge logistic regression on standardised columns, by Newton steps."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 15):
-        self.mean, self.scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
-        w = np.zeros(z.shape[1])
-        penalty = np.full(z.shape[1], ridge)
-        penalty[-1] = 1e-6
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = NEWTON_STEPS):
+        self.start(x.mean(0), x.std(0), ridge)
         for _ in range(rounds):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            hessian = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(hessian, z.T @ (y - p) - penalty * w)
-            w += step
-            if np.abs(step).max() < 1e-6:
+            if self.step(self.derivatives(x, y)):
                 break
-        self.weights = w
+
+    def start(self, mean: np.ndarray, deviation: np.ndarray, ridge: float = 1.0) -> None:
+        self.mean, self.scale = mean, np.maximum(deviation, 1e-9)
+        self.weights = np.zeros(len(mean) + 1)
+        self.penalty = np.full(len(mean) + 1, ridge)
+        self.penalty[-1] = 1e-6
+
+    @classmethod
+    def at(cls, mean: np.ndarray, deviation: np.ndarray) -> Logistic:
+        """Not yet fitted: ``step`` takes sums that were made elsewhere."""
+        model = cls.__new__(cls)
+        model.start(mean, deviation)
+        return model
+
+    def derivatives(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradient and Hessian of the rows, in one flat array: sums over parts add up."""
+        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+        p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
+        return np.concatenate([z.T @ (y - p), ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
+
+    def step(self, sums: np.ndarray) -> bool:
+        n = len(self.weights)
+        step = np.linalg.solve(sums[n:].reshape(n, n) + np.diag(self.penalty), sums[:n] - self.penalty * self.weights)
+        self.weights = self.weights + step
+        return bool(np.abs(step).max() < 1e-6)
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1], -30, 30)
@@ -117,12 +136,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class QualityModel:
-    """Two views, their calibrations and the combination; without two classes only the base rate."""
+    """Two views, their calibrations and the combination; without two classes only the base rate.
+
+    ``given``: pseudo-labels that either view had from the other when it was last fitted.
+    """
 
     base: float
     views: tuple[Logistic, Logistic] | None = None
     calibration: tuple[Logistic, Logistic] | None = None
     combination: Logistic | None = None
+    given: tuple[int, int] = (0, 0)
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.views is None:
@@ -132,34 +155,114 @@ class QualityModel:
         return _sigmoid(own[0]), _sigmoid(own[1]), _sigmoid(self.combination.logit(np.column_stack(own)))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> QualityModel:
-    """y: labels of the first arrays' rows; the pool has none.  Every fourth row calibrates."""
+#: A round: its views, and for each the steps from which up it says 1 and down to which it says 0.
+Round = tuple[list[Logistic], list[tuple[int, int]]]
+_ONE, _ZERO = (int((30 + sign * np.log(SURE / (1 - SURE))) * _STEPS / 60) for sign in (1, -1))
+
+
+def _step_of(logits: np.ndarray) -> np.ndarray:
+    return np.minimum((logits + 30) * _STEPS / 60, _STEPS - 1).astype(np.int64)
+
+
+def _given(history: list[Round], x: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The labels that either view has from the other, the first one each; NaN: none."""
+    out = [np.full(len(x[0]), np.nan) for _ in range(2)]
+    for views, limits in history:
+        for k in range(2):
+            at, other = _step_of(views[k].logit(x[k])), out[1 - k]
+            said = np.where(at >= limits[k][0], 1.0, np.where(at <= limits[k][1], 0.0, np.nan))
+            out[1 - k] = np.where(np.isnan(other), said, other)
+    return out
+
+
+def _summed(pool: DataFrame, work, size: int) -> np.ndarray:
+    """Sum over all rows of ``pool`` of what ``work`` makes of the two views; parts add up in tasks, in a fixed order."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += work(tuple(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.float32).reshape(batch.num_rows, -1).astype(np.float64) for i in range(2)))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def add(batches):
+        rows = sorted((p, x) for b in batches for p, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        if rows:
+            total = np.zeros(size)
+            for _, x in rows:
+                total += np.frombuffer(x)
+            yield pa.RecordBatch.from_arrays([pa.array([rows[0][0]]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    parts = pool.mapInArrow(run, "part long, sums binary").repartition(_SUM_TASKS, F.col("part") % _SUM_TASKS).mapInArrow(add, "part long, sums binary")
+    total = np.zeros(size)
+    for r in sorted(parts.collect()):  # a few arrays of a fixed size
+        total += np.frombuffer(r["sums"])
+    return total
+
+
+def _limits(counts: np.ndarray, prior: float) -> tuple[int, int]:
+    """Steps of the surest ``SHARE`` of either class; equal scores go together."""
+    n = counts.sum()
+    up, down = np.cumsum(counts[::-1]), np.cumsum(counts)
+    hi = _STEPS - 1 - int(np.searchsorted(up, max(1, int(SHARE * prior * n))))
+    lo = int(np.searchsorted(down, max(1, int(SHARE * (1 - prior) * n))))
+    return max(hi, _ONE + 1), min(lo, _ZERO - 1)
+
+
+def _learn(pool: DataFrame, history: list[Round], x: tuple[np.ndarray, np.ndarray], y: np.ndarray) -> tuple[list[Logistic], tuple[int, int]]:
+    """Both views, fitted to the labelled rows and to all rows of the pool that have a label from the other view."""
+    base, width = [v.mean(0) for v in x], [v.shape[1] for v in x]
+
+    def split(sums: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+        return [sums[: sizes[0]], sums[sizes[0] :]]
+
+    def moments(k: int, rows: np.ndarray) -> np.ndarray:
+        d = rows - base[k]
+        return np.concatenate([[len(d)], d.sum(0), (d**2).sum(0)])
+
+    def pool_moments(v) -> np.ndarray:
+        given = _given(history, v)
+        return np.concatenate([moments(k, v[k][~np.isnan(given[k])]) for k in range(2)])
+
+    views, taken = [], []
+    for k, sums in enumerate(split(_summed(pool, pool_moments, 2 * sum(width) + 2), [2 * w + 1 for w in width])):
+        taken.append(int(sums[0]))
+        sums = sums + moments(k, x[k])
+        mean = sums[1 : width[k] + 1] / sums[0]
+        views.append(Logistic.at(base[k] + mean, np.sqrt(np.maximum(sums[width[k] + 1 :] / sums[0] - mean**2, 0))))
+    sizes = [(w + 1) * (w + 2) for w in width]
+    for _ in range(NEWTON_STEPS):
+
+        def derivatives(v) -> np.ndarray:
+            given = _given(history, v)
+            return np.concatenate([views[k].derivatives(v[k][(has := ~np.isnan(given[k]))], given[k][has]) for k in range(2)])
+
+        sums = split(_summed(pool, derivatives, sum(sizes)), sizes)
+        if all([views[k].step(sums[k] + views[k].derivatives(x[k], y)) for k in range(2)]):
+            break
+    return views, (taken[0], taken[1])
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: DataFrame) -> QualityModel:
+    """y: labels of the arrays' rows; the rows of ``pool`` (both views, float32) have none.  Every fourth labelled row calibrates."""
     held = np.arange(len(y)) % 4 == 3
     if len(y) < 8 or len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return QualityModel(float(y.mean()) if len(y) else 0.5)
-    x, pools = [text[~held], meta[~held]], [pool_text, pool_meta]
-    learn = [[x[k], y[~held]] for k in range(2)]
-    free = [np.ones(len(pool_text), dtype=bool) for _ in range(2)]
-    views = [Logistic(*learn[k]) for k in range(2)]
+    x, given = (text[~held], meta[~held]), (0, 0)
+    views = [Logistic(x[k], y[~held]) for k in range(2)]
+    history: list[Round] = []
     for _ in range(ROUNDS):
-        given = []
-        for k in range(2):
-            p, other = _sigmoid(views[k].logit(pools[k])), 1 - k
-            chosen = []
-            for label, sure in ((1, p), (0, 1 - p)):
-                prior = y.mean() if label else 1 - y.mean()
-                most = int(SHARE * prior * len(p))
-                best = np.argsort(-sure, kind="stable")[:most]
-                chosen.append(best[(sure[best] >= SURE) & free[other][best]])
-            given.append((other, np.concatenate(chosen), np.concatenate([np.ones(len(chosen[0])), np.zeros(len(chosen[1]))])))
-        for other, rows, labels in given:
-            free[other][rows] = False
-            learn[other] = [np.concatenate([learn[other][0], pools[other][rows]]), np.concatenate([learn[other][1], labels])]
-        views = [Logistic(*learn[k]) for k in range(2)]
+        counts = _summed(pool, lambda v, views=views: np.concatenate([np.bincount(_step_of(views[k].logit(v[k])), minlength=_STEPS) for k in range(2)]).astype(np.float64), 2 * _STEPS)
+        if not counts.any():
+            break
+        history.append((views, [_limits(counts[k * _STEPS : (k + 1) * _STEPS], y.mean()) for k in range(2)]))
+        views, given = _learn(pool, history, x, y[~held])
     raw = [views[k].logit((text, meta)[k][held]) for k in range(2)]
     calibration = [Logistic(r[:, None], y[held]) for r in raw]
     own = np.column_stack([c.logit(r[:, None]) for c, r in zip(calibration, raw, strict=True)])
-    return QualityModel(float(y.mean()), tuple(views), tuple(calibration), Logistic(own, y[held]))
+    return QualityModel(float(y.mean()), tuple(views), tuple(calibration), Logistic(own, y[held]), given)
 
 
 def _columns(df: DataFrame, lang: str, source: str) -> list:
@@ -167,19 +270,19 @@ def _columns(df: DataFrame, lang: str, source: str) -> list:
 
 
 def fit_quality(
-    df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", label: str = "quality", labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS
+    df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", label: str = "quality", labelled_rows: int = LABELLED_ROWS
 ) -> QualityModel:
-    """Co-trains on hash samples of about the given sizes.  Null labels and ids teach nothing; of repeated labels the largest counts."""
+    """Co-trains on a hash sample of about ``labelled_rows`` labels and on all other rows of ``df``.  Null labels and ids teach nothing; of repeated labels the largest counts."""
     bounded_batches(df.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).cast("double").alias("__y"))
-    n_known, n_all = known.count(), df.count()
+    n_known = known.count()
 
     def within(rows: int, total: int, salt: int):
         return F.pmod(F.xxhash64(F.col(doc_id), F.lit(salt)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, rows / max(1, total)))
 
     sample = known.where(within(labelled_rows, n_known, 1))  # bounded: at most about labelled_rows small rows
     rows = df.select(F.col(doc_id), F.col(f"`{text}`").alias("__text"), *(c.alias(n) for c, n in zip(_columns(df, lang, source), ("__lang", "__source"), strict=True)))
-    rows = rows.join(F.broadcast(sample), doc_id, "left").where(F.col("__y").isNotNull() | within(pool_rows, n_all, 2))
+    rows = rows.join(F.broadcast(sample), doc_id, "left")
 
     def run(batches):
         for batch in batches:
@@ -191,13 +294,12 @@ def fit_quality(
                 )
 
     order = F.xxhash64(F.col(doc_id), "__text")
-    got = rows.select("__text", "__lang", "__source", "__y", order).mapInArrow(run, "y double, h long, a binary, b binary").toPandas().sort_values(["h", "a"])
+    table = stored(rows.select("__text", "__lang", "__source", "__y", order).mapInArrow(run, "y double, h long, a binary, b binary"), "quality-features")
+    got = table.where("y is not null").toPandas().sort_values(["h", "a"])
     if not len(got):
         return QualityModel(0.5)
     a, b = (np.stack([np.frombuffer(x, np.float32) for x in got[c]]).astype(np.float64) for c in ("a", "b"))
-    y = got["y"].to_numpy(np.float64)
-    has = ~np.isnan(y)
-    return co_train(a[has], b[has], (y[has] > 0).astype(np.float64), a[~has], b[~has])
+    return co_train(a, b, (got["y"].to_numpy(np.float64) > 0).astype(np.float64), table.where("y is null").select("a", "b"))
 
 
 def score_quality(df: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
