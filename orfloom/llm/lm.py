@@ -2,19 +2,22 @@
 
 The corpus becomes a written table of token streams: a row for each chunk of
 documents, with the chunk's distinct words (as 64-bit hashes) and the tokens as
-places among them.  Two exchanges of packed blocks follow, neither of them
-with a row for each token:
+places among them.  Exchanges of packed blocks follow, none of them with a row
+for each token:
 
 * words: every chunk sends its distinct words and their training counts to the
   blocks of the hash range, which send the corpus-wide counts back;
-* bigrams: training counts are summed in blocks of their hash range; a block
-  keeps the log-quantised counts as a segment of the filter: a bigram counted
-  ``c`` times is entered with the levels ``1 .. 1 + floor(log2 c)``.
-
-The filter's segments are broadcast in shards of bounded size.  A scorer probes
-a bigram with level 1, 2, ... until the first miss.  The probability mixes the
-bigram's share of its first word with the smoothed unigram; a found bigram adds
-a term of its own, so scores of several shards add up.
+* bigrams: training counts, summed over some chunks, go to the blocks of their
+  hash range; a block keeps the log-quantised counts as a segment of the filter:
+  a bigram of level ``l`` is entered with the levels ``1 .. l``.
+
+The filter is broadcast, and a scorer probes a bigram with level 1, 2, ... until
+the first miss.  Only if all segments together pass ``BROADCAST_BYTES`` the
+probes travel instead: chunks send their distinct bigrams to the segments,
+which send the levels back.  Both ways give the same scores.
+
+The probability is the bigram's quantised count, smoothed with the unigram by a
+weight that depends on the count of the word before.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,55 +33,68 @@ from orfloom.llm.storage import bounded_batches, stored
 from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
 #: Text of a chunk, about.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Tokens whose bigrams are summed up before they are sent.
+SEND_TOKENS = 1_500_000
 #: Keys that a task of an exchange handles at once: the number of blocks follows from it.
 BLOCK_KEYS = 2_000_000
-#: Bits of the filter for each entry, probes for each level, and bytes broadcast at once.
-ENTRY_BITS, PROBES, SHARD_BYTES = 10, 4, 128 << 20
-#: Bigrams seen less often are left to the unigrams: at 1 none is.
-LEAST_COUNT = 1
-#: Weight of the bigram's share.
-WEIGHT = 0.4
+#: Bits of the filter for each entry, probes for each level, and bytes of a filter that is broadcast.
+ENTRY_BITS, PROBES, BROADCAST_BYTES = 10, 4, 128 << 20
+#: Pseudo-count of the unigram behind each word.
+PRIOR = 300.0
 _START, _END = np.uint64(0x51A27B1D00000001), np.uint64(0x51A27B1D00000002)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _KEY = np.uint64((1 << 40) - 1)
-_STREAM = "chunk long, ids binary, train binary, sizes binary, words binary, tokens binary"
+_TRAIN, _NO_ID = np.uint8(1), np.uint8(2)
+_STREAM = "chunk long, ids binary, flags binary, sizes binary, words binary, tokens binary"
+_STREAM_ARROW = pa.schema([("chunk", pa.int64()), *((c, pa.binary()) for c in ("ids", "flags", "sizes", "words", "tokens"))])
 
 
 def _streams(docs: DataFrame) -> DataFrame:
-    """A row for each chunk: document ids, which train, tokens of each, sorted distinct words, tokens as places in them."""
+    """A row for each chunk: document ids, flags and token counts, sorted distinct words, tokens as places in them."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, k = TaskContext.get().partitionId(), 0
+        chunk = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64) if batch.column(0).null_count else batch.column(0).to_numpy()
-            known = np.asarray(batch.column(0).is_valid())
-            ids = np.where(known, np.nan_to_num(ids), np.iinfo(np.int64).min).astype(np.int64) if batch.column(0).null_count else ids.astype(np.int64)
-            train = np.asarray(batch.column(1)).astype(np.uint8)
-            held: list[np.ndarray] = []
-            sizes: list[np.ndarray] = []
-            lo = taken = 0
-            for _, hi, raw, offsets in slices(batch.column(2)):
+            ids = pc.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flags = np.asarray(batch.column(1)) * _TRAIN + np.asarray(batch.column(0).is_null()) * _NO_ID
+            for lo, hi, raw, offsets in slices(batch.column(2), CHUNK_BYTES):
                 hashes, first = hashed_words(raw, offsets, SPACE_WORDS)
-                held.append(np.insert(hashes, first[1:], _END))
-                sizes.append((np.diff(first) + 1).astype(np.int32))
-                taken += len(raw)
-                if taken >= CHUNK_BYTES or hi == batch.num_rows:
-                    words, tokens = np.unique(np.concatenate(held), return_inverse=True)
-                    row = [(part << 40) + k, ids[lo:hi].tobytes(), train[lo:hi].tobytes(), np.concatenate(sizes).tobytes(), words.tobytes(), tokens.astype(np.uint32).tobytes()]
-                    held, sizes, lo, taken, k = [], [], hi, 0, k + 1
-                    yield pa.RecordBatch.from_pylist([dict(zip(_STREAM_ARROW.names, row, strict=True))], schema=_STREAM_ARROW)
+                words, tokens = np.unique(np.insert(hashes, first[1:], _END), return_inverse=True)
+                kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
+                parts = (ids[lo:hi], flags[lo:hi].astype(np.uint8), (np.diff(first) + 1).astype(np.int32), words, tokens.astype(kind))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], schema=_STREAM_ARROW)
+                chunk += 1
 
     return stored(docs.mapInArrow(run, _STREAM), "token-streams")
 
 
-_STREAM_ARROW = pa.schema([("chunk", pa.int64()), *((c, pa.binary()) for c in ("ids", "train", "sizes", "words", "tokens"))])
+class _Chunk:
+    """A row of the streams as arrays."""
+
+    def __init__(self, row: dict[str, pa.Scalar]):
+        def array(name, dtype):
+            return np.frombuffer(row[name].as_buffer(), dtype)
 
+        self.name = row["chunk"].as_py()
+        self.ids, self.flags, self.sizes, self.words = array("ids", np.int64), array("flags", np.uint8), array("sizes", np.int32).astype(np.int64), array("words", np.uint64)
+        self.tokens = array("tokens", np.uint16 if len(self.words) <= 1 << 16 else np.uint32)
+        self.train = (self.flags & _TRAIN) > 0
+        self.first = np.cumsum(self.sizes) - self.sizes
 
-def _array(value, dtype) -> np.ndarray:
-    return np.frombuffer(value.as_buffer() if isinstance(value, pa.BinaryScalar) else value, dtype)
+    def taught(self) -> np.ndarray:
+        """Whether each token is of a training text."""
+        return np.repeat(self.train, self.sizes)
+
+    def bigrams(self) -> np.ndarray:
+        """Hash of each token with the one before it, or with the start."""
+        h = self.words[self.tokens]
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        before[self.first] = _START
+        return mix(before * _ODD + h)
 
 
 def _rows_of(batches):
@@ -86,106 +103,123 @@ def _rows_of(batches):
             yield {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
 
 
+def _chunks_of(batches):
+    for row in _rows_of(batches):
+        yield _Chunk(row)
+
+
 def _block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     """Blocks are equal ranges of the upper 32 bits, so sorted keys fall into runs."""
     return ((keys >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
 
+def _cuts(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(blocks that have some of the sorted keys, where each block starts)."""
+    cut = np.searchsorted(_block_of(keys, blocks), np.arange(blocks + 1))
+    return np.flatnonzero(np.diff(cut)), cut
+
+
+def _binaries(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
 def _word_counts(streams: DataFrame, blocks: int) -> DataFrame:
-    """``(chunk, lo, counts)``: corpus-wide training counts of the chunk's words from place ``lo``; chunk -1: (distinct, all) of a block."""
+    """``(chunk, lo, width, counts)``: corpus-wide training counts of the chunk's words from place ``lo``; chunk -1: (distinct, all) of a block."""
 
     def send(batches):
-        for r in _rows_of(batches):
-            words, tokens = _array(r["words"], np.uint64), _array(r["tokens"], np.uint32)
-            teach = np.repeat(_array(r["train"], np.uint8), _array(r["sizes"], np.int32)).astype(bool)
-            counts = np.bincount(tokens[teach], minlength=len(words)).astype(np.uint32)
-            cut = np.searchsorted(_block_of(words, blocks), np.arange(blocks + 1))
-            some = np.flatnonzero(np.diff(cut))
+        for c in _chunks_of(batches):
+            counts = np.bincount(c.tokens[c.taught()], minlength=len(c.words)).astype(np.uint32)
+            some, cut = _cuts(c.words, blocks)
+            parts = [slice(cut[b], cut[b + 1]) for b in some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.full(len(some), r["chunk"].as_py())), pa.array(cut[some]),
-                 pa.array([words[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()), pa.array([counts[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary())],
+                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), _binaries([c.words[p].tobytes() for p in parts]), _binaries([counts[p].tobytes() for p in parts])],
                 names=["block", "chunk", "lo", "words", "counts"],
-            )
+            )
 
     def reply(frame: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(x, np.uint64) for x in frame["words"]]
         distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.zeros(len(distinct), dtype=np.uint64)
         np.add.at(total, at, np.concatenate([np.frombuffer(x, np.uint32) for x in frame["counts"]]).astype(np.uint64))
-        ends = np.cumsum([len(w) for w in words])[:-1]
-        back = [x.tobytes() for x in np.split(total[at], ends)]
         stats = np.array([(total > 0).sum(), total.sum()], dtype=np.uint64).tobytes()
-        return pd.DataFrame({"chunk": [*frame["chunk"], -1], "lo": [*frame["lo"], 0], "counts": [*back, stats]})
-
-    sent = streams.select("chunk", "train", "sizes", "words", "tokens").mapInArrow(send, "block long, chunk long, lo long, words binary, counts binary")
-    return stored(sent.groupBy("block").applyInPandas(reply, "chunk long, lo long, counts binary"), "word-counts")
+        width = 4 if total.max(initial=0) < 1 << 32 else 8
+        back = np.split(total.astype(f"<u{width}")[at], np.cumsum([len(w) for w in words])[:-1])
+        return pd.DataFrame({"chunk": [*frame["chunk"], -1], "lo": [*frame["lo"], 0], "width": [width] * len(words) + [8], "counts": [*(x.tobytes() for x in back), stats]})
 
-
-def _bigrams(words: np.ndarray, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it; ``first``: places where texts start."""
-    h = words[tokens]
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[first] = _START
-    return mix(before * _ODD + h)
+    sent = streams.mapInArrow(send, "block long, chunk long, lo long, words binary, counts binary")
+    return stored(sent.groupBy("block").applyInPandas(reply, "chunk long, lo long, width int, counts binary"), "word-counts")
 
 
 def _pack(keys: np.ndarray) -> bytes:
-    """40 bits of each key: its block settles the upper ones."""
+    """40 bits of each key: with its block they are its name."""
     return np.ascontiguousarray((keys & _KEY).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
-def _unpack(value: bytes) -> np.ndarray:
-    wide = np.zeros((len(value) // 5, 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(value, np.uint8).reshape(-1, 5)
+def _unpack(values: list[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(values), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(packed), 8), dtype=np.uint8)
+    wide[:, :5] = packed
     return wide.view("<u8").ravel()
 
 
-def _places(keys: np.ndarray, level: int, probe: int, size: np.ndarray | int) -> np.ndarray:
+def level_of(counts: np.ndarray) -> np.ndarray:
+    """Two levels for each power of two: counts from 1, 2, 3, 4, 6, 8, 12, ... have the levels 1, 2, 3, 4, 5, 6, 7, ..."""
+    power = np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
+    return np.where(counts > 0, np.maximum(1, 2 * power + (counts >= 1.5 * np.exp2(power))), 0)
+
+
+def least_count(levels: np.ndarray) -> np.ndarray:
+    """The smallest count of each level, 0 at level 0."""
+    return np.where(levels > 1, np.exp2(levels // 2) * (1 + 0.5 * (levels % 2)), levels)
+
+
+def _places(keys: np.ndarray, level: int, probe: int, size: np.ndarray | np.uint64) -> np.ndarray:
     salt = np.uint64((level * 64 + probe + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     return (mix(keys ^ salt) % size).astype(np.int64)
 
 
-def _filter_segments(streams: DataFrame, blocks: int, least: int) -> DataFrame:
+def _filter_segments(streams: DataFrame, blocks: int) -> DataFrame:
     """``(block, bits, filter)``: the log-frequency Bloom filter of each block's bigrams."""
 
+    def message(held: list[np.ndarray]):
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        some, cut = _cuts(keys, blocks)
+        once, often, times = [], [], []
+        for b in some:
+            k, c = keys[cut[b] : cut[b + 1]], counts[cut[b] : cut[b + 1]]
+            once.append(_pack(k[c == 1]))
+            often.append(_pack(k[c > 1]))
+            times.append(c[c > 1].astype(np.uint32).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(some), *map(_binaries, (once, often, times))], names=["block", "once", "often", "times"])
+
     def send(batches):
-        for r in _rows_of(batches):
-            words, tokens, sizes = _array(r["words"], np.uint64), _array(r["tokens"], np.uint32), _array(r["sizes"], np.int32)
-            h = _bigrams(words, tokens, np.cumsum(sizes) - sizes)
-            h = h[np.repeat(_array(r["train"], np.uint8), sizes).astype(bool)]
-            keys, counts = np.unique(h, return_counts=True)
-            cut = np.searchsorted(_block_of(keys, blocks), np.arange(blocks + 1))
-            some = np.flatnonzero(np.diff(cut))
-            once, often, times = [], [], []
-            for b in some:
-                k, c = keys[cut[b] : cut[b + 1]], counts[cut[b] : cut[b + 1]]
-                once.append(_pack(k[c == 1]))
-                often.append(_pack(k[c > 1]))
-                times.append(c[c > 1].astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x, pa.binary()) for x in (once, often, times))], names=["block", "once", "often", "times"])
+        held, size = [], 0
+        for c in _chunks_of(batches):
+            held.append(c.bigrams()[c.taught()])
+            size += len(held[-1])
+            if size >= SEND_TOKENS:
+                yield message(held)
+                held, size = [], 0
+        if size:
+            yield message(held)
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = [_unpack(x) for x in frame["once"]]
-        n_once = sum(map(len, keys))
-        keys = np.concatenate([*keys, *(_unpack(x) for x in frame["often"])])
-        counts = np.ones(len(keys), dtype=np.int64)
-        counts[n_once:] = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["times"]])
-        order = np.argsort(keys, kind="stable")
+        once = _unpack(list(frame["once"]))
+        keys = np.concatenate([once, _unpack(list(frame["often"]))])
+        counts = np.concatenate([np.ones(len(once), np.int64), np.frombuffer(b"".join(frame["times"]), np.uint32).astype(np.int64)])
+        order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
-        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        keys, counts = keys[start], np.add.reduceat(counts, start) if len(start) else counts
-        keys, counts = keys[counts >= least], counts[counts >= least]
-        levels = 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
+        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, levels = keys[start], level_of(np.add.reduceat(counts, start))
         size = max(64, -(-int(levels.sum()) * ENTRY_BITS // 64) * 64)
         bits = np.zeros(size, dtype=bool)
-        for level in range(1, int(levels.max(initial=0)) + 1):
+        for level in range(1, int(levels.max()) + 1):
             mine = keys[levels >= level]
             for probe in range(PROBES):
                 bits[_places(mine, level, probe, np.uint64(size))] = True
         return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "bits": [size], "filter": [np.packbits(bits).tobytes()]})
 
-    sent = streams.select("train", "sizes", "words", "tokens").mapInArrow(send, "block long, once binary, often binary, times binary")
+    sent = streams.mapInArrow(send, "block long, once binary, often binary, times binary")
     return stored(sent.groupBy("block").applyInPandas(build, "block long, bits long, filter binary"), "bigram-filter")
 
 
@@ -195,16 +229,20 @@ class LogFrequencyFilter:
     def __init__(self, blocks: int, segments: list[tuple[int, int, bytes]]):
         self.blocks = blocks
         self.size, self.start = np.zeros(blocks, dtype=np.uint64), np.zeros(blocks, dtype=np.int64)
+        self.data = np.empty(sum(bits // 8 for _, bits, _ in segments), dtype=np.uint8)
         at = 0
-        for block, bits, _ in segments:
+        for block, bits, data in segments:
             self.size[block], self.start[block] = bits, at
+            self.data[at : at + bits // 8] = np.frombuffer(data, np.uint8)
             at += bits // 8
-        self.data = np.frombuffer(b"".join(x for _, _, x in segments), np.uint8)
 
     def levels(self, bigrams: np.ndarray) -> np.ndarray:
-        """Level of each bigram: probes with 1, 2, ... up to the first miss; 0: not held."""
+        """Level of each bigram."""
+        return self.levels_in(_block_of(bigrams, self.blocks), bigrams)
+
+    def levels_in(self, block: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+        """Level of each bigram (its 40 bits are enough): probes with 1, 2, ... up to the first miss; 0: not held."""
         found = np.zeros(len(bigrams), dtype=np.int64)
-        block = _block_of(bigrams, self.blocks)
         live = np.flatnonzero(self.size[block] > 0)
         keys, size, start = (bigrams & _KEY), self.size[block], self.start[block]
         level = 0
@@ -217,106 +255,120 @@ class LogFrequencyFilter:
         return found
 
 
-def lm_scores(
-    df: DataFrame, is_train: Column, doc_id: str = "doc_id", text: str = "text", weight: float = WEIGHT, least_count: int = LEAST_COUNT
-) -> DataFrame:
-    """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``df``.
+def _asked_levels(streams: DataFrame, segments: DataFrame, blocks: int) -> DataFrame:
+    """``(chunk, lo, width, counts)``: levels of the chunk's sorted distinct bigrams from place ``lo``, asked of the segments where they lie."""
+
+    def ask(batches):
+        for c in _chunks_of(batches):
+            keys = np.unique(c.bigrams())
+            some, cut = _cuts(keys, blocks)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), _binaries([_pack(keys[cut[b] : cut[b + 1]]) for b in some])], names=["block", "chunk", "lo", "keys"]
+            )
+
+    def answer(segment: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked):
+            return pd.DataFrame({"chunk": [], "lo": [], "width": [], "counts": []})
+        block = int(asked["block"].iloc[0])
+        held = LogFrequencyFilter(blocks, [(block, int(segment["bits"].iloc[0]), segment["filter"].iloc[0])] if len(segment) else [])
+        keys = [_unpack([x]) for x in asked["keys"]]
+        found = [held.levels_in(np.full(len(k), block), k).astype(np.uint8).tobytes() for k in keys]
+        return pd.DataFrame({"chunk": asked["chunk"], "lo": asked["lo"], "width": 1, "counts": found})
+
+    asked = streams.mapInArrow(ask, "block long, chunk long, lo long, keys binary")
+    return stored(segments.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(answer, "chunk long, lo long, width int, counts binary"), "bigram-levels")
+
+
+def _joined(streams: DataFrame, replies: DataFrame, name: str) -> DataFrame:
+    """Each chunk with the pieces that came back for it."""
+    pieces = replies.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("lo", "width", "counts")).alias(name))  # those of one chunk
+    return streams.join(pieces, "chunk")
+
+
+def _gathered(pieces: pa.Scalar, size: int) -> np.ndarray:
+    out = np.zeros(size, dtype=np.int64)
+    for p in pieces.values:
+        got = np.frombuffer(p["counts"].as_buffer(), f"<u{p['width'].as_py()}")
+        out[p["lo"].as_py() : p["lo"].as_py() + len(got)] = got
+    return out
+
+
+def lm_scores(df: DataFrame, is_train: Column, doc_id: str = "doc_id", text: str = "text", prior: float = PRIOR, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``df``.
 
     Tokens are words cut at white space with A-Z lower-cased, then one end.
     ``base_score`` is the exact add-0.1 unigram log10 probability, ``n_known``
     counts tokens seen in training.  ``score`` is the sum over tokens of
-    ``log10((1-weight)*p(w) + weight*min(1, 2**(level-1)/c(v)))``: ``p`` the
-    same unigram, ``level`` the filter's answer for the bigram ``v w``, ``c(v)``
-    the count of the word before (of training texts at a text's start).  Null
-    and empty texts are an end alone.  A null ``is_train`` counts as false;
+    ``log10((k + prior*p(w)) / (c(v) + prior))``: ``p`` the same unigram,
+    ``k`` the least count of the filter's level for the bigram ``v w``, at most
+    ``c(v)``, the count of the word before (of training texts at a text's
+    start).  But for the filter's false positives (about 1 % of unseen
+    bigrams) the probabilities of a context sum to at most 1, and a context that
+    was never seen leaves the unigram alone.
+
+    Every training bigram is entered.  Null and empty texts are an end alone; a
+    very long text is a chunk of its own.  A null ``is_train`` counts as false;
     without training rows all is unknown.  Repeated rows are each scored and
-    each taught; a null id stays null; other columns of ``df`` play no part;
-    an empty table gives no rows.
+    each taught; a null id stays null; other columns of ``df`` play no part; an
+    empty table gives no rows.
     """
     spark = df.sparkSession
     bounded_batches(spark)
     docs = df.select(F.col(f"`{doc_id}`").cast("long"), F.coalesce(is_train, F.lit(False)), F.col(f"`{text}`"))
     streams = _streams(docs)
-    size = streams.agg(F.sum(F.octet_length("words") / 8), F.sum(F.octet_length("tokens") / 4)).first()
+    size = streams.agg(F.sum(F.octet_length("words") / 8), F.sum(F.octet_length("tokens") / 2)).first()
     word_blocks, pair_blocks = (max(16, -(-int(x or 0) // BLOCK_KEYS)) for x in size)
     counts = _word_counts(streams, word_blocks)
 
-    def unpack(batches):
+    def sums(batches):
         for r in _rows_of(batches):
-            v, n = _array(r["counts"], np.uint64)
-            yield pa.RecordBatch.from_pylist([{"v": int(v), "n": int(n)}], schema=pa.schema([("v", pa.int64()), ("n", pa.int64())]))
-
-    totals = counts.where("chunk = -1").select("counts").mapInArrow(unpack, "v long, n long").agg(F.sum("v"), F.sum("n")).first()
-    distinct, total = int(totals[0] or 0), int(totals[1] or 0)
+            v, n = np.frombuffer(r["counts"].as_buffer(), np.uint64)
+            yield pa.RecordBatch.from_pylist([{"v": int(v), "n": int(n)}])
 
-    def starts(batches):
+    def texts(batches):
         for r in _rows_of(batches):
-            yield pa.RecordBatch.from_pylist([{"n": int(_array(r["train"], np.uint8).sum())}], schema=pa.schema([("n", pa.int64())]))
-
-    texts = int(streams.select("train").mapInArrow(starts, "n long").agg(F.sum("n")).first()[0] or 0)
-    back = counts.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("lo", "counts")).alias("back"))  # the words of one chunk
-    told = streams.join(back, "chunk")
-
-    segments = _filter_segments(streams, pair_blocks, least_count)
-    shards: list[list[int]] = [[]]
-    held = 0
-    for r in segments.select("block", F.octet_length("filter").alias("size")).orderBy("block").toLocalIterator():
-        if shards[-1] and held + r["size"] > SHARD_BYTES:
-            shards.append([])
-            held = 0
-        shards[-1].append(r["block"])
-        held += r["size"]
-    if len(shards) > 1:
-        told = stored(told, "told-streams")
-    scored = []
-    for k, shard in enumerate(shards):
-        parts = segments.where(F.col("block").between(shard[0], shard[-1])).collect() if shard else []
-        shipped = spark.sparkContext.broadcast(LogFrequencyFilter(pair_blocks, [(r["block"], r["bits"], r["filter"]) for r in parts]))
-        scored.append(_score(told, shipped, weight, distinct, total, texts, with_base=k == 0))
-        if len(shards) > 1:
-            scored[-1] = stored(scored[-1], "scores")
-            shipped.destroy()
-    out = scored[0]
-    for more in scored[1:]:
-        out = out.unionByName(more)
-    if len(scored) > 1:
-        out = out.groupBy("chunk", "place").agg(
-            *(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")), F.sum("score").alias("score")
-        )
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _score(told: DataFrame, shipped, weight: float, distinct: int, total: int, texts: int, with_base: bool) -> DataFrame:
+            yield pa.RecordBatch.from_pylist([{"n": int((np.frombuffer(r["flags"].as_buffer(), np.uint8) & _TRAIN).sum())}])
+
+    totals = counts.where("chunk = -1").select("counts").mapInArrow(sums, "v long, n long").agg(F.sum("v"), F.sum("n")).first()
+    distinct, total = int(totals[0] or 0), int(totals[1] or 0)
+    starts = int(streams.select("flags").mapInArrow(texts, "n long").agg(F.sum("n")).first()[0] or 0)
+
+    segments = _filter_segments(streams, pair_blocks)
+    told = _joined(streams, counts, "counts")
+    shipped = None
+    if (segments.agg(F.sum(F.octet_length("filter"))).first()[0] or 0) <= broadcast_bytes:
+        parts = [(r["block"], r["bits"], bytes(r["filter"])) for r in segments.toLocalIterator()]  # at most broadcast_bytes in all
+        shipped = spark.sparkContext.broadcast(LogFrequencyFilter(pair_blocks, parts))
+        del parts
+    else:
+        told = _joined(told, _asked_levels(streams, segments, pair_blocks), "levels")
+    found = _score(told, shipped, prior, distinct, total, starts)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _score(told: DataFrame, shipped, prior: float, distinct: int, total: int, starts: int) -> DataFrame:
     norm = total + 0.1 * (distinct + 1)
 
     def run(batches):
-        held = shipped.value
-        for r in _rows_of(batches):
-            words, tokens, sizes = _array(r["words"], np.uint64), _array(r["tokens"], np.uint32), _array(r["sizes"], np.int32)
-            count = np.zeros(len(words), dtype=np.int64)
-            for piece in r["back"].as_py():
-                got = np.frombuffer(piece["counts"], np.uint64)
-                count[piece["lo"] : piece["lo"] + len(got)] = got
-            first = np.cumsum(sizes) - sizes.astype(np.int64)
-            unigram = (count + 0.1) / norm
-            p, before = unigram[tokens], np.empty(len(tokens), dtype=np.int64)
-            before[1:] = count[tokens[:-1]]
-            before[first] = texts
-            level = held.levels(_bigrams(words, tokens, first))
-            hit = level > 0
-            share = np.minimum(1.0, np.exp2(level[hit] - 1) / np.maximum(1, before[hit]))
-            # a bigram that was found adds a term to the mixture's logarithm
-            score = np.log10((1 - weight) * p) if with_base else np.zeros(len(p))
-            score[hit] += np.log10(1 + weight * share / ((1 - weight) * p[hit]))
-            ids = _array(r["ids"], np.int64)
-            n = len(ids)
-            base = np.add.reduceat(np.log10(p), first) if with_base and n else np.zeros(n)
-            seen = np.add.reduceat((count[tokens] > 0).astype(np.int64), first) if n else np.zeros(0, np.int64)
+        for row in _rows_of(batches):
+            c = _Chunk(row)
+            count = _gathered(row["counts"], len(c.words))
+            p = ((count + 0.1) / norm)[c.tokens]
+            before = np.empty(len(c.tokens), dtype=np.int64)
+            before[1:] = count[c.tokens[:-1]]
+            before[c.first] = starts
+            keys = c.bigrams()
+            if shipped is not None:
+                level = shipped.value.levels(keys)
+            else:
+                names, at = np.unique(keys, return_inverse=True)
+                level = _gathered(row["levels"], len(names))[at]
+            held = np.minimum(least_count(level), before)
+            score = np.log10((held + prior * p) / (before + prior))
+            known = (count > 0)[c.tokens].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, r["chunk"].as_py())), pa.array(np.arange(n, dtype=np.int64)), pa.array(ids, mask=ids == np.iinfo(np.int64).min),
-                 pa.array(_array(r["train"], np.uint8) == 0), pa.array(sizes.astype(np.int64)), pa.array(seen), pa.array(base, mask=None if with_base else np.ones(n, bool)),
-                 pa.array(np.add.reduceat(score, first) if n else np.zeros(0))],
-                names=["chunk", "place", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-            )
+                [pa.array(c.ids, mask=(c.flags & _NO_ID) > 0), pa.array(~c.train), pa.array(c.sizes), *(pa.array(np.add.reduceat(x, c.first)) for x in (known, np.log10(p), score))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+            )
 
-    return told.mapInArrow(run, "chunk long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return told.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -6,21 +6,27 @@ executor costs at most the stage that was running.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-#: Rows of a batch that goes to Python, at most: whole texts are long.
-BATCH_ROWS = 1000
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes and rows of a batch that goes to Python, at most: texts and packed blocks are long.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+_BATCH_CONF = "spark.sql.execution.arrow.max{}PerBatch"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to ``BATCH_ROWS``, so that a task holds megabytes of text and not tens of them."""
-    if not 0 < int(spark.conf.get(_BATCH_CONF, "10000")) <= BATCH_ROWS:
-        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    """Lowers the session's Arrow batches to ``BATCH_BYTES`` and ``BATCH_ROWS``, so that a task holds megabytes and not tens of them.
+
+    Plans read the setting when they run, so it stays lowered; a session that has lower ones keeps them.
+    """
+    for what, most in (("Bytes", BATCH_BYTES), ("Records", BATCH_ROWS)):
+        now = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH_CONF.format(what)))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(_BATCH_CONF.format(what), str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:

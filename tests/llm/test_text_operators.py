@@ -12,12 +12,11 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from orfloom.llm import jaccard, lm
+from orfloom.llm import jaccard
 from orfloom.llm.components import components
 from orfloom.llm.decontaminate import FMIndex, decontaminate
 from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
-from orfloom.llm.lm import lm_scores
 from orfloom.llm.mixing import mix_sources
 from orfloom.llm.token_files import read_token_files, write_token_files
 from orfloom.llm.tokens import token_counts
@@ -222,46 +221,6 @@ def test_components(spark):
     assert components(df.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("shard_bytes", [128 << 20, 64])
-def test_lm_scores(spark, monkeypatch, shard_bytes):
-    monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
-    rng = random.Random(11)
-    docs = [*((i, " ".join(rng.choice(["A", "b", "c d", "é"]) for _ in range(rng.randint(0, 12)))) for i in range(80)), (80, None), (81, ""), (82, "new words"), (83, "b " * 5000)]
-    train = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
-    got = {r["doc_id"]: r for r in lm_scores(table(spark, docs), train).collect()}
-    tokens = {i: [*re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOW)), None] for i, t in docs}
-    taught = [i for i in tokens if zlib.crc32(str(i).encode()) % 10]
-    one = collections.Counter(w for i in taught for w in tokens[i])
-    two = collections.Counter(p for i in taught for p in zip(["<s>", *tokens[i]], tokens[i], strict=False))
-    one["<s>"] = len(taught)
-    n, v = sum(one.values()) - len(taught), len(one) - 1
-    for i, t in tokens.items():
-        p = [(one[w] + 0.1) / (n + 0.1 * (v + 1)) for w in t]
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(t), sum(one[w] > 0 for w in t), n, i not in taught)
-        assert r["base_score"] == pytest.approx(sum(map(math.log10, p)), rel=1e-9)
-        share = [min(1, 2 ** math.floor(math.log2(two[x])) / one[x[0]]) if two[x] >= 2 else 0 for x in zip(["<s>", *t], t, strict=False)]
-        assert r["score"] == pytest.approx(sum(math.log10(0.6 * a + 0.4 * b) for a, b in zip(p, share, strict=True)), rel=0.02)
-    assert lm_scores(table(spark, []), train).count() == 0
-    alone = lm_scores(table(spark, docs[:3]), F.lit(False)).collect()
-    assert all(r["n_known"] == 0 and r["base_score"] == 0 for r in alone)
-
-
-def test_filter_has_no_misses_and_few_lies():
-    rng = np.random.default_rng(12)
-    keys = np.unique(rng.integers(0, 1 << 63, size=20_000).astype(np.uint64))
-    counts = rng.integers(1, 40, size=len(keys))
-    levels = 1 + np.floor(np.log2(counts)).astype(int)
-    size = 64 * (int(levels.sum()) * lm.ENTRY_BITS // 64 + 1)
-    bits = np.zeros(size, bool)
-    for level in range(1, levels.max() + 1):
-        for probe in range(lm.PROBES):
-            bits[lm._places(keys[levels >= level] & lm._KEY, level, probe, np.uint64(size))] = True
-    held = lm.LogFrequencyFilter(1, [(0, size, np.packbits(bits).tobytes())])
-    assert (held.levels(keys) >= levels).all() and (held.levels(keys) > levels).mean() < 0.05
-    assert (held.levels(rng.integers(0, 1 << 63, size=20_000).astype(np.uint64)) > 0).mean() < 0.05
-
-
 def test_top_k(spark):
     rng = np.random.default_rng(13)
     v = [list(map(float, x)) for x in rng.normal(size=(400, 6)).astype(np.float32)]
