@@ -23,21 +23,20 @@ weight that depends on the count of the word before.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orfloom.llm.storage import bounded_batches, stored
+from orfloom.llm.storage import bounded_batches, give_back, stored
 from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
 #: Text of a chunk, about.
 CHUNK_BYTES = 1 << 20
 #: Tokens whose bigrams are summed up before they are sent.
-SEND_TOKENS = 1_500_000
+SEND_TOKENS = 1_000_000
 #: Keys that a task of an exchange handles at once: the number of blocks follows from it.
-BLOCK_KEYS = 2_000_000
+BLOCK_KEYS = 1_000_000
 #: Bits of the filter for each entry, probes for each level, and bytes of a filter that is broadcast.
 ENTRY_BITS, PROBES, BROADCAST_BYTES = 10, 4, 128 << 20
 #: Pseudo-count of the unigram behind each word.
@@ -67,6 +66,7 @@ def _streams(docs: DataFrame) -> DataFrame:
                 parts = (ids[lo:hi], flags[lo:hi].astype(np.uint8), (np.diff(first) + 1).astype(np.int32), words, tokens.astype(kind))
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], schema=_STREAM_ARROW)
                 chunk += 1
+        give_back()
 
     return stored(docs.mapInArrow(run, _STREAM), "token-streams")
 
@@ -119,6 +119,14 @@ def _cuts(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(np.diff(cut)), cut
 
 
+_PIECES = "chunk long, lo long, width int, counts binary"
+
+
+def _pieces(chunks: list[int], places: list[int], widths: list[int], counts: list[bytes]) -> pa.Table:
+    """Replies: ``counts`` of a chunk's keys from place ``lo``, each ``width`` bytes."""
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "lo": pa.array(places, pa.int64()), "width": pa.array(widths, pa.int32()), "counts": _binaries(counts)})
+
+
 def _binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
@@ -136,18 +144,20 @@ def _word_counts(streams: DataFrame, blocks: int) -> DataFrame:
                 names=["block", "chunk", "lo", "words", "counts"],
             )
 
-    def reply(frame: pd.DataFrame) -> pd.DataFrame:
-        words = [np.frombuffer(x, np.uint64) for x in frame["words"]]
+    def reply(got: pa.Table) -> pa.Table:
+        words = [np.frombuffer(x, np.uint64) for x in got["words"].to_pylist()]
         distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.zeros(len(distinct), dtype=np.uint64)
-        np.add.at(total, at, np.concatenate([np.frombuffer(x, np.uint32) for x in frame["counts"]]).astype(np.uint64))
+        np.add.at(total, at, np.concatenate([np.frombuffer(x, np.uint32) for x in got["counts"].to_pylist()]).astype(np.uint64))
         stats = np.array([(total > 0).sum(), total.sum()], dtype=np.uint64).tobytes()
         width = 4 if total.max(initial=0) < 1 << 32 else 8
         back = np.split(total.astype(f"<u{width}")[at], np.cumsum([len(w) for w in words])[:-1])
-        return pd.DataFrame({"chunk": [*frame["chunk"], -1], "lo": [*frame["lo"], 0], "width": [width] * len(words) + [8], "counts": [*(x.tobytes() for x in back), stats]})
+        chunks, places = ([*got[c].to_pylist(), end] for c, end in (("chunk", -1), ("lo", 0)))
+        give_back()
+        return _pieces(chunks, places, [width] * len(words) + [8], [*(x.tobytes() for x in back), stats])
 
     sent = streams.mapInArrow(send, "block long, chunk long, lo long, words binary, counts binary")
-    return stored(sent.groupBy("block").applyInPandas(reply, "chunk long, lo long, width int, counts binary"), "word-counts")
+    return stored(sent.groupBy("block").applyInArrow(reply, _PIECES), "word-counts")
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -202,11 +212,13 @@ def _filter_segments(streams: DataFrame, blocks: int) -> DataFrame:
                 held, size = [], 0
         if size:
             yield message(held)
+        held = []
+        give_back()
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        once = _unpack(list(frame["once"]))
-        keys = np.concatenate([once, _unpack(list(frame["often"]))])
-        counts = np.concatenate([np.ones(len(once), np.int64), np.frombuffer(b"".join(frame["times"]), np.uint32).astype(np.int64)])
+    def build(got: pa.Table) -> pa.Table:
+        once = _unpack(got["once"].to_pylist())
+        keys = np.concatenate([once, _unpack(got["often"].to_pylist())])
+        counts = np.concatenate([np.ones(len(once), np.int64), np.frombuffer(b"".join(got["times"].to_pylist()), np.uint32).astype(np.int64)])
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -217,10 +229,13 @@ def _filter_segments(streams: DataFrame, blocks: int) -> DataFrame:
             mine = keys[levels >= level]
             for probe in range(PROBES):
                 bits[_places(mine, level, probe, np.uint64(size))] = True
-        return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "bits": [size], "filter": [np.packbits(bits).tobytes()]})
+        packed = np.packbits(bits).tobytes()
+        del once, keys, counts, order, start, levels, bits
+        give_back()
+        return pa.table({"block": got["block"].slice(0, 1), "bits": pa.array([size], pa.int64()), "filter": _binaries([packed])})
 
     sent = streams.mapInArrow(send, "block long, once binary, often binary, times binary")
-    return stored(sent.groupBy("block").applyInPandas(build, "block long, bits long, filter binary"), "bigram-filter")
+    return stored(sent.groupBy("block").applyInArrow(build, "block long, bits long, filter binary"), "bigram-filter")
 
 
 class LogFrequencyFilter:
@@ -266,17 +281,15 @@ def _asked_levels(streams: DataFrame, segments: DataFrame, blocks: int) -> DataF
                 [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), _binaries([_pack(keys[cut[b] : cut[b + 1]]) for b in some])], names=["block", "chunk", "lo", "keys"]
             )
 
-    def answer(segment: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked):
-            return pd.DataFrame({"chunk": [], "lo": [], "width": [], "counts": []})
-        block = int(asked["block"].iloc[0])
-        held = LogFrequencyFilter(blocks, [(block, int(segment["bits"].iloc[0]), segment["filter"].iloc[0])] if len(segment) else [])
-        keys = [_unpack([x]) for x in asked["keys"]]
-        found = [held.levels_in(np.full(len(k), block), k).astype(np.uint8).tobytes() for k in keys]
-        return pd.DataFrame({"chunk": asked["chunk"], "lo": asked["lo"], "width": 1, "counts": found})
+    def answer(segment: pa.Table, asked: pa.Table) -> pa.Table:
+        keys = [_unpack([x]) for x in asked["keys"].to_pylist()]
+        held = LogFrequencyFilter(blocks, [(r["block"], r["bits"], r["filter"]) for r in segment.to_pylist()])
+        block = asked["block"].to_pylist()[:1] * max(map(len, keys), default=0)
+        found = [held.levels_in(np.array(block[: len(k)], np.int64), k).astype(np.uint8).tobytes() for k in keys]
+        return _pieces(asked["chunk"].to_pylist(), asked["lo"].to_pylist(), [1] * len(keys), found)
 
     asked = streams.mapInArrow(ask, "block long, chunk long, lo long, keys binary")
-    return stored(segments.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(answer, "chunk long, lo long, width int, counts binary"), "bigram-levels")
+    return stored(segments.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(answer, _PIECES), "bigram-levels")
 
 
 def _joined(streams: DataFrame, replies: DataFrame, name: str) -> DataFrame:
@@ -342,7 +355,9 @@ def lm_scores(df: DataFrame, is_train: Column, doc_id: str = "doc_id", text: str
         del parts
     else:
         told = _joined(told, _asked_levels(streams, segments, pair_blocks), "levels")
-    found = _score(told, shipped, prior, distinct, total, starts)
+    found = stored(_score(told, shipped, prior, distinct, total, starts), "lm-scores")  # now, so that workers let the filter go
+    if shipped is not None:
+        shipped.destroy()
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -6,15 +6,17 @@ executor costs at most the stage that was running.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
 #: Bytes and rows of a batch that goes to Python, at most: texts and packed blocks are long.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 _BATCH_CONF = "spark.sql.execution.arrow.max{}PerBatch"
 
 
@@ -29,6 +31,13 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(_BATCH_CONF.format(what), str(most))
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the machine: allocators keep it else, and workers live long."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; only where it is unset (tests), a folder of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
