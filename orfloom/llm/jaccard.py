@@ -7,19 +7,24 @@ share one among the first ``a - ceil(t*a) + 1`` of each in any common order.
 The order puts frequent n-grams last (by a count sketch over all documents), so
 that a passage which many documents share makes no long columns.
 
-1. *Sets*: distinct n-grams of each document, a 64-bit name of the whole set
-   (copies collapse there), and the count sketch.
-2. *Columns*: prefix n-grams that at least two sets have.
-3. *Rows*: the places of those n-grams in the sets that have them.
-4. *Hubs*: in every column of many sets each set is paired with one hub of its
-   size class; each set keeps the hub it shares most columns with, and where
-   these could be enough the pair is counted exactly on the whole sets.  That
+1. *Sets*: number and 64-bit name of each document's distinct n-grams (copies
+   collapse there), and the count sketch: a pass over the texts.
+2. *Prefixes*: a written row for each set with its prefix n-grams in order: a
+   second pass.  All columns come from this table.
+3. *Columns*: prefix n-grams that at least two sets have, with the places of
+   those n-grams in the sets that have them.
+4. *Few*: columns of few sets are joined with themselves and overlaps are
+   accumulated; pairs under the size-derived bound are discarded.
+5. *Hubs*: in every column of many sets each set is paired with hubs of its size
+   class, those it shares most columns with, where these could be enough.  That
    joins large groups of near copies without their pairs.
-5. *Product*: columns of few sets are joined with themselves, those of many are
-   multiplied in dense blocks; overlaps are accumulated over columns, pairs
-   under the size-derived bound or already connected are discarded, the others
-   are counted exactly on the whole sets.
-6. Connected components over all exact links.
+6. *Links*: the pairs of 4 and 5 are counted exactly on the whole sets, which a
+   third pass over the texts reads for the sets of these pairs.
+7. *Blocks*: columns of many sets that still hold several components are
+   multiplied in dense blocks; pairs that could be enough and are not connected
+   are counted like those before.  Only where there are any, the texts are read
+   a fourth time.
+8. Connected components over all exact links.
 """
 
 from __future__ import annotations
@@ -38,10 +43,10 @@ from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
 #: Counters of the sketch, broadcast: a fixed size.
 SKETCH_BITS = 22
-#: Bits of a filter: 16 for each key, at most 2^27 (16 MB).
-LEAST_FILTER_BITS, MOST_FILTER_BITS = 19, 27
 _BLOCK = 1 << 16
-#: Rounds of hubs over the columns of many sets before the product.
+#: Bits of a filter: 16 for each key, at most 2^27 (16 MB); a key's bits lie in one block of 2^13.
+LEAST_FILTER_BITS, MOST_FILTER_BITS, _FILTER_BLOCK = 19, 27, 13
+#: Hubs of a set in the columns of many sets.
 HUB_ROUNDS = 2
 #: A column of more sets is hot: it goes to hubs and then is multiplied in dense blocks of so many rows.
 DENSE_COLUMN, BLOCK_ROWS = 64, 512
@@ -68,19 +73,17 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np
             yield mix(one ^ _STEP)
 
 
-def set_names(s: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit names of a set of hashes."""
+def set_name(s: np.ndarray) -> int:
+    """64-bit name of a set of hashes."""
     total, every = s.sum(dtype=np.uint64, keepdims=True), np.bitwise_xor.reduce(s, keepdims=True)
-    n = np.uint64(len(s))
-    a, b = mix(np.concatenate([total ^ (every * _STEP) ^ n, every + total * _STEP + n * n])).view(np.int64)
-    return int(a), int(b)
+    return int(mix(total ^ (every * _STEP) ^ np.uint64(len(s))).view(np.int64)[0])
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
-_SETS = "doc_id long, n long, sid long, sid2 long, block int, counts binary"
+_SETS = "doc_id long, n long, sid long, block int, counts binary"
 
 
 def _read_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -90,26 +93,24 @@ def _read_sets(docs: DataFrame, size: int) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         seen = False
         for batch in batches:
-            n, a, b = [], [], []
+            n, names = [], []
             for _, _, raw, offsets in slices(batch.column(1)):
                 for s in shingle_sets(raw, offsets, size):
                     seen = True
                     n.append(len(s))
-                    x, y = set_names(s) if len(s) else (None, None)
-                    a.append(x)
-                    b.append(y)
+                    names.append(set_name(s) if len(s) else None)
                     sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += np.uint32(1)  # a set's counters, once each
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                names=["doc_id", "n", "sid", "sid2", "block", "counts"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+                names=["doc_id", "n", "sid", "block", "counts"],
             )
         if seen:
             parts = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, _BLOCK)
             none = pa.nulls(len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, none, pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
-                names=["doc_id", "n", "sid", "sid2", "block", "counts"],
+                [none, none, none, pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
+                names=["doc_id", "n", "sid", "block", "counts"],
             )
 
     return stored(docs.mapInArrow(run, _SETS), "shingle-sets")
@@ -143,92 +144,92 @@ def ordered_prefix(s: np.ndarray, classes: np.ndarray, num: int, den: int) -> np
 
 
 def _prefixes(docs: DataFrame, size: int, num: int, den: int, classes) -> DataFrame:
-    """(key, sid) of the prefix n-grams; a task gives each set once."""
+    """``(sid, n, keys)``: the prefix of each set, ascending; a task gives each set once."""
 
     def run(batches):
         seen: set[int] = set()
         order = classes.value
         for batch in batches:
-            keys, names, counts = [np.zeros(0, np.uint64)], [], []
+            names, sizes, keys = [], [], []
             for _, _, raw, offsets in slices(batch.column(1)):
                 for s in shingle_sets(raw, offsets, size):
-                    if len(s) and (sid := set_names(s)[0]) not in seen:
+                    if len(s) and (sid := set_name(s)) not in seen:
                         seen.add(sid)
-                        keys.append(ordered_prefix(s, order, num, den))
                         names.append(sid)
-                        counts.append(len(keys[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(names, np.int64), np.array(counts, np.int64)))], names=["key", "sid"]
-            )
+                        sizes.append(len(s))
+                        keys.append(ordered_prefix(s, order, num, den).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), _lists(keys, pa.int64())], names=["sid", "n", "keys"])
+
+    return stored(docs.mapInArrow(run, "sid long, n long, keys array<long>"), "shingle-prefixes")
 
-    return docs.mapInArrow(run, "key long, sid long")
 
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
 
-def _bits(keys: np.ndarray, width: int = MOST_FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
+
+def _bits(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block of each key in a filter of 2^width bits, and its two places in the block."""
     m = mix(keys)
-    return (m >> np.uint64(64 - width)).astype(np.int64), (m & np.uint64((1 << width) - 1)).astype(np.int64)
+    low = np.uint64((1 << _FILTER_BLOCK) - 1)
+    return (m >> np.uint64(64 - width + _FILTER_BLOCK)).astype(np.int64), (m & low).astype(np.int64), (m >> np.uint64(_FILTER_BLOCK) & low).astype(np.int64)
 
 
 def _in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    one, two = _bits(keys, (len(bits) * 8).bit_length() - 1)
+    block, one, two = _bits(keys, (len(bits) * 8).bit_length() - 1)
+    one, two = (block << _FILTER_BLOCK) + one, (block << _FILTER_BLOCK) + two
     return (bits[one >> 3] >> (7 - (one & 7)) & 1) & (bits[two >> 3] >> (7 - (two & 7)) & 1)
 
 
 def _column_filter(keys: DataFrame) -> np.ndarray:
     """A Bloom filter over all keys, of bounded size; exact membership is settled by a join later."""
-    size = min(max(LEAST_FILTER_BITS, (16 * keys.count()).bit_length()), MOST_FILTER_BITS)
-    width = _BLOCK * 8
+    width = min(max(LEAST_FILTER_BITS, (16 * keys.count()).bit_length()), MOST_FILTER_BITS)
+    size = 1 << _FILTER_BLOCK
 
-    def places(batches):
+    def dealt(batches):
         for batch in batches:
-            both = np.unique(np.concatenate(_bits(batch.column(0).to_numpy().view(np.uint64), size)))
-            yield pa.RecordBatch.from_arrays([pa.array((both // width).astype(np.int32)), pa.array((both % width).astype(np.int32))], names=["block", "bit"])
+            k = np.unique(batch.column(0).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(k, width)[0].astype(np.int32)), pa.array(k.view(np.int64))], names=["block", "key"])
 
     def build(batches):
         blocks: dict[int, np.ndarray] = {}
         for batch in batches:
-            block, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for b in np.unique(block):
-                if int(b) not in blocks:
-                    blocks[int(b)] = np.zeros(width, dtype=bool)
-                blocks[int(b)][bit[block == b]] = True
-        for b, flags in blocks.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["block", "bits"])
-
-    out = np.zeros(((1 << size) // width, _BLOCK), dtype=np.uint8)
-    dealt = keys.mapInArrow(places, "block int, bit int").repartition(len(out), "block")
-    for row in dealt.mapInArrow(build, "block int, bits binary").collect():  # at most 16 MB in all
+            block, one, two = _bits(batch.column(1).to_numpy().view(np.uint64), width)
+            names, at = np.unique(block, return_inverse=True)
+            flags = np.zeros((len(names), size), dtype=bool)
+            flags[at, one] = flags[at, two] = True
+            for b, f in zip(names.tolist(), np.packbits(flags, axis=1), strict=True):
+                blocks[b] = blocks[b] | f if b in blocks else f
+        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array([f.tobytes() for f in blocks.values()], pa.binary())], names=["block", "bits"])
+
+    out = np.zeros(((1 << width) // size, size // 8), dtype=np.uint8)
+    parts = keys.select("key").mapInArrow(dealt, "block int, key long").repartition(min(len(out), max(64, len(out) >> 4)), "block")
+    for row in parts.mapInArrow(build, "block int, bits binary").toLocalIterator():  # at most 16 MB in all
         out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
     return out.ravel()
 
 
-def _rows(docs: DataFrame, size: int, num: int, den: int, classes, columns) -> DataFrame:
+def _rows(prefixes: DataFrame, columns) -> DataFrame:
     """Sets with a prefix n-gram in the filter: those keys with their place, and the last prefix key."""
 
     def run(batches):
-        seen: set[int] = set()
-        order, bits = classes.value, columns.value
+        bits = columns.value
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("sid", "n", "last", "keys", "places")}
-            for _, _, raw, offsets in slices(batch.column(1)):
-                for s in shingle_sets(raw, offsets, size):
-                    if not len(s) or (sid := set_names(s)[0]) in seen:
-                        continue
-                    seen.add(sid)
-                    prefix = ordered_prefix(s, order, num, den)
-                    place = np.flatnonzero(_in_filter(bits, prefix))
-                    if len(place):
-                        out["sid"].append(sid)
-                        out["n"].append(len(s))
-                        out["last"].append(int(prefix[-1]))
-                        out["keys"].append(prefix[place].view(np.int64))
-                        out["places"].append(place.astype(np.int32))
+            lists = batch.column(2)
+            where = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy(zero_copy_only=False)[where[0] : where[-1]].view(np.uint64)
+            where = where - where[0]
+            held = np.flatnonzero(_in_filter(bits, flat))
+            row = np.searchsorted(where, held, "right") - 1
+            some, start = np.unique(row, return_index=True)
+            cut = pa.array(np.append(start, len(held)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["sid"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["last"], pa.int64()), pa.array(out["keys"], pa.list_(pa.int64())), pa.array(out["places"], pa.list_(pa.int32()))],
-                names=list(out),
-            )
+                [batch.column(0).take(pa.array(some)), batch.column(1).take(pa.array(some)), pa.array(flat[where[some + 1] - 1].view(np.int64)),
+                 pa.ListArray.from_arrays(cut, pa.array(flat[held].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array((held - where[row]).astype(np.int32)))],
+                names=["sid", "n", "last", "keys", "places"],
+            )
 
-    found = docs.mapInArrow(run, "sid long, n long, last long, keys array<long>, places array<int>")
+    found = prefixes.mapInArrow(run, "sid long, n long, last long, keys array<long>, places array<int>")
     return found.dropDuplicates(["sid"])  # a set that several tasks met is one row
 
 
@@ -239,17 +240,17 @@ def _contents(docs: DataFrame, size: int, names) -> DataFrame:
         seen: set[int] = set()
         bits = names.value
         for batch in batches:
-            sids, contents = [], []
             for _, _, raw, offsets in slices(batch.column(1)):
+                sids, contents = [], []
                 for s in shingle_sets(raw, offsets, size):
-                    if not len(s) or (sid := set_names(s)[0]) in seen or not _in_filter(bits, np.array([sid], np.int64).view(np.uint64))[0]:
+                    if not len(s) or (sid := set_name(s)) in seen or not _in_filter(bits, np.array([sid], np.int64).view(np.uint64))[0]:
                         continue
                     seen.add(sid)
                     sids.append(sid)
                     contents.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
 
-    return docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"])
+    return stored(docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"]), "shingle-contents")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -257,6 +258,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) ->
     pairs = stored(pairs, "pairs")
     names = docs.sparkSession.sparkContext.broadcast(_column_filter(pairs.select(F.explode(F.array("a", "b")).alias("key"))))
     sets = _contents(docs, size, names)
+    names.destroy()
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("content").alias("x")), "a")
     both = left.join(sets.select(F.col("sid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -272,9 +274,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) ->
                 keep[i] = den * shared >= num * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    links = stored(both.mapInArrow(run, "a long, b long").distinct(), "links")
-    names.destroy()
-    return links
+    return stored(both.mapInArrow(run, "a long, b long"), "links")
 
 
 def _labelled(columns: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -300,8 +300,8 @@ def _enough(num: int, den: int) -> tuple[Column, Column]:
 def _hub_pairs(columns: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """For each set the hub, of its own or the next smaller size class, that it shares most columns with, if those could be enough.
 
-    The hub of a column is first its best connected set, the likely original
-    of near copies; in later turns a pseudo-random one.
+    The hub of a column is at turn 0 its best connected set, the likely original
+    of near copies; at other turns a pseudo-random one.
     """
     if turn == 0:
         columns = columns.join(columns.groupBy("sid").agg((-F.sum("m")).alias("h")), "sid")
@@ -414,40 +414,29 @@ def jaccard_classes(
     bounded_batches(spark)
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     read = _read_sets(docs, size)
-    members = read.where("block is null").select("doc_id", "n", "sid", "sid2")
+    members = read.where("block is null").select("doc_id", "n", "sid")
     classes = spark.sparkContext.broadcast(_order_classes(read.where("block is not null").select("block", "counts")))
     prefixes = _prefixes(docs, size, num, den, classes)
-    counts = prefixes.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
+    classes.destroy()
+    counts = prefixes.select("sid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
     shared = stored(counts.where("lo <> hi").select("key", "m"), "shared-columns")
-    bits = spark.sparkContext.broadcast(_column_filter(shared.select("key")))
-    rows = stored(_rows(docs, size, num, den, classes, bits), "shingle-rows")
-    for b in (classes, bits):
-        b.destroy()
+    bits = spark.sparkContext.broadcast(_column_filter(shared))
+    rows = stored(_rows(prefixes, bits), "shingle-rows")
+    bits.destroy()
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
     flat = rows.select("sid", "n", "last", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
         "sid", "n", "last", F.col("k.keys").alias("key"), F.col("k.places").alias("place"), bucket.alias("bucket")
     )
     columns = stored(flat.join(shared, "key"), "columns")
     few, hot = columns.where(F.col("m") <= DENSE_COLUMN), columns.where(F.col("m") > DENSE_COLUMN)
-    links, labels = [], None
     still = _labelled(hot, None)
-    for turn in range(HUB_ROUNDS):
-        if still.isEmpty():
-            break
-        links.append(_linked(_hub_pairs(still, turn, num, den), docs, size, num, den))
-        labels = components(_all(links))
-        still = _labelled(still.drop("comp"), labels)
-    pairs = _few_pairs(few, hot, num, den)
-    if labels is not None:
-        for x in "ab":
-            pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}")), x, "left")
-        pairs = pairs.where("coalesce(comp_a, a) <> coalesce(comp_b, b)").select("a", "b")
-        if not still.isEmpty():
-            pairs = pairs.unionByName(_many_pairs(still, rows, num, den)).distinct()
-    elif HUB_ROUNDS == 0:
-        pairs = pairs.unionByName(_many_pairs(still, rows, num, den)).distinct()
-    links.append(_linked(pairs, docs, size, num, den))
-    labels = components(_all(links))
+    pairs = [_few_pairs(few, hot, num, den), *(_hub_pairs(still, turn, num, den) for turn in range(HUB_ROUNDS))]
+    links = _linked(_all(pairs).distinct(), docs, size, num, den)
+    labels = components(links)
+    still = _labelled(still.drop("comp"), labels)
+    if not still.isEmpty():
+        links = links.unionByName(_linked(_many_pairs(still, rows, num, den).distinct(), docs, size, num, den))
+        labels = components(links)
     named = members.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "n", "sid", F.coalesce("component", "sid").alias("comp"))
     least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return named.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
