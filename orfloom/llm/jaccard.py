@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +62,11 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np
     for j in range(size):
         whole = whole * _STEP + words[j : j + m]
     whole = mix(whole)
-    for a, b in zip(first[:-1], first[1:], strict=True):
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= size:
-            yield np.unique(whole[a : b - size + 1])
+            s = np.sort(whole[a : b - size + 1])
+            new = s[1:] != s[:-1]
+            yield s if new.all() else np.concatenate([s[:1], s[1:][new]])
         elif b == a:
             yield np.zeros(0, np.uint64)
         else:
@@ -204,7 +207,7 @@ def _column_filter(keys: DataFrame) -> np.ndarray:
 
     out = np.zeros(((1 << width) // size, size // 8), dtype=np.uint8)
     parts = keys.select("key").mapInArrow(dealt, "block int, key long").repartition(min(len(out), max(64, len(out) >> 4)), "block")
-    for row in parts.mapInArrow(build, "block int, bits binary").toLocalIterator():  # at most 16 MB in all
+    for row in parts.mapInArrow(build, "block int, bits binary").collect():  # at most 16 MB in all
         out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
     return out.ravel()
 
@@ -233,32 +236,35 @@ def _rows(prefixes: DataFrame, columns) -> DataFrame:
     return found.dropDuplicates(["sid"])  # a set that several tasks met is one row
 
 
-def _contents(docs: DataFrame, size: int, names) -> DataFrame:
-    """``(sid, content)`` of the sets whose name is in the filter."""
+def _contents(docs: DataFrame, size: int, ids) -> DataFrame:
+    """``(sid, content)`` of the sets of the documents whose id is in the filter or null."""
 
     def run(batches):
         seen: set[int] = set()
-        bits = names.value
+        bits = ids.value
         for batch in batches:
+            known = pc.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(_in_filter(bits, known).astype(bool) | np.asarray(batch.column(0).is_null())))
             for _, _, raw, offsets in slices(batch.column(1)):
                 sids, contents = [], []
                 for s in shingle_sets(raw, offsets, size):
-                    if not len(s) or (sid := set_name(s)) in seen or not _in_filter(bits, np.array([sid], np.int64).view(np.uint64))[0]:
-                        continue
-                    seen.add(sid)
-                    sids.append(sid)
-                    contents.append(s.tobytes())
+                    if len(s) and (sid := set_name(s)) not in seen:
+                        seen.add(sid)
+                        sids.append(sid)
+                        contents.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
 
     return stored(docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"]), "shingle-contents")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose sets meet the threshold, counted exactly; only sets of the pairs are read out of the documents."""
+def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose sets meet the threshold, counted exactly; only sets of the pairs are read, each from one document."""
     pairs = stored(pairs, "pairs")
-    names = docs.sparkSession.sparkContext.broadcast(_column_filter(pairs.select(F.explode(F.array("a", "b")).alias("key"))))
-    sets = _contents(docs, size, names)
-    names.destroy()
+    named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    read = stored(members.join(named, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("key")).where("key is not null"), "pair-documents")
+    ids = docs.sparkSession.sparkContext.broadcast(_column_filter(read))
+    sets = _contents(docs, size, ids)
+    ids.destroy()
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("content").alias("x")), "a")
     both = left.join(sets.select(F.col("sid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -431,11 +437,11 @@ def jaccard_classes(
     few, hot = columns.where(F.col("m") <= DENSE_COLUMN), columns.where(F.col("m") > DENSE_COLUMN)
     still = _labelled(hot, None)
     pairs = [_few_pairs(few, hot, num, den), *(_hub_pairs(still, turn, num, den) for turn in range(HUB_ROUNDS))]
-    links = _linked(_all(pairs).distinct(), docs, size, num, den)
+    links = _linked(_all(pairs).distinct(), docs, members, size, num, den)
     labels = components(links)
     still = _labelled(still.drop("comp"), labels)
     if not still.isEmpty():
-        links = links.unionByName(_linked(_many_pairs(still, rows, num, den).distinct(), docs, size, num, den))
+        links = links.unionByName(_linked(_many_pairs(still, rows, num, den).distinct(), docs, members, size, num, den))
         labels = components(links)
     named = members.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "n", "sid", F.coalesce("component", "sid").alias("comp"))
     least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
