@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orfloom.llm.storage import stored
+from orfloom.llm.text import free_name
 
 #: Documents of a hash bucket, about: only one bucket of a leaf is put in order.
 BUCKET_ROWS = 5000
@@ -70,7 +71,8 @@ def mix_sources(
     weights of names among their siblings (1 where none is given; all must be
     positive).  The budget is ``total`` tokens, or that fraction of all tokens.
     A leaf's last epoch takes documents in hash order as long as their tokens
-    stay within its budget; rows of one id stand or fall together in an epoch.
+    stay within its budget; rows of one id stand or fall together in an epoch.  Very long texts are one
+    document like others.
     Null names are a name of their own; texts without words cost nothing and
     go with the prefix; a null id has one place in the order.  Empty tables and
     leaves without tokens: only full epochs (one, if the budget has any room)
@@ -78,7 +80,9 @@ def mix_sources(
     """
     spark = df.sparkSession
     k = len(levels)
-    names = [f"__level{i}" for i in range(k)]
+    mark = free_name(df.columns, "__mix")
+    names = [f"{mark}_level{i}" for i in range(k)]
+    full_, rest_, buckets_, cut_ = (f"{mark}_{x}" for x in ("full", "rest", "buckets", "cut"))
     named = [F.coalesce(F.concat(F.lit("="), level.cast("string")), F.lit("null")).alias(n) for level, n in zip(levels, names, strict=True)]
     slim = stored(df.select(*named, F.col(f"`{doc_id}`").alias("doc_id"), words(F.col(f"`{text}`")).alias("tokens")), "mixing-rows")
     leaves = stored(slim.groupBy(*names).agg(F.sum("tokens").cast("double").alias("tokens"), F.count("*").alias("docs")), "leaves")
@@ -97,13 +101,13 @@ def mix_sources(
     target = F.floor(F.col("share") + 1e-6)
     full = F.when(F.col("tokens") > 0, F.floor(target / F.col("tokens"))).otherwise(F.lit(1 if budget > 0 or not every else 0)).cast("long")
     plan = leaves.join(nodes.select(*names, "share"), names).select(
-        *names, "docs", full.alias("__full"), F.when(F.col("tokens") > 0, target - full * F.col("tokens")).otherwise(0).cast("long").alias("__rest")
+        *names, "docs", full.alias(full_), F.when(F.col("tokens") > 0, target - full * F.col("tokens")).otherwise(0).cast("long").alias(rest_)
     )
-    plan = stored(plan.withColumn("__buckets", F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).cast("long")), "mixing-plan")
-    place = epoch_hash(F.col("doc_id"), F.col("__full") + 1, seed)
-    bucket = F.least(F.floor(F.col("place") / F.lit(float(1 << 60)) * F.col("__buckets")), F.col("__buckets") - 1)
-    rows = slim.join(plan.where("__rest > 0"), names).withColumn("place", place).withColumn("bucket", bucket)
-    sums = rows.groupBy(*names, "bucket").agg(F.sum("tokens").alias("tokens"), F.first("__rest").alias("rest"))
+    plan = stored(plan.withColumn(buckets_, F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).cast("long")), "mixing-plan")
+    place = epoch_hash(F.col("doc_id"), F.col(full_) + 1, seed)
+    bucket = F.least(F.floor(F.col("place") / F.lit(float(1 << 60)) * F.col(buckets_)), F.col(buckets_) - 1)
+    rows = slim.join(plan.where(f"{rest_} > 0"), names).withColumn("place", place).withColumn("bucket", bucket)
+    sums = rows.groupBy(*names, "bucket").agg(F.sum("tokens").alias("tokens"), F.first(rest_).alias("rest"))
     running = Window.partitionBy(*names).orderBy("bucket")  # a row for some thousand documents
     sums = sums.withColumn("upto", F.sum("tokens").over(running)).withColumn("before", F.col("upto") - F.col("tokens"))
     edge = sums.where("before <= rest and upto > rest").groupBy(*names).agg(F.min("bucket").alias("bucket"), F.min("before").alias("before"))
@@ -112,13 +116,13 @@ def mix_sources(
         rows.join(edge, [*names, "bucket"])
         .withColumn("upto", F.col("before") + F.sum("tokens").over(inside))
         .groupBy(*names)
-        .agg(F.max(F.when(F.col("upto") <= F.col("__rest"), F.col("place"))).alias("within"), F.min("place").alias("first"))
-        .select(*names, F.coalesce("within", F.col("first") - 1).alias("__cut"))
+        .agg(F.max(F.when(F.col("upto") <= F.col(rest_), F.col("place"))).alias("within"), F.min("place").alias("first"))
+        .select(*names, F.coalesce("within", F.col("first") - 1).alias(cut_))
     )
-    plan = stored(plan.join(cut, names, "left").select(*names, "__full", F.coalesce("__cut", F.when(F.col("__rest") > 0, F.lit((1 << 62))).otherwise(F.lit(-1))).alias("__cut")), "mixing-cuts")
+    plan = stored(plan.join(cut, names, "left").select(*names, full_, F.coalesce(cut_, F.when(F.col(rest_) > 0, F.lit((1 << 62))).otherwise(F.lit(-1))).alias(cut_)), "mixing-cuts")
     keep = [c for c in df.columns if c != "epoch"]
     out = df.select(*(F.col(f"`{c}`") for c in keep), *named).join(plan, names)
-    last = (epoch_hash(F.col(f"`{doc_id}`"), F.col("__full") + 1, seed) <= F.col("__cut")).cast("long")
-    times = F.col("__full") + last
-    out = out.withColumn("__times", times).where("__times > 0")
-    return out.select(*(F.col(f"`{c}`") for c in keep), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))).alias("epoch"))
+    last = (epoch_hash(F.col(f"`{doc_id}`"), F.col(full_) + 1, seed) <= F.col(cut_)).cast("long")
+    times = F.col(full_) + last
+    out = out.withColumn(f"{mark}_times", times).where(f"{mark}_times > 0")
+    return out.select(*(F.col(f"`{c}`") for c in keep), F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{mark}_times"))).alias("epoch"))

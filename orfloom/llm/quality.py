@@ -1,8 +1,8 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-Two logistic classifiers see different things: the words and characters of a
-text, and what is known about the page around them (language, source, size,
-lines).  In each round either one labels the documents that it is surest of, and
+Two logistic classifiers see different things: the words, characters and lines
+of a text, and what is known about the page beside it (language, source, size as
+its table has them).  In each round either one labels the documents that it is surest of, and
 the other learns from them.  Both are then calibrated on labelled rows that
 neither has seen, combined, and every document is scored in a narrow pass.
 
@@ -18,12 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orfloom.llm.storage import bounded_batches, stored
-from orfloom.llm.text import LOWER, SPACE_WORDS, slices, span_hashes, with_text, word_spans
+from orfloom.llm.text import LOWER, SPACE_WORDS, free_name, slices, span_hashes, word_spans
 
 #: Most labelled rows (about) that the fit takes: a documented bound, the same at every size.
 LABELLED_ROWS = 8000
@@ -63,8 +64,8 @@ def _distinct(hashes: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return np.bincount(r[first], minlength=rows).astype(np.float64)
 
 
-def features(raw: np.ndarray, offsets: np.ndarray, langs: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(text view, metadata view) of a slice's rows."""
+def text_view(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Features of a slice's texts: characters, words, lines, and a hashed bag of words."""
     rows = len(offsets) - 1
     size = np.maximum(1, np.diff(offsets)).astype(np.float64)
     low = LOWER[raw]
@@ -78,18 +79,27 @@ def features(raw: np.ndarray, offsets: np.ndarray, langs: list[str | None], sour
     long = (ends - starts).astype(np.float64)
     last = _CLASSES[raw[ends - 1]] if len(ends) else np.zeros(0, np.uint8)
     text = [*shares, _per_row(long, first) / words, _per_row(long == 1, first) / words, _per_row(last == 5, first) / words, _per_row(last == 4, first) / words, _distinct(hashes, row, rows) / words]
-    bag = np.bincount(row * _WORD_BUCKETS + (hashes % np.uint64(_WORD_BUCKETS)).astype(np.int64), minlength=rows * _WORD_BUCKETS).reshape(rows, -1) / words[:, None]
     a, b, line = word_spans(raw, offsets, _LINES)
     m = np.diff(line)
     lines = np.maximum(1, m).astype(np.float64)
     at = np.repeat(np.arange(rows), m)
     closed = np.isin(raw[b - 1], [ord(c) for c in ".!?"]) if len(b) else np.zeros(0, bool)
-    meta = [np.log1p(np.diff(offsets)), np.log1p(m), _per_row((b - a).astype(np.float64), line) / lines, _distinct(span_hashes(raw, a, b), at, rows) / lines, _per_row(closed, line) / lines]
-    hot = np.zeros((rows, _LANG_BUCKETS + _SOURCE_BUCKETS))
-    for i, (x, y) in enumerate(zip(langs, sources, strict=True)):
-        hot[i, zlib.crc32((x or "").encode()) % _LANG_BUCKETS] = 1
-        hot[i, _LANG_BUCKETS + zlib.crc32((y or "").encode()) % _SOURCE_BUCKETS] = 1
-    return np.column_stack([*text, bag]), np.column_stack([*meta, hot])
+    text += [np.log1p(m), _per_row((b - a).astype(np.float64), line) / lines, _distinct(span_hashes(raw, a, b), at, rows) / lines, _per_row(closed, line) / lines]
+    bag = np.bincount(row * _WORD_BUCKETS + (hashes % np.uint64(_WORD_BUCKETS)).astype(np.int64), minlength=rows * _WORD_BUCKETS).reshape(rows, -1) / words[:, None]
+    return np.column_stack([*text, bag])
+
+
+def meta_view(lang: pa.Array, source: pa.Array, size: pa.Array) -> np.ndarray:
+    """Features of what the table says: hashed language and source (null: the empty one), size and whether it is known."""
+
+    def bucket(column: pa.Array, buckets: int) -> np.ndarray:
+        coded = pc.fill_null(column, "").dictionary_encode()
+        names = np.array([zlib.crc32(x.encode()) % buckets for x in coded.dictionary.to_pylist()], dtype=np.int64)
+        return np.eye(buckets)[names[coded.indices.to_numpy()]] if len(column) else np.zeros((0, buckets))
+
+    known = np.asarray(size.is_valid()).astype(np.float64)
+    number = np.nan_to_num(pc.fill_null(size, 0).to_numpy(zero_copy_only=False), posinf=0, neginf=0)
+    return np.column_stack([np.log1p(np.maximum(number, 0)), known, bucket(lang, _LANG_BUCKETS), bucket(source, _SOURCE_BUCKETS)])
 
 
 class Logistic:
@@ -265,14 +275,19 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: DataFrame)
     return QualityModel(float(y.mean()), tuple(views), tuple(calibration), Logistic(own, y[held]), given)
 
 
-def _columns(df: DataFrame, lang: str, source: str) -> list:
-    return [F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string") for c in (lang, source)]
+def _page(df: DataFrame, lang: str, source: str, size: str) -> list[Column]:
+    """Language, source and size of each row; null where the table has no such column."""
+    return [F.col(f"`{c}`").cast(kind) if c in df.columns else F.lit(None).cast(kind) for c, kind in ((lang, "string"), (source, "string"), (size, "double"))]
 
 
 def fit_quality(
-    df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", label: str = "quality", labelled_rows: int = LABELLED_ROWS
+    df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", size: str = "n_chars", label: str = "quality", labelled_rows: int = LABELLED_ROWS
 ) -> QualityModel:
-    """Co-trains on a hash sample of about ``labelled_rows`` labels and on all other rows of ``df``.  Null labels and ids teach nothing; of repeated labels the largest counts."""
+    """Co-trains on a hash sample of about ``labelled_rows`` labels and on all other rows of ``df``.
+
+    Null labels and ids teach nothing; of repeated labels the largest counts;
+    repeated rows each teach; columns that ``df`` lacks count as null.
+    """
     bounded_batches(df.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).cast("double").alias("__y"))
     n_known = known.count()
@@ -281,20 +296,19 @@ def fit_quality(
         return F.pmod(F.xxhash64(F.col(doc_id), F.lit(salt)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, rows / max(1, total)))
 
     sample = known.where(within(labelled_rows, n_known, 1))  # bounded: at most about labelled_rows small rows
-    rows = df.select(F.col(doc_id), F.col(f"`{text}`").alias("__text"), *(c.alias(n) for c, n in zip(_columns(df, lang, source), ("__lang", "__source"), strict=True)))
-    rows = rows.join(F.broadcast(sample), doc_id, "left")
+    page = [c.alias(n) for c, n in zip(_page(df, lang, source, size), ("lang", "source", "size"), strict=True)]
+    rows = df.select(F.col(f"`{doc_id}`").alias(doc_id), F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"), *page)
+    rows = rows.join(F.broadcast(sample), doc_id, "left").select("t", "lang", "source", "size", "__y", "h")
 
     def run(batches):
         for batch in batches:
-            langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for lo, hi, raw, offsets in slices(batch.column(0)):
-                a, b = (x.astype(np.float32) for x in features(raw, offsets, langs[lo:hi], sources[lo:hi]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(3).slice(lo, hi - lo), batch.column(4).slice(lo, hi - lo), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], names=["y", "h", "a", "b"]
-                )
+                cut = [batch.column(i).slice(lo, hi - lo) for i in range(6)]
+                views = (text_view(raw, offsets), meta_view(*cut[1:4]))
+                packed = (pa.array([x.tobytes() for x in v.astype(np.float32)], pa.binary()) for v in views)
+                yield pa.RecordBatch.from_arrays([cut[4], cut[5], *packed], names=["y", "h", "a", "b"])
 
-    order = F.xxhash64(F.col(doc_id), "__text")
-    table = stored(rows.select("__text", "__lang", "__source", "__y", order).mapInArrow(run, "y double, h long, a binary, b binary"), "quality-features")
+    table = stored(rows.mapInArrow(run, "y double, h long, a binary, b binary"), "quality-features")
     got = table.where("y is not null").toPandas().sort_values(["h", "a"])
     if not len(got):
         return QualityModel(0.5)
@@ -302,28 +316,29 @@ def fit_quality(
     return co_train(a, b, (got["y"].to_numpy(np.float64) > 0).astype(np.float64), table.where("y is null").select("a", "b"))
 
 
-def score_quality(df: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def score_quality(df: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang", source: str = "source", size: str = "n_chars") -> DataFrame:
     """Adds ``text_score``, ``meta_score`` and ``score`` (each 0..1, large is good) to every row, in one narrow pass.
 
-    Null and empty texts have zero features and are scored like others; null
-    or absent languages and sources are a value of their own.  Columns of
-    ``df`` with the names of the results are replaced.
+    Null and empty texts have zero features and are scored like others, very
+    long ones whole; null or absent languages, sources and sizes are a value of
+    their own, each by itself, as in fitting.  Repeated rows are each scored.
+    Columns of ``df`` with the names of the results are replaced.
     """
     names = ["text_score", "meta_score", "score"]
     keep = [f for f in df.schema.fields if f.name not in names]
-    rows, at = with_text(df, [f.name for f in keep], text)
-    extra = _columns(df, lang, source)
-    rows = rows.withColumn("__lang", extra[0]).withColumn("__source", extra[1]) if {lang, source} <= {f.name for f in keep} else rows.withColumn("__lang", F.lit("")).withColumn("__source", F.lit(""))
+    width = len(keep)
+    bounded_batches(df.sparkSession)
+    mark = free_name(df.columns, "__page")
+    page = [c.alias(f"{mark}{i}") for i, c in enumerate([F.col(f"`{text}`"), *_page(df, lang, source, size)])]
+    rows = df.select(*(F.col(f"`{f.name}`") for f in keep), *page)
     shipped = df.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
-    width = len(rows.columns)
 
     def run(batches):
         model = shipped.value
         for batch in batches:
-            langs, sources = batch.column(width - 2).to_pylist(), batch.column(width - 1).to_pylist()
-            for lo, hi, raw, offsets in slices(batch.column(at)):
-                scores = model.score(*features(raw, offsets, langs[lo:hi], sources[lo:hi]))
+            for lo, hi, raw, offsets in slices(batch.column(width)):
                 piece = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(len(keep))), *(pa.array(s) for s in scores)], names=[*(f.name for f in keep), *names])
+                scores = model.score(text_view(raw, offsets), meta_view(*(piece.column(width + i) for i in (1, 2, 3))))
+                yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(width)), *(pa.array(s) for s in scores)], names=[*(f.name for f in keep), *names])
 
     return rows.mapInArrow(run, T.StructType([*keep, *(T.StructField(n, T.DoubleType()) for n in names)]))

@@ -88,7 +88,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     found = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("keep"))
 

@@ -25,13 +25,20 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many marks before it as no column starts with."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = "_" + name
+    return name
+
+
 def with_text(df: DataFrame, names: list[str], text: str) -> tuple[DataFrame, int]:
     """``df``'s columns ``names`` and, only if it is not among them, the text; and where the text is."""
     bounded_batches(df.sparkSession)
     cols = [F.col(f"`{n}`") for n in names]
     if text in names:
         return df.select(*cols), names.index(text)
-    return df.select(*cols, F.col(f"`{text}`").alias("__text")), len(names)
+    return df.select(*cols, F.col(f"`{text}`").alias(free_name(names, "__text"))), len(names)
 
 
 def _byte_set(*ranges: tuple[int, int]) -> np.ndarray:

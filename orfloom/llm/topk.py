@@ -1,13 +1,15 @@
 """Exact top-k by inner product: dual-tree search over cover trees.
 
-The rows are dealt into blocks.  In a task each block gets a cover tree, and so
-does the query set.  A query node and a data node are compared by the largest
-inner product that their points can reach,
+The rows are dealt into blocks, and each block gets a cover tree in its task.
+The queries have one cover tree too, which is built once and broadcast.  Both
+trees are walked together from their roots: a query node and a data node are
+compared by the largest inner product that their points can reach,
 ``cq.cd + rq*|cd| + rd*|cq| + rq*rd`` with centres ``c`` and covering radii
-``r``; a pair is dropped when that is below the worst k-th score of the node's
-queries so far.  Blocks of a task are searched one after another with the same
-k-th scores, so later blocks are pruned harder.  A window keeps the best k of
-what the tasks found.
+``r``; the pair, with all that is below it, is dropped when that is under the
+worst k-th score of the node's queries so far.  Else the node of the larger
+radius is divided; two leaves are multiplied.  Blocks of a task are searched one
+after another with the same k-th scores, so later blocks are pruned harder.  A
+window keeps the best k of what the tasks found.
 """
 
 from __future__ import annotations
@@ -21,16 +23,17 @@ from pyspark.sql import functions as F
 
 from orfloom.llm.storage import stored
 
-#: Rows of one tree, and of one task.
-BLOCK_ROWS, TASK_ROWS = 4096, 16384
+#: Rows of one tree, and of one task at most: a task returns k rows for each query.
+BLOCK_ROWS, TASK_ROWS = 4096, 131072
 #: Rows under which a node is not divided.
-LEAF_ROWS = 48
+LEAF_ROWS = 128
 #: Queries that are broadcast at once; more go in further passes.
 QUERY_BYTES = 64 << 20
 #: The scale of the components: floor(SCALE * x).
 SCALE = 1024
 _EXACT = float(1 << 53)
-_LEAST = -np.iinfo(np.int64).max
+_MOST = int(np.iinfo(np.int64).max) - 1
+_LEAST = -_MOST - 1
 
 
 @dataclass
@@ -53,7 +56,7 @@ def cover_tree(points: np.ndarray, rows: np.ndarray, center: int | None = None)
     center = int(rows[0]) if center is None else center
     far = _distances(points[rows], points[center])
     node = Node(center, float(far.max(initial=0.0)), rows)
-    if len(rows) <= LEAF_ROWS or node.radius == 0:
+    if len(rows) <= LEAF_ROWS or node.radius == 0 or not np.isfinite(node.radius):
         return node
     half, left = node.radius / 2, rows
     singles = []
@@ -65,6 +68,9 @@ def cover_tree(points: np.ndarray, rows: np.ndarray, center: int | None = None)
             singles.append(int(mine[0]))
         else:
             node.children.append(cover_tree(points, mine, next_center))
+        if len(singles) > max(LEAF_ROWS, 8 * len(node.children)):  # points far from one another: more centres would cover nothing
+            singles.extend(left.tolist())
+            break
         if len(left):
             next_center = int(left[0])
     for i in range(0, len(singles), LEAF_ROWS):  # points that cover nothing else share leaves under this node
@@ -74,17 +80,14 @@ def cover_tree(points: np.ndarray, rows: np.ndarray, center: int | None = None)
     return node
 
 
-def _leaves(node: Node) -> list[Node]:
-    return [x for c in node.children for x in _leaves(c)] if node.children else [node]
-
-
 def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products: by float64 where no sum can pass 2^53, else by Python integers."""
+    """Exact integer products: by float64 where no sum can pass 2^53, else by Python integers, cut to 64 bits."""
     top = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if top < _EXACT:
         return (a @ b.T).astype(np.int64)
     exact = [[int(x) for x in row] for row in b]
-    return np.array([[sum(int(x) * y for x, y in zip(row, other, strict=True)) for other in exact] for row in a], dtype=np.int64).reshape(len(a), len(b))
+    found = [[max(-_MOST, min(_MOST, sum(int(x) * y for x, y in zip(row, other, strict=True)))) for other in exact] for row in a]
+    return np.array(found, dtype=np.int64).reshape(len(a), len(b))
 
 
 class Best:
@@ -99,51 +102,52 @@ class Best:
         return int(self.score[rows, -1].min())
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        for r, s in zip(rows, scores, strict=True):
-            better = s >= self.score[r, -1]
-            if better.any():
-                both, names = np.concatenate([self.score[r], s[better]]), np.concatenate([self.id[r], ids[better]])
-                order = np.lexsort((names, -both))[: self.k]
-                self.score[r], self.id[r] = both[order], names[order]
-
-
-def search_block(queries: np.ndarray, query_ids: np.ndarray, query_leaves: list[Node], points: np.ndarray, ids: np.ndarray, best: Best) -> int:
-    """Dual traversal of one block; returns how many scores were computed."""
-    root = cover_tree(points, np.arange(len(points)))
-    size = np.sqrt((points**2).sum(axis=1))
+        """``scores``: a row for each of ``rows``, a column for each id; the least value stands for none."""
+        some = np.flatnonzero((scores >= self.score[rows, -1:]).any(axis=1))
+        if len(some):
+            rows, both = rows[some], np.concatenate([self.score[rows[some]], scores[some]], axis=1)
+            names = np.concatenate([self.id[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
+            order = np.lexsort((names, -both), axis=-1)[:, : self.k]
+            self.score[rows], self.id[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
+
+
+def _reach(q_at: np.ndarray, q_radius: np.ndarray, p_at: np.ndarray, p_radius: np.ndarray) -> np.ndarray:
+    """Largest inner product of points around centres, rounded up; one side may be a single centre."""
+    q_size, p_size = np.linalg.norm(q_at, axis=1), np.linalg.norm(p_at, axis=1)
+    bound = (q_at * p_at).sum(axis=1) + q_radius * p_size + p_radius * q_size + q_radius * p_radius
+    return bound + (q_size + q_radius) * (p_size + p_radius) * 1e-12 + 1
+
+
+def search_block(queries: np.ndarray, query_ids: np.ndarray, query_tree: Node, points: np.ndarray, ids: np.ndarray, best: Best) -> int:
+    """Walks the queries' tree and the block's together; returns how many scores were computed."""
     done = 0
-    for leaf in query_leaves:
-        q, qr = queries[leaf.center], leaf.radius
-        q_size = float(np.sqrt((q**2).sum()))
-
-        def reach(nodes: list[Node], q=q, qr=qr, q_size=q_size) -> np.ndarray:
-            at = np.array([x.center for x in nodes])
-            r = np.array([x.radius for x in nodes])
-            bound = points[at] @ q + qr * size[at] + r * q_size + r * qr
-            return bound + np.abs(bound) * 1e-9 + 1
-
-        heap = [(float(reach([root])[0]), root)]
-        while heap:
-            bound, node = heap.pop()
-            if bound < best.worst(leaf.rows):
-                continue
-            if node.children:
-                bounds = reach(node.children)
-                order = np.argsort(bounds)  # the best is taken from the end
-                heap.extend((float(bounds[i]), node.children[i]) for i in order)
-                continue
-            scores = dot(queries[leaf.rows], points[node.rows])
+    stack = [(np.inf, query_tree, cover_tree(points, np.arange(len(points))))]
+    while stack:
+        bound, q, d = stack.pop()
+        if bound < best.worst(q.rows):
+            continue
+        if not q.children and not d.children:
+            scores = dot(queries[q.rows], points[d.rows])
             done += scores.size
-            other = query_ids[leaf.rows][:, None] != ids[node.rows][None, :]
-            for r, s, keep in zip(leaf.rows, scores, other, strict=True):
-                best.add(np.array([r]), s[keep][None, :], ids[node.rows][keep])
+            scores[query_ids[q.rows][:, None] == ids[d.rows][None, :]] = _LEAST
+            best.add(q.rows, scores, ids[d.rows])
+            continue
+        split_query = bool(q.children) and (not d.children or q.radius > d.radius)
+        pairs = [(c, d) for c in q.children] if split_query else [(q, c) for c in d.children]
+        with np.errstate(over="ignore", invalid="ignore"):
+            bounds = _reach(
+                queries[[x.center for x, _ in pairs]], np.array([x.radius for x, _ in pairs]), points[[y.center for _, y in pairs]], np.array([y.radius for _, y in pairs])
+            )
+        bounds[np.isnan(bounds)] = np.inf  # beyond float64: nothing is pruned
+        stack.extend((float(bounds[i]), *pairs[i]) for i in np.argsort(bounds))  # the best is taken from the end
     return done
 
 
 def _vectors(batch_ids: pa.Array, column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By dimension: ids and floored rows; rows that are null or hold null or non-finite components are left out."""
     lists = column.cast(pa.large_list(pa.float64()))
-    values = lists.values.to_numpy(zero_copy_only=False)
+    with np.errstate(over="ignore"):
+        values = np.floor(lists.values.to_numpy(zero_copy_only=False) * SCALE)
     where = lists.offsets.to_numpy()
     ids = batch_ids.to_numpy(zero_copy_only=False)
     valid = np.asarray(lists.is_valid()) & np.asarray(batch_ids.is_valid())
@@ -154,17 +158,18 @@ def _vectors(batch_ids: pa.Array, column: pa.Array) -> dict[int, tuple[np.ndarra
     for d in np.unique(length[valid]):
         rows = np.flatnonzero(valid & (length == d))
         take = where[rows][:, None] + np.arange(d)[None, :]
-        out[int(d)] = ids[rows].astype(np.int64), np.floor(values[take] * SCALE)
+        out[int(d)] = ids[rows].astype(np.int64), values[take]
     return out
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of largest integer inner product for each row with ``is_query``.
 
-    Components are floored after scaling, scores are exact (they must fit in
-    64 bits); ties go to the smaller id and a query is no candidate of its
-    own.  Rows with a null id, a null vector, or null or non-finite components
-    take no part, and only vectors of one dimension are compared.  Fewer
+    Components are floored after scaling and scores are exact; past 64 bits they
+    are cut to the largest or least value.  Ties go to the smaller id and a query
+    is no candidate of its own.  Rows with a null id, a null vector, or
+    components that are null or not finite (also after scaling) take no part,
+    and only vectors of one dimension are compared; long ones are handled whole.  Fewer
     candidates give fewer rows.  A repeated row is a candidate once for each
     time, but one query; rows with a query's own id are never its candidates.
     Other columns play no part.  Queries are broadcast in passes of bounded
@@ -174,7 +179,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id",
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v"), is_query.alias("q"))
     rows = rows.where("id is not null and v is not null")
     total = rows.count()
-    tasks = max(1, -(-total // TASK_ROWS))
+    tasks = max(1, -(-total // TASK_ROWS), min(spark.sparkContext.defaultParallelism, -(-total // BLOCK_ROWS)))
     rows = stored(rows.repartition(tasks, "id"), "vectors") if tasks > 1 else rows
     ask = rows.where("q").select("id", "v")
     size = ask.agg(F.sum(8 * F.size("v") + 16)).first()[0] or 0
@@ -183,18 +188,19 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id",
     for p in range(passes):
         part = ask.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p) if passes > 1 else ask
         queries = _vectors_of(part)
-        shipped = spark.sparkContext.broadcast(queries)
+        trees = {d: (q_ids, q, cover_tree(q, np.arange(len(q)))) for d, (q_ids, q) in queries.items()}
+        shipped = spark.sparkContext.broadcast(trees)
 
         def run(batches, shipped=shipped):
-            state = {d: (q_ids, q, _leaves(cover_tree(q, np.arange(len(q)))), Best(len(q), k)) for d, (q_ids, q) in shipped.value.items()}
+            state = {d: (q_ids, q, tree, Best(len(q), k)) for d, (q_ids, q, tree) in shipped.value.items()}
             waiting: dict[int, list] = {}
 
             def flush(d):
                 parts = waiting.pop(d, [])
                 if parts and d in state:
                     ids, points = np.concatenate([a for a, _ in parts]), np.concatenate([b for _, b in parts])
-                    q_ids, q, leaves, best = state[d]
-                    search_block(q, q_ids, leaves, points, ids, best)
+                    q_ids, q, tree, best = state[d]
+                    search_block(q, q_ids, tree, points, ids, best)
 
             for batch in batches:
                 for at in range(0, batch.num_rows, BLOCK_ROWS):
