@@ -16,6 +16,7 @@ from orfloom.llm.language import UNDETERMINED, fit_language_profiles, likeness_f
 from orfloom.llm.mixing import mix_sources
 from orfloom.llm.queries import MIX_WEIGHTS, VOCABULARY, mix_levels
 from orfloom.llm.storage import stored
+from orfloom.llm.text import free_name
 from orfloom.llm.token_files import read_token_files, write_token_files
 
 #: A label gives way where another language's cosine is so many standard errors larger.
@@ -38,9 +39,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of the smallest id stays; a row that is repeated stays once."""
-    stay = jaccard_classes(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Of each class of near copies one row stays, that of the smallest id (null ids last); a row that is repeated stays once.
+
+    Rows are told apart by id and text, so that null and repeated ids lose no text.
+    """
+    key = free_name(docs.columns, "__key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    classes = jaccard_classes(keyed.select(key, "text"), doc_id=key).groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("class"))
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first")
+    stay = keyed.select(key, "doc_id").join(classes, key).groupBy("class").agg(order).select(F.col(f"first.{key}").alias(key))
+    return keyed.join(stay, key, "left_semi").dropDuplicates([key, "doc_id", "text"]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
