@@ -62,3 +62,15 @@ def test_empty(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_by_row(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(80))
+    near = long.replace("w40", "x")
+    rows = [(5, long), (None, near), (7, long), (3, near), (None, "alone without an id"), (9, "one of two texts"), (9, "the other text of nine"), (None, None), (4, None), (4, None), (None, "alone without an id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "more") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, __key string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    want = [(3, near), (None, "alone without an id"), (9, "one of two texts"), (9, "the other text of nine"), (None, None), (4, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str) and all(r["__key"] == "more" for r in got)
