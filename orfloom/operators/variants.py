@@ -154,3 +154,49 @@ def variant_effects(hits: DataFrame, logprobs: str = "logprobs", letters: str =
     delta = F.when(ok, F.try_element_at(row, mt) - F.try_element_at(row, wt))
     status = F.when(F.col("consequence") != "missense", "not_missense").when(row.isNull(), "no_cache").when((wt == 0) | (mt == 0), "bad_residue").otherwise("ok")
     return hits.withColumn("effect_delta", delta).withColumn("effect_status", status)
+
+
+def spliced(exons: str | Column, chromosome: str | Column, strand: str | Column, start: Column | None = None, end: Column | None = None) -> Column:
+    """Transcript of sorted half-open exons cut from its chromosome's sequence, read on its strand (SC03); ``start``, ``end``: the coding part of it."""
+    e = F.col(exons) if isinstance(exons, str) else exons
+    c = F.col(chromosome) if isinstance(chromosome, str) else chromosome
+    s = F.col(strand) if isinstance(strand, str) else strand
+
+    def piece(x: Column) -> Column:
+        lo = x.start if start is None else F.greatest(x.start, start)
+        hi = x.end if end is None else F.least(x.end, end)
+        return F.substr(c, (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
+
+    whole = F.concat_ws("", F.transform(e, piece))
+    return F.when(s == "-", reverse_complement(whole)).otherwise(F.upper(whole))
+
+
+def two_frames(pairs: DataFrame, frames: dict[str, tuple[str, str]], fields: list[str]) -> DataFrame:
+    """Each variant called in two frames, ``{prefix: (exons column, coding column)}``, with prefixed results (VC09)."""
+    out = pairs
+    for prefix, (exons, cds) in frames.items():
+        called = classify(out.withColumn("exons", F.col(exons)).withColumn("cds", F.col(cds)))
+        out = called.select(*out.columns, *(F.col(f).alias(f"{prefix}_{f}") for f in fields))
+    return out
+
+
+def chosen_frame(isoform: Column, canonical: Column, isoform_region: Column, canonical_region: Column) -> dict[str, Column]:
+    """Residue, frame and region of a hit: the isoform's frame first, then the canonical one; ``unique`` wins (VC06)."""
+    other = isoform.isNull() | ((canonical_region == "unique") & ~isoform_region.eqNullSafe(F.lit("unique")) & canonical.isNotNull())
+    return {
+        "residue": F.when(other, canonical).otherwise(isoform), "frame": F.when(other & canonical.isNotNull(), "canonical").when(isoform.isNotNull(), "isoform"),
+        "region": F.when(other, canonical_region).otherwise(isoform_region),
+    }
+
+
+def wrong_reference(hits: DataFrame, key: list[str], mismatch: Column, checked: Column, share: float = 0.5, least: int = 10) -> DataFrame:
+    """Per key: bases checked against the reference, mismatches, and whether they speak for another assembly (AG30)."""
+    out = hits.groupBy(*key).agg(F.count_if(checked).alias("n_checked"), F.count_if(checked & mismatch).alias("n_mismatch"))
+    return out.withColumn("wrong_reference", (F.col("n_checked") >= least) & (F.col("n_mismatch") >= share * F.col("n_checked")))
+
+
+def severest(hits: str | Column, rank: dict[str, int], kind: str, tie: str, n: int) -> Column:
+    """The ``n`` severest hits of a list, ties by a field, unknown kinds last (TK04)."""
+    ranks = F.create_map(*(F.lit(x) for pair in rank.items() for x in pair))
+    listed = F.transform(F.col(hits) if isinstance(hits, str) else hits, lambda h: F.struct((-F.coalesce(F.element_at(ranks, h[kind]), F.lit(0))).alias("severity"), h[tie].alias("tie"), h.alias("hit")))
+    return F.transform(F.slice(F.array_sort(listed), 1, n), lambda x: x.hit)

@@ -99,12 +99,13 @@ def transcript_abundance(df: DataFrame, id_col: str, value: str | None = None, l
 
 
 def read_variant_lines(spark: SparkSession, path: str | list[str], longest: int = 4 << 20) -> DataFrame:
-    """Lines of plain or compressed variant files without headers; over-long ones are left out (SRC08).
+    """Lines of plain or compressed variant files without headers (SRC08); a line of more than ``longest`` characters is an error.
 
     ``line`` is unique and grows within a file.
     """
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), "value")
-    return rows.where(~F.col("value").startswith("#") & (F.length("value") <= longest))
+    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), "value").where(~F.col("value").startswith("#"))
+    too_long = F.raise_error(F.concat(F.lit(f"a variant line has more than {longest} characters: "), F.substring("value", 1, 40))).cast("string")
+    return rows.withColumn("value", F.when(F.length("value") > longest, too_long).otherwise(F.col("value")))
 
 
 def clinical_variants(spark: SparkSession, path: str, assembly: str = "GRCh38") -> DataFrame:
@@ -114,21 +115,36 @@ def clinical_variants(spark: SparkSession, path: str, assembly: str = "GRCh38")
     return df.where(F.col("Assembly") == assembly)
 
 
-def population_variants(lines: DataFrame) -> DataFrame:
+def annotation_fields(lines: DataFrame, name: str = "vep") -> list[str]:
+    """Names of an annotation's fields in their order, from the header line that describes it (``... Format: A|B|C``)."""
+    row = lines.where(F.col("value").startswith(f"##INFO=<ID={name},")).select(F.regexp_extract("value", r"Format: ([^\">]+)", 1).alias("f")).first()
+    if row is None or not row["f"]:
+        raise ValueError(f"no header line describes {name}")
+    return [x.strip() for x in row["f"].split("|")]
+
+
+def population_variants(lines: DataFrame, fields: list[str], name: str = "vep") -> DataFrame:
     """PASS rows by their first canonical transcript annotation that has a symbol (SRC11).
 
-    Annotations lie under ``vep=``: comma-separated entries with fields split
-    at the pipe: allele, consequence, symbol, canonical, hgvsc, hgvsp, position.
+    Annotations lie under ``name``: comma-separated entries whose fields are
+    split at the pipe, in the order of ``fields`` (see ``annotation_fields``).
     """
+    lacking = [x for x in ("Consequence", "SYMBOL", "CANONICAL", "HGVSc", "HGVSp", "Protein_position") if x not in fields]
+    if lacking:
+        raise ValueError(f"annotation fields missing: {lacking}")
+
+    def field(entry, what: str):
+        return F.get(entry, F.lit(fields.index(what)))
+
     f = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("#")).select(f.alias("f")).where(F.col("f")[6] == "PASS").select("f", F.str_to_map(F.col("f")[7], F.lit(";"), F.lit("=")).alias("info"))
-    notes = F.transform(F.split(F.element_at("info", F.lit("vep")), ","), lambda x: F.split(x, r"\|"))
-    best = F.try_element_at(F.filter(notes, lambda x: (F.get(x, F.lit(3)) == "YES") & (F.get(x, F.lit(2)) != "")), F.lit(1))
+    notes = F.transform(F.split(F.element_at("info", F.lit(name)), ","), lambda x: F.split(x, r"\|"))
+    best = F.try_element_at(F.filter(notes, lambda x: (field(x, "CANONICAL") == "YES") & (field(x, "SYMBOL") != "")), F.lit(1))
     rows = rows.withColumn("v", best).where("v is not null")
     chrom, pos, ref, alt = normalize_chrom(F.col("f")[0]), F.col("f")[1].cast("long"), F.col("f")[3], F.col("f")[4]
     return rows.select(chrom.alias("chrom"), pos.alias("pos"), ref.alias("ref"), alt.alias("alt"), F.concat_ws(":", chrom, pos.cast("string"), ref, alt).alias("variant_id"),
-                       F.element_at("info", F.lit("AF")).try_cast("double").alias("allele_frequency"), F.col("v")[1].alias("consequence"), F.col("v")[2].alias("gene_symbol"),
-                       F.get("v", F.lit(5)).alias("hgvsp"), F.get("v", F.lit(4)).alias("hgvsc"), F.get("v", F.lit(6)).alias("protein_position"))
+                       F.element_at("info", F.lit("AF")).try_cast("double").alias("allele_frequency"), 
+                       *(field(F.col("v"), x).alias(y) for x, y in (("Consequence", "consequence"), ("SYMBOL", "gene_symbol"), ("HGVSp", "hgvsp"), ("HGVSc", "hgvsc"), ("Protein_position", "protein_position"))))
 
 
 def somatic_variants(lines: DataFrame, fields: list[str]) -> DataFrame:
@@ -184,9 +200,12 @@ def flatten_structs(df: DataFrame, drop_lists: bool = True) -> DataFrame:
     return df.select(*(x for f in df.schema for x in walk(f"`{f.name}`", f)))
 
 
-def expand_map(df: DataFrame, column: str, absent=None) -> DataFrame:
-    """A column for each key of all rows; an absent key is ``absent``, a null map null (SRC16).  Keys are a small open set."""
-    keys = sorted(r["k"] for r in df.select(F.explode(F.map_keys(column)).alias("k")).distinct().limit(10_000).collect())
+def expand_map(df: DataFrame, column: str, absent=None, most: int = 10_000) -> DataFrame:
+    """A column for each key of all rows; an absent key is ``absent``, a null map null (SRC16).  More than ``most`` keys, too many for columns, are an error."""
+    found = df.select(F.explode(F.map_keys(column)).alias("k")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} keys")
+    keys = sorted(r["k"] for r in found)
     cols = [F.when(F.col(column).isNotNull(), F.coalesce(F.element_at(column, F.lit(k)), F.lit(absent))).alias(f"{column}.{k}") for k in keys]
     return df.select(*(c for c in df.columns if c != column), *cols)
 

@@ -90,7 +90,11 @@ def test_readers(spark, tmp_path):
 
 def test_population_and_somatic(spark):
     lines = spark.createDataFrame([("1\t5\t.\tA\tG\t.\tPASS\tAF=0.1;FLAG;vep=G|mis||NO|c|p|1,G|mis|GENE|YES|c2|p2|7",), ("1\t6\t.\tA\tG\t.\tAC0\tAF=1",)], "value string")
-    p = readers.population_variants(lines).collect()
+    header = spark.createDataFrame([('##INFO=<ID=vep,Number=.,Type=String,Description="Annotations. Format: Allele|Consequence|SYMBOL|CANONICAL|HGVSc|HGVSp|Protein_position">',)], "value string")
+    fields = readers.annotation_fields(header)
+    p = readers.population_variants(lines, fields).collect()
+    turned = readers.population_variants(lines, ["Allele", "SYMBOL", "Consequence", "CANONICAL", "HGVSc", "HGVSp", "Protein_position"]).collect()
+    assert [(r["consequence"], r["gene_symbol"]) for r in turned] == [("GENE", "mis")]
     assert [(r["gene_symbol"], r["allele_frequency"], r["hgvsp"], r["protein_position"]) for r in p] == [("GENE", 0.1, "p2", "7")]
     s = readers.somatic_variants(lines, ["AF", "FLAG", "NONE"]).collect()
     assert [(r["AF"], r["FLAG"], r["NONE"]) for r in s] == [("0.1", "True", None), ("1", None, None)]
@@ -141,3 +145,16 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "hits")).count() == 4
     events = spark.createDataFrame([("u", "2024-01-01 00:05:00"), ("u", "2024-01-01 00:15:00")], "u string, t string").withColumn("t", F.to_timestamp("t"))
     assert stream_quota(events, "u", "t").agg(F.max("n")).first()[0] == 2
+
+
+def test_nothing_is_cut_in_silence(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "v.vcf").write_text("#h\nchr1\t5\t.\tA\tG\nchr1\t6\t.\tA\t" + "G" * 60 + "\n")
+    assert readers.read_variant_lines(spark, str(tmp_path / "v.vcf")).count() == 2
+    with pytest.raises(Exception, match="more than 50 characters"):
+        readers.read_variant_lines(spark, str(tmp_path / "v.vcf"), longest=50).collect()
+    df = spark.sql("select map('a', 1, 'b', 2, 'c', 3) as m")
+    assert readers.expand_map(df, "m").columns == ["m.a", "m.b", "m.c"]
+    with pytest.raises(ValueError, match="more than 2 keys"):
+        readers.expand_map(df, "m", most=2)
