@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orfloom.llm.storage import give_back
 from orfloom.llm.text import ALNUM_WORDS, LOWER, hashed_words, slices, span_hashes, with_text, word_spans
 
 #: Benchmark text that is broadcast; a larger one is to be applied in parts.
@@ -253,5 +254,6 @@ def decontaminate(
                     out.append(pa.array(clean, pa.string()))
                 piece = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(len(keep))), *out], names=[*(f.name for f in keep), *names])
+        give_back()
 
     return rows.mapInArrow(run, T.StructType([*keep, *added]))

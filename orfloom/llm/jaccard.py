@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orfloom.llm.components import components
-from orfloom.llm.storage import bounded_batches, stored
+from orfloom.llm.storage import bounded_batches, give_back, stored
 from orfloom.llm.text import SPACE_WORDS, hashed_words, mix, slices
 
 #: Counters of the sketch, broadcast: a fixed size.
@@ -115,6 +115,7 @@ def _read_sets(docs: DataFrame, size: int) -> DataFrame:
                 [none, none, none, pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=["doc_id", "n", "sid", "block", "counts"],
             )
+        give_back()
 
     return stored(docs.mapInArrow(run, _SETS), "shingle-sets")
 
@@ -162,6 +163,7 @@ def _prefixes(docs: DataFrame, size: int, num: int, den: int, classes) -> DataFr
                         sizes.append(len(s))
                         keys.append(ordered_prefix(s, order, num, den).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), _lists(keys, pa.int64())], names=["sid", "n", "keys"])
+        give_back()
 
     return stored(docs.mapInArrow(run, "sid long, n long, keys array<long>"), "shingle-prefixes")
 
@@ -253,6 +255,7 @@ def _contents(docs: DataFrame, size: int, ids) -> DataFrame:
                         sids.append(sid)
                         contents.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
+        give_back()
 
     return stored(docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"]), "shingle-contents")
 
@@ -279,6 +282,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, nu
                 shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 keep[i] = den * shared >= num * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+        give_back()
 
     return stored(both.mapInArrow(run, "a long, b long"), "links")
 
@@ -359,7 +363,9 @@ def _many_pairs(hot: DataFrame, rows: DataFrame, num: int, den: int) -> DataFram
 
     def multiply(frame: pd.DataFrame) -> pd.DataFrame:
         key, i, j = (int(frame[c].iloc[0]) for c in ("key", "i", "j"))
-        return pd.DataFrame(_block_product(frame[frame["block"] == i], frame[frame["block"] == j], i == j, key, num, den), columns=["a", "b"])
+        found = _block_product(frame[frame["block"] == i], frame[frame["block"] == j], i == j, key, num, den)
+        give_back()
+        return pd.DataFrame(found, columns=["a", "b"])
 
     return many.groupBy("key", "i", "j").applyInPandas(multiply, "a long, b long")
 

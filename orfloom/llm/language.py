@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.storage import bounded_batches
+from orfloom.llm.storage import bounded_batches, give_back
 from orfloom.llm.text import slices, with_text
 
 DIMENSIONS = 512
@@ -219,6 +219,7 @@ def predict_language(df: DataFrame, profiles: LanguageProfiles, text: str = "tex
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(i) for i in range(len(keep))), pa.array(labels[pred], pa.string()), pa.array(score), *more], names=[*(f.name for f in keep), *names]
                 )
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
