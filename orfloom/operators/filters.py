@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orfloom.scratch import stored
+
 REASONS = ["NotReferenceTranscript", "LowReadcounts", "NotSignificant", "UpstreamTIS"]
 
 
@@ -43,23 +45,47 @@ def suppress_within(df: DataFrame, part: list[str], pos: str, score: str, row_id
     """Rows that survive greedy downstream suppression (WN01).
 
     In priority order (``first``, then score from the top, position, id) a row
-    is kept unless a kept row lies at most ``buffer`` before it (or at it).
-    A group is split where neighbours are farther apart than the buffer:
-    nothing reaches over such a gap, so only a cluster is folded in one row.
+    is kept unless a kept row lies at most ``buffer`` before it (or at it); one
+    without a position is kept.  Of one position only the best row can stay, so
+    the others go before anything is sorted.  Then come rounds: a row with no
+    better undecided row in its reach is kept, and what it reaches goes.  A
+    round sees bins of positions, with the rows that reach into a bin copied to
+    it, so that one key is dealt over many tasks and no group is collected.
     """
-    w = Window.partitionBy(*part).orderBy(pos, row_id)
-    gap = F.col(pos) - F.lag(pos).over(w) > F.lit(buffer)
-    clusters = df.select(*part, F.col(pos).alias("__pos"), F.col(row_id).alias("__id"), F.coalesce(-F.col(score), F.lit(float("inf"))).cast("double").alias("__score"),
-                         (F.when(F.coalesce(first, F.lit(False)), 0).otherwise(1) if first is not None else F.lit(0)).alias("__first"),
-                         F.when(gap, 1).otherwise(0).alias("__new"))
-    clusters = clusters.withColumn("__cluster", F.sum("__new").over(Window.partitionBy(*part).orderBy("__pos", "__id")))
-    rows = clusters.groupBy(*part, "__cluster").agg(F.sort_array(F.collect_list(F.struct("__first", "__score", F.col("__pos").alias("p"), F.col("__id").alias("i")))).alias("rows"))
-    kept = F.aggregate(
-        "rows", F.expr("filter(rows, x -> false)"),
-        lambda a, x: F.when(F.exists(a, lambda k: (k.p <= x.p) & (x.p <= k.p + F.lit(buffer))), a).otherwise(F.concat(a, F.array(x))),
-    )
-    ids = rows.select(*part, F.explode(kept).alias("k")).select(*part, F.col("k.i").alias(row_id))
-    return df.join(ids, [*part, row_id], "left_semi")
+    keys = [f"__part{k}" for k in range(len(part))]
+    rows = df.select(*(F.col(c).alias(k) for c, k in zip(part, keys, strict=True)), F.col(pos).cast("double").alias("__pos"), F.struct(
+        (F.when(F.coalesce(first, F.lit(False)), 0).otherwise(1) if first is not None else F.lit(0)).alias("first"),
+        F.coalesce(-F.col(score), F.lit(float("inf"))).cast("double").alias("score"), F.col(row_id).alias("id")).alias("__rank"))
+    kept = rows.where("__pos is null").select(*keys, F.col("__rank.id").alias("__id"))
+    left = rows.where("__pos is not null").groupBy(*keys, "__pos").agg(F.min("__rank").alias("__rank"))
+    while True:
+        seen = stored(_suppression_rounds(left, keys, float(buffer)), "suppression")
+        kept = kept.unionByName(seen.where("__kept").select(*keys, F.col("__rank.id").alias("__id")))
+        left = seen.where("not __kept").drop("__kept")
+        if left.isEmpty():
+            break
+    same = F.col(row_id) == F.col("__id")
+    for c, k in zip(part, keys, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    return df.join(kept, same, "left_semi")
+
+
+def _suppression_rounds(rows: DataFrame, keys: list[str], buffer: float, rounds: int = 3) -> DataFrame:
+    """Rows that are kept or still undecided after some rounds; each round looks two buffers back, so bins overlap by that."""
+    back = 2 * rounds * buffer
+    width = 8 * back or 1.0
+    home = F.floor(F.col("__pos") / width)
+    rows = rows.withColumn("__home", home).withColumn("__bin", F.explode(F.sequence(home, F.floor((F.col("__pos") + back) / width))))
+    reach = f"over (partition by {', '.join([*keys, '__bin'])} order by __pos range between {buffer!r}D preceding and current row)"
+    # at equal scores the earlier position goes first, then the id
+    rows = rows.withColumn("__order", F.struct("__rank.first", "__rank.score", "__pos", "__rank.id")).withColumn("__kept", F.lit(False)).withColumn("__open", F.lit(True))
+    for _ in range(rounds):
+        best = F.expr(f"min(case when __open then __order end) {reach}")
+        rows = rows.withColumn("__now", F.col("__open") & (best == F.col("__order")))
+        over = F.coalesce(F.expr(f"min(case when __now then __order end) {reach}") < F.col("__order"), F.lit(False))
+        rows = rows.withColumn("__over", over)
+        rows = rows.withColumn("__kept", F.col("__kept") | F.col("__now")).withColumn("__open", F.expr("__open and not __now and not __over"))
+    return rows.where("__bin = __home and (__kept or __open)").select(*keys, "__pos", "__rank", "__kept")
 
 
 def collapse_to_source(df: DataFrame, id_col: str, samples: dict[str, tuple[str, str]], annotated: Column, keep_unevaluated: bool = True) -> DataFrame:

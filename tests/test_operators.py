@@ -24,6 +24,30 @@ def test_suppression_is_the_greedy_loop(spark):
     assert got == want
 
 
+def test_suppression_keeps_rows_without_position_and_one_of_a_position(spark):
+    rows = [(None, 1, None, 1.0), (None, 2, 5, 1.0), ("a", 3, 5, None), ("a", 4, 5, 2.0), ("a", 5, 5, 2.0), ("a", 6, None, 0.0), ("a", 7, 15, 9.0), ("a", 8, 16, 1.0)]
+    df = spark.createDataFrame(rows, "g string, i int, p int, s double")
+    assert sorted(r["i"] for r in filters.suppress_within(df, ["g"], "p", "s", "i", 10).collect()) == [1, 2, 4, 6, 7]
+    assert filters.suppress_within(df.limit(0), ["g"], "p", "s", "i", 10).count() == 0
+    chain = spark.createDataFrame([(0, i, 5 * i, float(-i)) for i in range(100)], "g int, i int, p int, s double")  # a chain that many rounds decide
+    assert sorted(r["i"] for r in filters.suppress_within(chain, ["g"], "p", "s", "i", 5).collect()) == list(range(0, 100, 2))
+
+
+def test_quota_picks_fall_through_to_the_next_group(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.randint(0, 9), rng.choice("xyz"), float(rng.randint(0, 40))) for i in range(200)] + [(900, 1, None, 99.0), (901, None, "x", 99.0)]
+    df = spark.createDataFrame(rows, "i int, g int, s string, v double")
+    got = {(r["i"], r["rank"]) for r in stats.quota_picks(df, "i", "g", "s", "v", 3).collect()}
+    groups, filled, want = set(), {}, set()
+    for i, g, s, _ in sorted(rows, key=lambda r: (-r[3], r[0])):
+        if g is not None and s is not None and g not in groups and filled.get(s, 0) < 3:
+            groups.add(g)
+            filled[s] = filled.get(s, 0) + 1
+            want.add((i, filled[s]))
+    assert got == want and len(want) == 9
+    assert stats.quota_picks(df.limit(0), "i", "g", "s", "v", 3).count() == 0
+
+
 def test_range_join_is_the_inequality_join(spark):
     rng = random.Random(4)
     a = [(i, x, x + rng.randint(0, 30)) for i in range(80) for x in [rng.randint(-50, 200)]]
