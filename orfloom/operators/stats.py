@@ -210,15 +210,29 @@ def extreme_picks(df: DataFrame, row_id: str, components: list[str]) -> DataFram
 
 
 def quota_picks(df: DataFrame, row_id: str, group: str, stratum: str, score: str, per_stratum: int, excluded: DataFrame | None = None) -> DataFrame:
-    """The best rows of each stratum, each of another group, out of the allowed pool (TK06).
+    """Rows of the allowed pool claimed from the best score down, each of another group, ``per_stratum`` of each stratum (TK06).
 
-    Each group is claimed once by its best row, so that strata never share a
-    group and no driver loop is needed.
+    A stratum whose best groups are taken falls through to its next ones.  The
+    other strata claim fewer than ``per_stratum * strata`` groups, so that many
+    candidates of each stratum hold every pick; only they come to the driver,
+    one by one, and what it keeps is the picks.
     """
     pool = df.join(excluded, row_id, "left_anti") if excluded is not None else df
-    best = pool.groupBy(group).agg(F.min_by(F.struct(row_id, stratum, score), F.struct(-F.col(score), F.col(row_id))).alias("r")).select(group, "r.*")
+    pool = pool.select(row_id, group, stratum, score).where(F.col(group).isNotNull() & F.col(stratum).isNotNull() & F.col(score).isNotNull())
+    best = pool.groupBy(stratum, group).agg(F.min_by(F.struct(row_id, score), F.struct(-F.col(score), F.col(row_id))).alias("r")).select("r.*", group, stratum)
+    strata = pool.select(stratum).distinct().count()
     w = Window.partitionBy(stratum).orderBy(F.desc(score), F.asc(row_id))
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_stratum)
+    short = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_stratum * strata).select(row_id, group, stratum, score, "rank")
+    groups, filled, picks = set(), {}, []
+    for row in short.orderBy(F.desc(score), F.asc(row_id)).toLocalIterator():
+        if row[group] in groups or filled.get(row[stratum], 0) == per_stratum:
+            continue
+        groups.add(row[group])
+        filled[row[stratum]] = filled.get(row[stratum], 0) + 1
+        picks.append((*row[:4], filled[row[stratum]]))
+        if len(picks) == per_stratum * strata:
+            break
+    return df.sparkSession.createDataFrame(picks, short.schema)
 
 
 def factor_analysis(df: DataFrame, row_id: str, blocks: dict[str, list[str]], k: int = 2) -> tuple[DataFrame, DataFrame]:

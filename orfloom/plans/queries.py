@@ -271,8 +271,9 @@ SELECT user_id, (SELECT count(*) FROM a WHERE a.user_id = k.user_id) AS len_a, (
  (SELECT count(*) FROM a JOIN b USING (user_id, p) WHERE a.user_id = k.user_id) AS len_both,
  (SELECT count(*) FROM a ANTI JOIN b USING (user_id, p) WHERE a.user_id = k.user_id) AS len_a_only FROM k""")
 def interval_setops(spark, d):
-    e = events(spark, d).where("event_type in ('click', 'view')").withColumn("x", F.struct((F.col("s") % 600).alias("start"), (F.col("s") % 600 + 20).alias("end")))
-    g = e.groupBy("user_id").agg(F.collect_list(F.when(F.col("event_type") == "click", F.col("x"))).alias("a"), F.collect_list(F.when(F.col("event_type") == "view", F.col("x"))).alias("b"))
+    e = events(spark, d).where("event_type in ('click', 'view')").select("user_id", "event_type", (F.col("s") % 600).alias("start"), (F.col("s") % 600 + 20).alias("end"))
+    m = ranges.merge_intervals(e.distinct(), ["user_id", "event_type"], "start", "end").withColumn("x", F.struct("start", "end"))
+    g = m.groupBy("user_id").agg(F.collect_list(F.when(F.col("event_type") == "click", F.col("x"))).alias("a"), F.collect_list(F.when(F.col("event_type") == "view", F.col("x"))).alias("b"))
     g = g.withColumn("a", iv.normalize("a")).withColumn("b", iv.normalize("b"))
     return g.select("user_id", iv.total_length("a").alias("len_a"), iv.total_length("b").alias("len_b"), iv.total_length(iv.intersect("a", "b")).alias("len_both"), iv.total_length(iv.difference("a", "b")).alias("len_a_only"))
 
@@ -593,7 +594,7 @@ def logistic_pairs(spark, d):
 @register()
 def cluster_bootstrap(spark, d):
     df = t(spark, d, "documents").select("source", F.col("n_chars").cast("double").alias("v"))
-    return stats.cluster_bootstrap(df, "source", "v", 500)
+    return stats.cluster_bootstrap(df, "source", "v")
 
 
 @register("""
@@ -639,11 +640,11 @@ def completeness(spark, d):
 
 
 @register("""
-WITH h AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS s FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY 1), e AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 5 <> 0)
+WITH h AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS s FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1), e AS (SELECT o_orderkey AS k FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT CASE WHEN s IS NULL THEN 'missing' WHEN e.k IS NULL THEN 'orphan' WHEN s > 1 THEN 'duplicate' ELSE 'ok' END AS state, count(*) AS n FROM e FULL JOIN h ON e.k = h.k GROUP BY 1""")
 def shard_audit(spark, d):
-    have = t(spark, d, "lineitem").where("l_orderkey % 7 <> 0").select(F.col("l_orderkey").alias("k"), "l_returnflag")
-    return stats.shard_audit(have, "l_returnflag", "k", t(spark, d, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k")))
+    have = t(spark, d, "lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("k"), "l_returnflag")
+    return stats.shard_audit(have, "l_returnflag", "k", t(spark, d, "orders").where("o_orderpriority <> '5-LOW'").select(F.col("o_orderkey").alias("k")))
 
 
 @register("""
@@ -700,8 +701,15 @@ def extreme_picks(spark, d):
 
 
 @register("""
-WITH b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 1)
-SELECT c_custkey, c_nationkey, c_mktsegment, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rank FROM b) WHERE rank <= 2""")
+WITH RECURSIVE b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 1),
+o AS (SELECT c_custkey, c_nationkey AS g, c_mktsegment AS m, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS turn FROM b),
+p AS (
+  SELECT 0::BIGINT AS turn, []::BIGINT[] AS ids, []::BIGINT[] AS gs, []::VARCHAR[] AS ms
+  UNION ALL
+  SELECT o.turn, CASE WHEN take THEN list_append(ids, c_custkey) ELSE ids END, CASE WHEN take THEN list_append(gs, g) ELSE gs END, CASE WHEN take THEN list_append(ms, m) ELSE ms END
+  FROM (SELECT p.*, c_custkey, g, m, NOT list_contains(gs, g) AND len(list_filter(ms, lambda x: x = m)) < 2 AS take FROM p JOIN o ON o.turn = p.turn + 1) q JOIN o USING (c_custkey, g, m)),
+x AS (SELECT unnest(ids) AS c_custkey FROM (SELECT ids FROM p ORDER BY turn DESC LIMIT 1))
+SELECT c_custkey, c_nationkey, c_mktsegment, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS INT) AS rank FROM x JOIN customer USING (c_custkey)""")
 def quota_picks(spark, d):
     return stats.quota_picks(t(spark, d, "customer"), "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", 2).select("c_custkey", "c_nationkey", "c_mktsegment", "rank")
 
