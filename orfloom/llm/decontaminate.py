@@ -15,15 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orfloom.llm.storage import give_back
-from orfloom.llm.text import ALNUM_WORDS, LOWER, hashed_words, slices, span_hashes, with_text, word_spans
+from orfloom.llm.storage import give_back, stored
+from orfloom.llm.text import ALNUM_WORDS, LOWER, free_name, hashed_words, slices, span_hashes, with_text, word_spans
 
-#: Benchmark text that is broadcast; a larger one is to be applied in parts.
-MOST_BENCHMARK_BYTES = 64 << 20
+#: Benchmark text of a part, about.  Its windows of ten 32-bit symbols take some eight times that, on the driver and in a broadcast.
+PART_BYTES = 8 << 20
 #: Every so many positions of the shard's sequence a suffix position is kept.
 SAMPLE = 16
 #: Text of one shard.
@@ -127,15 +128,13 @@ class Windows:
     names: list[str]
 
 
-def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, size: int) -> Windows:
-    rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).where("i is not null and t is not null")
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if total > MOST_BENCHMARK_BYTES:
-        raise ValueError(f"benchmark of {total} bytes; apply parts of at most {MOST_BENCHMARK_BYTES}")
-    found = sorted((r["i"], r["t"]) for r in rows.collect())
-    names = sorted({i for i, _ in found})
+def benchmark_windows(items: DataFrame, size: int) -> Windows:
+    """The windows of a part of the benchmark, columns ``i`` and ``t``; those of items without an id belong to nobody."""
+    found = sorted(((r["i"], r["t"]) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    names = sorted({i for i, _ in found if i is not None})
     number = {i: k for k, i in enumerate(names)}
-    owner = np.array([number[i] for i, _ in found], dtype=np.int64)
+    nobody = len(names)
+    owner = np.array([number.get(i, nobody) for i, _ in found], dtype=np.int64)
     hashes, first = [np.zeros(0, np.uint64)], [0]
     for _, _, raw, offsets in slices(pa.array([t for _, t in found], pa.string())):
         h, f = hashed_words(raw, offsets, ALNUM_WORDS)
@@ -143,20 +142,21 @@ def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, size: int)
         first.extend((f[1:] + first[-1]).tolist())
     flat = np.concatenate(hashes)
     words = np.unique(flat)
-    symbols = np.searchsorted(words, flat) + 1
+    symbols = (np.searchsorted(words, flat) + 1).astype(np.int32)
     parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
         width = min(size, b - a)
         if width:
             view = np.lib.stride_tricks.sliding_window_view(symbols[a:b], width)
             parts.setdefault(width, []).append((view, np.full(len(view), owner[k])))
-    patterns, items = {}, {}
+    patterns, named = {}, {}
     for width, got in parts.items():
         distinct, which = np.unique(np.concatenate([v for v, _ in got]), axis=0, return_inverse=True)
-        pairs = np.unique(which.ravel() * len(names) + np.concatenate([o for _, o in got]))
+        pairs = np.unique(which.ravel() * (nobody + 1) + np.concatenate([o for _, o in got]))
+        pattern, item = np.divmod(pairs, nobody + 1)
         patterns[width] = distinct
-        items[width] = pairs % len(names), np.searchsorted(pairs // len(names), np.arange(len(distinct) + 1))
-    return Windows(words, patterns, items, names)
+        named[width] = item[item < nobody], np.searchsorted(pattern[item < nobody], np.arange(len(distinct) + 1))
+    return Windows(words, patterns, named, names)
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,14 +197,14 @@ def search_shard(hashes: np.ndarray, first: np.ndarray, windows: Windows) -> tup
         doc, pattern = match // len(patterns), match % len(patterns)
         k, item = _spread(where[pattern], where[pattern + 1])
         pairs.append(doc[k] * len(windows.names) + flat[item])
-    both = np.unique(np.concatenate(pairs))
-    return np.cumsum(change[:-1]) > 0, both // len(windows.names), both % len(windows.names)
+    doc, item = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(windows.names)))
+    return np.cumsum(change[:-1]) > 0, doc, item
 
 
 def decontaminate(
-    df: DataFrame, benchmark: DataFrame, size: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", cleaned: bool = False
+    df: DataFrame, benchmark: DataFrame, size: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", cleaned: bool = False, part_bytes: int = PART_BYTES
 ) -> DataFrame:
-    """Adds ``n_words``, ``n_hit``, ``items`` and ``spans`` to every row; one narrow pass beside a broadcast of the windows.
+    """Adds ``n_words``, ``n_hit``, ``items`` and ``spans`` to every row; a narrow pass beside a broadcast of windows for each part of the benchmark.
 
     A window is ``size`` consecutive words of an item (all its words, if
     fewer); a word of a text inside any occurrence of a window is hit.
@@ -212,18 +212,38 @@ def decontaminate(
     ``spans``: merged byte ranges from the first to the last of adjacent hit
     words.  With ``cleaned``, ``clean_text`` is the text without its spans,
     for the rows that have any (else null).  Null and empty texts and items have no
-    words; items without an id are left out; an empty benchmark hits nothing.
+    words; windows of items without an id hit words and add nothing to ``items``; an
+    empty benchmark hits nothing.  Very long texts are searched whole.
     Columns of ``df`` with the names of the results are replaced.
+
+    A benchmark of more than ``part_bytes`` of text is dealt into parts by a
+    hash of its rows; each pass adds its part's hits to those before, and is
+    written, so that its broadcast can go.
     """
-    windows = df.sparkSession.sparkContext.broadcast(benchmark_windows(benchmark, item_id, item_text, size))
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
+    parts = max(1, -(-(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // part_bytes))
+    before = None
+    for k in range(parts - 1):
+        windows = df.sparkSession.sparkContext.broadcast(benchmark_windows(items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k), size))
+        names = before or (free_name(df.columns, "__items"), free_name(df.columns, "__spans"))
+        df, before = stored(_add_hits(df, windows, text, before, names), "decontaminated"), names
+        windows.unpersist()
+    last = items if parts == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == parts - 1)
+    windows = df.sparkSession.sparkContext.broadcast(benchmark_windows(last, size))
+    return _add_hits(df, windows, text, before, None, cleaned)
+
+
+def _add_hits(df: DataFrame, windows: Broadcast, text: str, before: tuple[str, str] | None, names_of_hits: tuple[str, str] | None, cleaned: bool = False) -> DataFrame:
+    """A pass: the hits in columns ``before`` and those of ``windows``, as columns ``names_of_hits``, or (None) all results."""
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(span))]
-    added += [T.StructField("clean_text", T.StringType())] * cleaned
+    hits = [T.StructField(n, t) for n, t in zip(names_of_hits or ("items", "spans"), (T.ArrayType(T.StringType()), T.ArrayType(span)), strict=True)]
+    added = hits if names_of_hits else [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), *hits]
+    added = added + [T.StructField("clean_text", T.StringType())] * cleaned
     names = [f.name for f in added]
-    keep = [f for f in df.schema.fields if f.name not in names]
+    keep = [f for f in df.schema.fields if f.name not in names and f.name not in (before or ())]
     span_type = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
-    rows, at = with_text(df, [f.name for f in keep], text)
+    rows, at = with_text(df, [*(f.name for f in keep), *(before or ())], text)
 
     def run(batches):
         known = windows.value
@@ -232,13 +252,20 @@ def decontaminate(
                 low = LOWER[raw]
                 starts, ends, first = word_spans(low, offsets, ALNUM_WORDS)
                 hit, doc, item = search_shard(span_hashes(low, starts, ends), first, known)
+                items: list[list[str]] = [[] for _ in range(hi - lo)]
+                for d, i in zip(doc.tolist(), item.tolist(), strict=True):  # in the order of names: sorted
+                    items[d].append(known.names[i])
+                if before:
+                    olds = zip(batch.column(len(keep)).slice(lo, hi - lo).to_pylist(), batch.column(len(keep) + 1).slice(lo, hi - lo).to_pylist(), strict=True)
+                    for d, (old, old_spans) in enumerate(olds):
+                        items[d] = sorted({*items[d], *old}) if old else items[d]
+                        for x in old_spans:  # all words in an earlier span were hit
+                            a, b = np.searchsorted(starts[first[d] : first[d + 1]], [x["start"] + offsets[d], x["end"] + offsets[d]]) + first[d]
+                            hit[a:b] = True
                 total = np.concatenate([[0], np.cumsum(hit)])
                 n_hit = total[first[1:]] - total[first[:-1]]
-                items: list[list[str]] = [[] for _ in range(hi - lo)]
                 spans: list[list[dict]] = [[] for _ in range(hi - lo)]
                 clean: list[str | None] = [None] * (hi - lo)
-                for d, i in zip(doc.tolist(), item.tolist(), strict=True):  # in the order of names: sorted
-                    items[d].append(known.names[i])
                 for d in np.flatnonzero(n_hit).tolist():
                     mine = np.flatnonzero(hit[first[d] : first[d + 1]]) + first[d]
                     cut = np.flatnonzero(np.diff(mine) > 1)
@@ -249,7 +276,9 @@ def decontaminate(
                         whole = raw[offsets[d] : offsets[d + 1]].tobytes()
                         parts = zip([0, *b.tolist()], [*a.tolist(), len(whole)], strict=True)
                         clean[d] = b"".join(whole[x:y] for x, y in parts).decode("utf-8")
-                out = [pa.array(np.diff(first)), pa.array(n_hit.astype(np.int64)), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(span_type))]
+                out = [pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(span_type))]
+                if not names_of_hits:
+                    out = [pa.array(np.diff(first)), pa.array(n_hit.astype(np.int64)), *out]
                 if cleaned:
                     out.append(pa.array(clean, pa.string()))
                 piece = batch.slice(lo, hi - lo)

@@ -139,6 +139,11 @@ def test_decontaminate(spark):
     items = spark.createDataFrame(bench, "item_id long, text string")
     got = decontaminate(table(spark, docs), items, size=5, cleaned=True).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in got} == brute_decontaminate(docs, bench, 5)
+    parted = decontaminate(table(spark, docs), items, size=5, cleaned=True, part_bytes=60)
+    assert parted.columns == decontaminate(table(spark, docs), items, size=5, cleaned=True).columns
+    assert sorted(parted.collect(), key=lambda r: r["doc_id"]) == sorted(got, key=lambda r: r["doc_id"])
+    nameless = decontaminate(table(spark, docs), items.withColumn("item_id", F.lit(None).cast("long")), size=5)
+    assert {(r["doc_id"], r["n_hit"], len(r["items"])) for r in nameless.collect()} == {(r["doc_id"], r["n_hit"], 0) for r in got}
     for r in got:
         cut = b"".join(r["text"].encode()[s["start"] : s["end"]] for s in r["spans"]) if r["spans"] else b""
         assert (r["clean_text"] is None) == (r["n_hit"] == 0)
