@@ -28,7 +28,7 @@ PART_BYTES = 8 << 20
 #: Every so many positions of the shard's sequence a suffix position is kept.
 SAMPLE = 16
 #: Text of one shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 class WaveletMatrix:
@@ -43,7 +43,7 @@ class WaveletMatrix:
             self.ones_before.append(np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]))
             self.zeros.append(len(s) - int(self.ones_before[-1][-1]))
             s = np.concatenate([s[bit == 0], s[bit == 1]])
-        self.first = np.searchsorted(np.sort(symbols), np.arange(top + 2))  # symbols below each symbol
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=top + 1))])  # symbols below each symbol
 
     def rank(self, symbol: np.ndarray, end: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before each end."""
@@ -65,7 +65,7 @@ class FMIndex:
         n, r = len(runs), len(run_starts)
         self.n = n + r
         place = np.arange(n) + np.searchsorted(run_starts, np.arange(n), "right") - 1
-        text = np.zeros(self.n, dtype=np.int64)
+        text = np.zeros(self.n, dtype=np.int32)
         text[place] = runs
         rank = np.empty(self.n, dtype=np.int64)
         ends = np.flatnonzero(text == 0)  # a separator after each run; each sorts as a symbol of its own
@@ -82,13 +82,15 @@ class FMIndex:
             step *= 2
             if new[-1] == self.n - 1 or step >= self.n:
                 break
+        del rank, after, key, new
+        order = order.astype(np.int32)
         self.bwt = text[order - 1]
         self.wavelet = WaveletMatrix(self.bwt, top)
         starts = np.zeros(self.n, dtype=bool)
         starts[np.concatenate([[0], ends[:-1] + 1])] = True
         self.sampled = (order % SAMPLE == 0) | starts[order]
         self.position = np.where(self.sampled, order, -1)  # kept for sampled suffixes only
-        self.place = np.full(self.n, -1, dtype=np.int64)
+        self.place = np.full(self.n, -1, dtype=np.int32)
         self.place[place] = np.arange(n)
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

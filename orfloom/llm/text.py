@@ -19,6 +19,8 @@ from orfloom.llm.storage import bounded_batches
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: Bytes hashed at once, but for longer spans: tables and totals take eight times that.
+HASH_BYTES = 1 << 18
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -104,24 +106,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        table = np.full(size, base, dtype=np.uint64)
+        table = np.full(max(n, HASH_BYTES + 1), base, dtype=np.uint64)
         table[0] = 1
         np.cumprod(table, out=table)
-        if size > 4 * SLICE_BYTES:
+        if n > HASH_BYTES + 1:  # a span longer than that: not kept
             return table
         have = _powers[name] = table
     return have[:n]
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans, by a polynomial over the whole slice."""
-    total = np.empty(len(buf) + 1, dtype=np.uint64)
-    total[0] = 0
-    np.multiply(buf.astype(np.uint64) + np.uint64(1), _power("up", _MULTIPLIER, len(buf)), out=total[1:])
-    np.cumsum(total, out=total)
-    h = (total[ends] - total[starts]) * _power("down", _INVERSE, len(buf) + 1)[starts]
-    return mix(h ^ (ends - starts).astype(np.uint64))
+    """64-bit hashes of byte spans, both ends ascending, by a polynomial over one stretch of the slice after another."""
+    found = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        at = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, at + HASH_BYTES, "right")))
+        a, b = starts[i:j] - at, ends[i:j] - at
+        total = np.zeros(int(b[-1]) + 1, dtype=np.uint64)
+        total[1:] = buf[at : at + len(total) - 1]
+        total[1:] += np.uint64(1)
+        total[1:] *= _power("up", _MULTIPLIER, len(total) - 1)
+        np.cumsum(total, out=total)
+        found[i:j] = (total[b] - total[a]) * _power("down", _INVERSE, len(total))[a]
+        i = j
+    return mix(found ^ (ends - starts).astype(np.uint64))
 
 
 def hashed_words(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
