@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orfloom.llm.conversations import Repair, joined_digests
 from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
@@ -97,6 +98,30 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with one of five damages by the row's key; ``copies`` of each row, ties in the order of the rows as they were."""
+    space = F.lit(" ")
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(key) % 20
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        role.alias("was_role"), text.alias("was_text"), F.when(kind == 3, 2).otherwise(1).alias("copies"), kind.alias("kind"),
+    ).where("kind <> 0")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = Repair(damaged(rows), order_role=F.col("was_role"), order_text=F.col("was_text"), copies=F.col("copies"))
+    found = rows.select("conv_id").distinct()
+    for part in (repair.counts(), repair.audits(), joined_digests(repair.repaired())):
+        found = found.join(part, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    zero, had_rows = F.lit(0).cast("long"), F.col("audit").isNotNull()
+    numbers = [F.when(had_rows, F.col(c)).otherwise(zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_language_id": op2_language_id,
@@ -108,4 +133,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op11_conversation_repair": op11_conversation_repair,
 }

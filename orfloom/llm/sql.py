@@ -1,5 +1,7 @@
 """SQL of the queries that SQL can express."""
 
+from orfloom.llm.conversations_sql import OP11
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = """
@@ -70,4 +72,4 @@ c AS (SELECT node, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS h
 s AS (SELECT node, CASE WHEN bool_or(w = 'allow') THEN 'allow' WHEN bool_or(w = 'block') THEN 'block' ELSE 'allow' END AS shared FROM (SELECT node, {_rule("host", "path", "verdict")} AS w FROM c) GROUP BY 1)
 SELECT page_id, host, path, {_rule("host", "path", "rule")} AS rule, coalesce({_rule("host", "path", "verdict")}, shared, 'allow') AS verdict FROM h LEFT JOIN s USING (node)"""
 
-ORACLES = {"op10_url_filter": OP10, "op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}
+ORACLES = {"op10_url_filter": OP10, "op11_conversation_repair": OP11, "op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}
