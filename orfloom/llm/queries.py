@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orfloom.llm.collocations import collocations
 from orfloom.llm.conversations import Repair, joined_digests
 from orfloom.llm.decontaminate import decontaminate
 from orfloom.llm.jaccard import jaccard_classes
 from orfloom.llm.language import fit_language_profiles, predict_language
 from orfloom.llm.lm import lm_scores
 from orfloom.llm.mixing import mix_sources, words
+from orfloom.llm.pages import extract
 from orfloom.llm.quality import fit_quality, score_quality
 from orfloom.llm.sql import ORACLES  # noqa: F401  (read beside QUERIES)
 from orfloom.llm.token_files import read_token_files, write_token_files
@@ -122,6 +124,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_language_id": op2_language_id,
@@ -134,4 +144,6 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_collocations": op12_collocations,
+    "op13_main_text": op13_main_text,
 }

@@ -72,4 +72,25 @@ c AS (SELECT node, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS h
 s AS (SELECT node, CASE WHEN bool_or(w = 'allow') THEN 'allow' WHEN bool_or(w = 'block') THEN 'block' ELSE 'allow' END AS shared FROM (SELECT node, {_rule("host", "path", "verdict")} AS w FROM c) GROUP BY 1)
 SELECT page_id, host, path, {_rule("host", "path", "rule")} AS rule, coalesce({_rule("host", "path", "verdict")}, shared, 'allow') AS verdict FROM h LEFT JOIN s USING (node)"""
 
-ORACLES = {"op10_url_filter": OP10, "op11_conversation_repair": OP11, "op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}
+OP12 = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+b AS (SELECT row_number() OVER () AS id, lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM p),
+w AS (SELECT id, lang, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM b),
+g AS (SELECT lang, w AS w1, lead(w, 1) OVER q AS w2, lead(w, 2) OVER q AS w3, lead(w, 3) OVER q AS w4 FROM w WINDOW q AS (PARTITION BY id ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS size, w1 AS phrase, count(*) AS a FROM g GROUP BY ALL UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM g WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM g WHERE w4 IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 30),
+k AS MATERIALIZED (SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+u AS MATERIALIZED (SELECT lang, phrase, a FROM f WHERE a >= 30),
+s AS (SELECT k.lang, k.phrase, k.size, k.a, k.k, h.a AS l, t.a AS r, (2000000::HUGEINT * k.a) // (h.a + t.a) AS score FROM k
+  JOIN u h ON h.lang = k.lang AND h.phrase = k.head JOIN u t ON t.lang = k.lang AND t.phrase = k.rest),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT DISTINCT lang, phrase FROM (SELECT c.lang, c.a, unnest(flatten(list_transform(range(2, c.size), lambda z: list_transform(range(1, c.size - z + 2), lambda j: array_to_string(c.w[j:j + z - 1], ' '))))) AS phrase
+  FROM c WHERE size > 2) o JOIN c b USING (lang, phrase) WHERE 100::HUGEINT * o.a >= 80 * b.a),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m ANTI JOIN i USING (lang, phrase)) JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLES = {"op10_url_filter": OP10, "op11_conversation_repair": OP11, "op12_collocations": OP12, "op1_top_k": OP1, "op3_decontamination": OP3, "op7_jaccard_join": OP7}
