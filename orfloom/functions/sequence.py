@@ -65,15 +65,29 @@ def reverse_complement(seq: str | Column) -> Column:
     return F.translate(F.reverse(F.upper(col(seq))), "ACGT", "TGCA")
 
 
+def _residue(codon: Column) -> Column:
+    """The amino acid of three bases, by their places in the order T, C, A, G; X for others."""
+    place = [F.instr(F.lit("TCAG"), F.substr(codon, F.lit(k), F.lit(1))) for k in (1, 2, 3)]
+    at = (place[0] - 1) * 16 + (place[1] - 1) * 4 + place[2]
+    return F.when((place[0] > 0) & (place[1] > 0) & (place[2] > 0) & (F.length(codon) == 3), F.substr(F.lit(STANDARD_CODE), at, F.lit(1))).otherwise(F.lit("X"))
+
+
 def translate(seq: str | Column) -> Column:
     """Amino acids of whole codons; ``*`` for stops, X for gaps and ambiguous bases; a partial codon is dropped."""
     c = F.upper(col(seq))
-    code = literal_map({"".join(b): a for b, a in zip(product("TCAG", repeat=3), STANDARD_CODE, strict=True)})
     n = F.floor(F.length(c) / 3).cast("int")
-    codons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.element_at(code, F.substr(c, i * 3 + 1, F.lit(3))), F.lit("X")))
+    codons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: _residue(F.substr(c, i * 3 + 1, F.lit(3))))
     return F.when(n > 0, F.concat_ws("", codons)).when(c.isNotNull(), "")
 
 
+def translate_short(seq: str | Column) -> Column:
+    """As :func:`translate`, without a loop for up to two codons: a variant's window is seldom more."""
+    c = F.upper(col(seq))
+    n = F.floor(F.length(c) / 3).cast("int")
+    one, two = _residue(F.substring(c, 1, 3)), _residue(F.substring(c, 4, 3))
+    return F.when(n == 1, one).when(n == 2, F.concat(one, two)).otherwise(translate(c))
+
+
 def start_window(transcript: str | Column, offset: str | Column, up: int, down: int) -> Column:
     """Up to ``up`` bases before the start codon's A and ``down`` from it, cut at the transcript's 5' end."""
     at = col(offset)

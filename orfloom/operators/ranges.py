@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orfloom.operators.sweeps import average_ranks
+
 
 def bins(start: Column, end: Column, width: float) -> Column:
     """Bins that the closed range touches."""
@@ -67,7 +69,7 @@ def weighted_track_mean(intervals: DataFrame, track: DataFrame, key: list[str],
 
 
 def merge_intervals(df: DataFrame, key: list[str], start: str, end: str, closed: bool = False, members: str | None = None) -> DataFrame:
-    """Unions of overlapping or adjacent intervals (WN05, WN13); ``closed``: inclusive ends, so ``start <= end + 1`` joins."""
+    """Unions of overlapping or adjacent intervals (WN05); ``closed``: inclusive ends, so ``start <= end + 1`` joins."""
     w = Window.partitionBy(*key).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col(start) > before + (1 if closed else 0)), 1).otherwise(0)
@@ -125,12 +127,12 @@ def running_offset(df: DataFrame, key: list[str], order: list[Column], length: s
 
 
 def normal_scores(df: DataFrame, value: str, part: list[str], transform, out: str = "score") -> DataFrame:
-    """Normal scores of average ranks, ``transform((rank - 0.5) / n)``; nulls stay null (WN08)."""
-    known = F.col(value).isNotNull()
-    w = Window.partitionBy(*part, known)
-    rank = F.rank().over(w.orderBy(value)) + (F.count("*").over(Window.partitionBy(*part, value)) - 1) / 2
-    ranked = df.withColumn("__p", F.when(known, (rank - 0.5) / F.count("*").over(w)))
-    return ranked.withColumn(out, transform(F.col("__p"))).drop("__p")
+    """Normal scores of average ranks, ``transform((rank - 0.5) / n)``; nulls stay null (WN08).
+
+    Ranks are running totals over the distinct values, dealt by ranges of them.
+    """
+    ranked = average_ranks(df, value, part, "__rank")
+    return ranked.withColumn(out, transform((F.col("__rank") - 0.5) / F.col("__rank_of"))).drop("__rank", "__rank_of")
 
 
 def proximity_pairs(df: DataFrame, structure: str, residue: str, xyz: list[str], cutoff: float) -> DataFrame:

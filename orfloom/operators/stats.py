@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orfloom.functions.scalars import numbers_in
+from orfloom.operators.sweeps import average_ranks
+from orfloom.scratch import stored
 
 
 def order_consistency(df: DataFrame, unit: str, a: str, b: str, winner: str) -> DataFrame:
@@ -33,28 +35,80 @@ def quartile_rates(df: DataFrame, value: str, won: Column, row_id: str, part: li
     return df.withColumn("quartile", q).groupBy(*part, "quartile").agg(F.avg(won.cast("int")).alias("win_rate"), F.count("*").alias("n"))
 
 
-def pair_strengths(df: DataFrame, a: str, b: str, winner: str, rounds: int = 200, prior: float = 0.5) -> DataFrame:
-    """Log strengths of the arms by minorise-maximise over pair counts (EQ03); the first arm is 0.
+#: Arms whose square table of wins is worked on in memory (8 MB); more of them stay in Spark.
+DENSE_ARMS = 1000
 
-    Spark counts the pairs; the iteration runs over arms squared numbers.
+
+def pair_strengths(df: DataFrame, a: str, b: str, winner: str, rounds: int = 200, prior: float = 0.5, tolerance: float = 1e-10, dense_arms: int = DENSE_ARMS) -> DataFrame:
+    """Log strengths of the arms by minorise-maximise over pair counts (EQ03), and the ``component`` of arms that met; its first arm is 0.
+
+    Arms of different components were never compared, so each component has a
+    scale of its own.  Spark counts the pairs.  Up to ``dense_arms`` arms the
+    steps run on their square table, else as joins of the strengths with the
+    sparse table of pairs, until no log strength moves by ``tolerance``.
     """
-    spark = df.sparkSession
-    wins = df.where(F.col(winner).isNotNull()).groupBy(F.col(winner).alias("w"), F.when(F.col(winner) == F.col(a), F.col(b)).otherwise(F.col(a)).alias("l")).agg(F.count("*").alias("n")).limit(1_000_001).collect()
-    if len(wins) > 1_000_000:
-        raise ValueError("more than a thousand arms")
-    arms = sorted({x for r in wins for x in (r["w"], r["l"])})
+    won = df.where(F.col(winner).isNotNull()).select(F.col(winner).cast("string").alias("w"), F.when(F.col(winner) == F.col(a), F.col(b)).otherwise(F.col(a)).cast("string").alias("l"))
+    wins = stored(won.groupBy("w", "l").agg(F.count("*").alias("n")), "pair-wins")
+    arms = wins.select(F.col("w").alias("arm")).union(wins.select("l")).distinct()
+    if arms.limit(dense_arms + 1).count() <= dense_arms:
+        return _dense_strengths(wins, rounds, prior, tolerance)
+    return _joined_strengths(wins, rounds, prior, tolerance)
+
+
+def _dense_strengths(wins: DataFrame, rounds: int, prior: float, tolerance: float) -> DataFrame:
+    counts = wins.collect()  # of at most dense_arms squared pairs
+    arms = sorted({x for r in counts for x in (r["w"], r["l"])})
     place = {x: i for i, x in enumerate(arms)}
     m = np.zeros((len(arms), len(arms)))
-    for r in wins:
+    for r in counts:
         m[place[r["w"]], place[r["l"]]] += r["n"]
     met = (m + m.T) > 0
+    first = np.arange(len(arms))
+    while True:
+        least = np.where(met, first[None, :], len(arms)).min(axis=1, initial=len(arms))
+        new = np.minimum(first, least)
+        if (new == first).all():
+            break
+        first = new
     m = m + prior * met
-    s = np.ones(len(arms))
+    log = np.zeros(len(arms))
+    for _ in range(rounds):
+        s = np.exp(log)
+        new = np.log(m.sum(1)) - np.log(np.maximum(((m + m.T) / (s[:, None] + s[None, :])).sum(1), 1e-300))
+        new -= new[first]
+        done = np.abs(new - log).max(initial=0) < tolerance
+        log = new
+        if done:
+            break
+    return wins.sparkSession.createDataFrame([(x, float(v), arms[f]) for x, v, f in zip(arms, log, first, strict=True)], "arm string, strength double, component string")
+
+
+def _joined_strengths(wins: DataFrame, rounds: int, prior: float, tolerance: float) -> DataFrame:
+    """The same steps on ``(arm, other, met, own wins)`` rows; a step is a written table of one row an arm."""
+    both = wins.select(F.col("w").alias("arm"), F.col("l").alias("other"), F.col("n").alias("won"), F.col("n").alias("met")).unionByName(wins.select(F.col("l").alias("arm"), F.col("w").alias("other"), F.lit(0).cast("long").alias("won"), F.col("n").alias("met")))
+    pairs = stored(both.groupBy("arm", "other").agg((F.sum("won") + prior).alias("won"), (F.sum("met") + 2 * prior).alias("met")), "met-pairs")
+    total = pairs.groupBy("arm").agg(F.sum("won").alias("total"))
+    least = stored(total.select("arm", F.col("arm").alias("component")), "components")
+    while True:  # each arm takes the least component around it, then that component's own one
+        around = pairs.join(least.withColumnsRenamed({"arm": "other", "component": "near"}), "other").groupBy("arm").agg(F.min("near").alias("near"))
+        moved = least.join(around, "arm").select("arm", F.least("component", "near").alias("component"), F.col("component").alias("was"))
+        jump = moved.select(F.col("arm").alias("component"), F.col("component").alias("further"))
+        moved = stored(moved.join(jump, "component").select("arm", F.least("component", "further").alias("component"), "was"), "components")
+        least = moved.drop("was")
+        if moved.where("component <> was").isEmpty():
+            break
+    fixed = stored(total.join(least, "arm"), "arms")
+    state = fixed.select("arm", "component", "total", F.lit(0.0).alias("log"))
     for _ in range(rounds):
-        s = m.sum(1) / np.maximum(((m + m.T) / (s[:, None] + s[None, :])).sum(1), 1e-300)
-        s /= math.exp(np.log(s).mean()) if len(s) else 1
-    log = np.log(s) - (np.log(s[0]) if len(s) else 0)
-    return spark.createDataFrame([(x, float(v)) for x, v in zip(arms, log, strict=True)], "arm string, strength double")
+        other = state.select(F.col("arm").alias("other"), F.col("log").alias("other_log"))
+        shares = pairs.join(other, "other").join(state.select("arm", "log"), "arm").groupBy("arm").agg(F.sum(F.col("met") / (F.exp("log") + F.exp("other_log"))).alias("share"))
+        new = state.join(shares, "arm").select("arm", "component", "total", F.col("log").alias("was"), (F.log("total") - F.log("share")).alias("new"))
+        zero = new.where("arm = component").select("component", F.col("new").alias("zero"))
+        step = stored(new.join(zero, "component").select("arm", "component", "total", (F.col("new") - F.col("zero")).alias("log"), "was"), "strengths")
+        state = step.drop("was")
+        if (step.agg(F.max(F.abs(F.col("log") - F.col("was")))).first()[0] or 0.0) < tolerance:
+            break
+    return state.select("arm", F.col("log").alias("strength"), "component")
 
 
 def logistic_pairs(df: DataFrame, label: str, features: list[str], ridge: float = 1e-3) -> DataFrame:
@@ -68,33 +122,64 @@ def logistic_pairs(df: DataFrame, label: str, features: list[str], ridge: float
     return df.sparkSession.createDataFrame(weights, "feature string, weight double")
 
 
-def cluster_bootstrap(df: DataFrame, cluster: str, value: str, replicates: int = 2000, seed: int = 0, level: float = 0.95) -> DataFrame:
-    """Percentile interval of a mean under resampling of clusters (EQ05).
+#: Clusters of a leaf of the resampling tree, about; and the most leaves (8 MB of counts).
+LEAF_CLUSTERS, MOST_LEAF_BITS = 1 << 16, 20
+
+
+def _leaf_draws(leaf: int, bits: int, counts: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """How many draws of each replicate fall to a leaf: binomial splits on the way from the root, the same in every task."""
+    draws = np.full(replicates, int(counts.sum()), dtype=np.int64)
+    lo, hi = 0, len(counts)
+    for level in range(bits):
+        mid = (lo + hi) // 2
+        left, both = int(counts[lo:mid].sum()), int(counts[lo:hi].sum())
+        to_left = np.random.default_rng((seed, level, lo)).binomial(draws, left / both)
+        if leaf < mid:
+            draws, hi = to_left, mid
+        else:
+            draws, lo = draws - to_left, mid
+    return draws
 
-    A cluster's multiplicity in a replicate is Poisson(1), drawn from a hash of
-    both, so clusters need not meet; sums are pre-aggregated per partition.
+
+def resampled_sums(df: DataFrame, cluster: str, value: str, replicates: int = 2000, seed: int = 0, leaf_clusters: int = LEAF_CLUSTERS) -> DataFrame:
+    """``rep, s, n, draws``: sum and rows of each replicate, which draws as many clusters as there are, with replacement.
+
+    Clusters are dealt by hash to the leaves of a binary tree; a replicate's
+    draws go down it by binomial splits and inside a leaf by a multinomial.  All
+    random numbers depend on the seed and the place in the tree only, so the
+    replicates do not depend on how Spark partitions the table.
     """
     sums = df.where(F.col(value).isNotNull()).groupBy(cluster).agg(F.sum(value).cast("double").alias("s"), F.count("*").alias("n"))
-    cut = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)]).tolist()
-
-    def run(frames):
+    sums = stored(sums.select(F.col(cluster).cast("string").alias("c"), F.xxhash64(cluster, F.lit(seed)).alias("h"), "s", "n"), "clusters")
+    bits = min(MOST_LEAF_BITS, max(0, math.ceil(math.log2(max(1, sums.count() / leaf_clusters)))))
+    leaf = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
+    dealt = sums.withColumn("leaf", leaf)
+    counts = np.zeros(1 << bits, dtype=np.int64)
+    for r in dealt.groupBy("leaf").count().collect():  # a number for each leaf
+        counts[r["leaf"]] = r["count"]
+
+    def draw(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["h", "c"], kind="stable", na_position="first")
+        at, m = int(f["leaf"].iloc[0]), len(f)
+        draws = _leaf_draws(at, bits, counts, replicates, seed)
+        rng = np.random.default_rng((seed, bits, at, 1))
+        values = f[["s", "n"]].to_numpy(np.float64)
         total = np.zeros((replicates, 2))
-        ids = np.arange(replicates, dtype=np.uint64)
-        for f in frames:
-            for h, s, n in zip(f["h"].to_numpy().astype(np.int64).view(np.uint64), f["s"], f["n"], strict=True):
-                x = (ids * np.uint64(0x9E3779B97F4A7C15)) ^ h
-                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-                    x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-                k = np.searchsorted(cut, ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53))
-                total[:, 0] += k * s
-                total[:, 1] += k * n
-        yield pd.DataFrame({"rep": np.arange(replicates), "s": total[:, 0], "n": total[:, 1]})
-
-    reps = sums.select(F.xxhash64(cluster, F.lit(seed)).alias("h"), "s", "n").mapInPandas(run, "rep int, s double, n double")
-    means = reps.groupBy("rep").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0.0))).alias("m"))
+        for r in range(replicates):
+            total[r] = np.bincount(rng.integers(0, m, int(draws[r])), minlength=m) @ values
+        return pd.DataFrame({"rep": np.arange(replicates), "s": total[:, 0], "n": total[:, 1], "draws": draws})
+
+    drawn = dealt.groupBy("leaf").applyInPandas(draw, "rep int, s double, n double, draws long")
+    return drawn.groupBy("rep").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("draws").alias("draws"))
+
+
+def cluster_bootstrap(df: DataFrame, cluster: str, value: str, replicates: int = 2000, seed: int = 0, level: float = 0.95) -> DataFrame:
+    """Percentile interval of a mean under resampling of clusters (EQ05); see :func:`resampled_sums`."""
+    means = resampled_sums(df, cluster, value, replicates, seed).select((F.col("s") / F.nullif("n", F.lit(0.0))).alias("m"))
     lo = (1 - level) / 2
     q = means.agg(F.percentile("m", F.array(F.lit(lo), F.lit(1 - lo))).alias("q"))
-    point = sums.agg((F.sum("s") / F.sum("n")).alias("mean"), F.count("*").alias("n_clusters"))
+    known = df.where(F.col(value).isNotNull())
+    point = known.agg(F.avg(value).alias("mean"), F.countDistinct(F.coalesce(F.col(cluster).cast("string"), F.lit("\0"))).alias("n_clusters"))
     return point.crossJoin(F.broadcast(q.select(F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))))
 
 
@@ -209,39 +294,41 @@ def extreme_picks(df: DataFrame, row_id: str, components: list[str]) -> DataFram
     return picks.unionByName(center.select(F.lit("all").alias("component"), F.lit("center").alias("pick"), F.col("center").alias("id")))
 
 
-def quota_picks(df: DataFrame, row_id: str, group: str, stratum: str, score: str, per_stratum: int, excluded: DataFrame | None = None) -> DataFrame:
-    """Rows of the allowed pool claimed from the best score down, each of another group, ``per_stratum`` of each stratum (TK06).
+def even_quotas(strata: DataFrame, stratum: str, slots: int) -> DataFrame:
+    """``stratum, quota``: slots split evenly, what is left over going to the first strata by name (TK06)."""
+    names = strata.where(F.col(stratum).isNotNull()).select(stratum).distinct()
+    n = names.count()
+    ranked = average_ranks(names, stratum, [], "__rank")
+    return ranked.select(stratum, (F.lit(slots // max(1, n)) + (F.col("__rank") <= slots % max(1, n)).cast("int")).alias("quota"))
+
 
-    A stratum whose best groups are taken falls through to its next ones.  The
-    other strata claim fewer than ``per_stratum * strata`` groups, so that many
-    candidates of each stratum hold every pick; only they come to the driver,
-    one by one, and what it keeps is the picks.
+def quota_picks(df: DataFrame, row_id: str, group: str, stratum: str, score: str, per_stratum: int, excluded: DataFrame | None = None, quotas: DataFrame | None = None) -> DataFrame:
+    """Rows of the allowed pool claimed from the best score down, each of another group, ``per_stratum`` (or ``quotas``: stratum, quota) of each stratum (TK06).
+
+    A stratum whose best groups are taken falls through to its next ones.
+    Strata and groups like the same rows best, so claiming row by row ends as
+    proposals do: every stratum holds its quota of best rows, a group stays with
+    the best one that holds it and turns the others away for good, and those
+    strata hold their next rows, until no group is held twice.  A round is one
+    join over the rows that are left; nothing comes to the driver.
     """
     pool = df.join(excluded, row_id, "left_anti") if excluded is not None else df
     pool = pool.select(row_id, group, stratum, score).where(F.col(group).isNotNull() & F.col(stratum).isNotNull() & F.col(score).isNotNull())
     best = pool.groupBy(stratum, group).agg(F.min_by(F.struct(row_id, score), F.struct(-F.col(score), F.col(row_id))).alias("r")).select("r.*", group, stratum)
-    strata = pool.select(stratum).distinct().count()
-    w = Window.partitionBy(stratum).orderBy(F.desc(score), F.asc(row_id))
-    short = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_stratum * strata).select(row_id, group, stratum, score, "rank")
-    groups, filled, picks = set(), {}, []
-    for row in short.orderBy(F.desc(score), F.asc(row_id)).toLocalIterator():
-        if row[group] in groups or filled.get(row[stratum], 0) == per_stratum:
-            continue
-        groups.add(row[group])
-        filled[row[stratum]] = filled.get(row[stratum], 0) + 1
-        picks.append((*row[:4], filled[row[stratum]]))
-        if len(picks) == per_stratum * strata:
-            break
-    return df.sparkSession.createDataFrame(picks, short.schema)
-
-
-def factor_analysis(df: DataFrame, row_id: str, blocks: dict[str, list[str]], k: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Scores and loadings of a multiple factor analysis (FS01-FS03).
-
-    Columns are standardised with population deviations, nulls are 0; each
-    block is divided by its first singular value; then one decomposition of
-    all.  Only Gram matrices (columns squared) leave the executors.
-    """
+    best = best.join(quotas.select(stratum, "quota"), stratum) if quotas is not None else best.withColumn("quota", F.lit(per_stratum))
+    left = stored(best, "quota-pool")
+    order = [F.desc(score), F.asc(row_id)]
+    while True:
+        held = left.withColumn("rank", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).where(F.col("rank") <= F.col("quota"))
+        held = stored(held.withColumn("__turn", F.row_number().over(Window.partitionBy(group).orderBy(*order))), "quota-held")
+        away = held.where(F.col("__turn") > 1).select(stratum, group)
+        if away.isEmpty():
+            return held.select(row_id, group, stratum, score, "rank")
+        left = stored(left.join(away, [stratum, group], "left_anti"), "quota-pool")
+
+
+def _fitted(df: DataFrame, row_id: str, blocks: dict[str, list[str]]) -> tuple[list[str], DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Columns, standardised rows, their Gram matrix, the columns' block weights, and the weighted matrix's eigenvalues and vectors."""
     cols = [c for b in blocks.values() for c in b]
     stats = df.agg(*(F.avg(c).alias(f"m_{c}") for c in cols), *(F.stddev_pop(c).alias(f"s_{c}") for c in cols)).first()
     z = [F.coalesce((F.col(c).cast("double") - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0), F.lit(0.0)).alias(c) for c in cols]
@@ -265,6 +352,56 @@ def factor_analysis(df: DataFrame, row_id: str, blocks: dict[str, list[str]], k:
         scale[inner] = 1 / math.sqrt(max(np.linalg.eigvalsh(g[inner, inner])[-1], 1e-300))
         at += len(b)
     values, vectors = np.linalg.eigh(g * scale[:, None] * scale[None, :])
+    return cols, rows, g, scale, values, vectors
+
+
+def factor_invariants(df: DataFrame, row_id: str, blocks: dict[str, list[str]], scores: list[str] | None = None, factors: int = 3, pairs: int = 200, seed: int = 0) -> DataFrame:
+    """``check, item, value, holds``: what must hold of a factor analysis before its scores are used (FS04).
+
+    ``leading_eigenvalue`` of each weighted block is 1; ``contributions`` of the
+    blocks to each factor sum to 1; ``distance_error``: the largest difference of
+    distances among all factors and among the features, over ``pairs`` seeded
+    pairs of rows.  ``imputation_bias`` (rows far out against the share of known
+    values) and ``correlation`` of the first ``factors`` with each of ``scores``
+    are for the reader: ``holds`` is null.
+    """
+    cols, rows, g, scale, values, vectors = _fitted(df, row_id, blocks)
+    found, at = [], 0
+    share = vectors**2
+    for name, b in blocks.items():
+        inner = slice(at, at + len(b))
+        lead = float(np.linalg.eigvalsh(g[inner, inner] * np.outer(scale[inner], scale[inner]))[-1])
+        found.append(("leading_eigenvalue", name, lead, abs(lead - 1) <= 1e-8))
+        at += len(b)
+    total = np.abs(share.sum(axis=0) - 1).max(initial=0.0)
+    found.append(("contributions", "largest deviation", float(total), bool(total <= 1e-6)))
+    few = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(2 * pairs).toPandas()  # the seeded sample
+    x = few[cols].to_numpy(np.float64)[: len(few) // 2 * 2] * scale
+    apart = x[::2] - x[1::2]
+    error = np.abs(np.linalg.norm(apart, axis=1) - np.linalg.norm(apart @ vectors, axis=1)).max(initial=0.0)
+    found.append(("distance_error", f"{len(apart)} pairs", float(error), bool(error <= 1e-6)))
+    # factors are a rotation, so the length of a row's scores is that of its weighted features
+    radius = F.sqrt(sum((F.col(c) * F.col(c) * F.lit(float(w * w)) for c, w in zip(cols, scale, strict=True)), F.lit(0.0)))
+    known = sum((F.col(c).isNotNull().cast("double") for c in cols), F.lit(0.0)) / len(cols)
+    top = np.argsort(values)[::-1][:factors]
+    axes = [sum((F.col(c) * F.lit(float(scale[i] * vectors[i, j])) for i, c in enumerate(cols)), F.lit(0.0)).alias(f"f{k + 1}") for k, j in enumerate(top)]
+    meta = df.select(F.col(row_id).alias("id"), known.alias("known"), *(F.col(c).cast("double").alias(f"s_{c}") for c in scores or []))
+    joined = rows.select("id", radius.alias("radius"), *axes).join(meta, "id")
+    want = [("imputation_bias", "", "radius", "known"), *(("correlation", f"factor {k + 1}, {c}", f"f{k + 1}", f"s_{c}") for c in scores or [] for k in range(len(top)))]
+    related = [F.try_divide(F.covar_pop(a, b), F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))) for _, _, a, b in want]  # null where one is constant
+    row = joined.agg(*(c.alias(f"c{i}") for i, c in enumerate(related))).first()
+    found += [(check, item, row[f"c{i}"], None) for i, (check, item, _, _) in enumerate(want)]
+    return df.sparkSession.createDataFrame(found, "check string, item string, value double, holds boolean")
+
+
+def factor_analysis(df: DataFrame, row_id: str, blocks: dict[str, list[str]], k: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Scores and loadings of a multiple factor analysis (FS01-FS03).
+
+    Columns are standardised with population deviations, nulls are 0; each
+    block is divided by its first singular value; then one decomposition of
+    all.  Only Gram matrices (columns squared) leave the executors.
+    """
+    cols, rows, _, scale, values, vectors = _fitted(df, row_id, blocks)
     top = np.argsort(values)[::-1][:k]
     v = vectors[:, top] * np.where(np.abs(vectors[:, top]).max(0) == vectors[:, top].max(0), 1, -1)  # the largest entry is positive
     scores = rows.select("id", *(sum((F.col(c) * F.lit(float(scale[i] * v[i, j])) for i, c in enumerate(cols)), F.lit(0.0)).alias(f"f{j + 1}") for j in range(k)))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from orfloom.functions.intervals import changed_span, coding_offset
 from orfloom.functions.scalars import normalize_chrom
-from orfloom.functions.sequence import reverse_complement, start_codon_effect, translate
+from orfloom.functions.sequence import reverse_complement, start_codon_effect, translate, translate_short
 from orfloom.operators.ranges import range_join
+from orfloom.scratch import stored
 
 MOST_ALTS = 1000
 
@@ -39,56 +40,127 @@ def variants_in_orfs(variants: DataFrame, index: DataFrame, width: int = 10_000)
     return range_join(v, spans, width, "v_start", "v_end", "o_start", "o_end", ["chrom"])
 
 
+def _edges(first: Column, last: Column) -> dict[str, Column]:
+    """Where a changed span (1-based, inclusive) leaves the exons: intronic bases below or above its coding ones, or between them."""
+    inside = F.filter("exons", lambda x: (x.start < last) & (first <= x.end))
+    low, high = F.array_min(F.transform(inside, lambda x: F.greatest(x.start + 1, first))), F.array_max(F.transform(inside, lambda x: F.least(x.end, last)))
+    coding = F.aggregate(inside, F.lit(0).cast("long"), lambda n, x: n + F.least(x.end, last) - F.greatest(x.start + 1, first) + 1)
+    ends = F.array_min(F.transform("exons", lambda x: x.start)) + 1, F.array_max(F.transform("exons", lambda x: x.end))
+    return {"below": (first < low) & (low - 1 > ends[0]), "above": (last > high) & (high + 1 < ends[1]), "between": coding < high - low + 1}
+
+
 def classify(pairs: DataFrame) -> DataFrame:
     """Consequence, residue and notation of each (variant, ORF) row (VC01-VC06, VC11).
 
     Offsets of the first and last changed base decide; the smaller one is the
-    anchor on either strand.  A span that leaves the coding sequence is judged
-    by its ends alone; substitutions by their codon window; insertions and
-    deletions by the length class and the translated protein.
+    anchor on either strand.  A span that leaves the coding sequence is judged by
+    where it leaves: into an intron it takes a splice site (the acceptor, where
+    it takes both), out through the start codon the start, else its length
+    class stands (a substitution is intronic).  Substitutions are judged by
+    their codon window; other changes by their length: ``ref_aa`` and ``alt_aa`` are
+    then the residues removed and gained, ``stop_after`` how many residues behind
+    the first one of a frameshift a stop follows inside the sequence.  An
+    insertion is inside if both its neighbours are.
     """
     c = changed_span("pos", "ref", "alt")
     p = pairs.withColumn("first", c["first"]).withColumn("r", c["ref"]).withColumn("a", c["alt"])
     minus = F.col("strand") == "-"
     n = F.length("cds")
     last = F.col("first") + F.greatest(F.length("r") - 1, F.lit(0))
-    p = p.withColumn("o1", coding_offset("exons", "first", "strand")).withColumn("o2", coding_offset("exons", last, "strand"))
-    before = coding_offset("exons", F.col("first") - 1, "strand")
-    p = p.withColumn("ob", before).withColumn("lo", F.least("o1", "o2"))
+    p = p.withColumn("last", last)
+    insertion = (F.length("r") == 0) & (F.length("a") > 0)
+    p = p.withColumn("o1", coding_offset("exons", "first", "strand"))
+    p = p.withColumn("o2", F.when(F.col("last") == F.col("first"), F.col("o1")).otherwise(coding_offset("exons", "last", "strand")))
+    p = p.withColumn("ob", F.when(insertion, coding_offset("exons", F.col("first") - 1, "strand")))
+    p = p.withColumn("covered", F.aggregate("exons", F.lit(0).cast("long"), lambda m, x: m + F.greatest(F.least(x.end, F.col("last")) - F.greatest(x.start, F.col("first") - 1), F.lit(0))))
+    p = p.withColumn("lo", F.least("o1", "o2"))
     read_r = F.when(minus, reverse_complement("r")).otherwise(F.col("r"))
     read_a = F.when(minus, reverse_complement("a")).otherwise(F.col("a"))
-    insertion = (F.length("r") == 0) & (F.length("a") > 0)
     # an insertion goes before the first changed base; on the minus strand behind it
-    at = F.when(insertion & minus, F.coalesce(F.col("o1") + 1, F.col("ob"))).when(insertion, F.coalesce(F.col("o1"), F.col("ob") + 1)).otherwise(F.col("lo"))
+    at = F.when(insertion, F.least("o1", "ob") + 1).otherwise(F.col("lo"))
     p = p.withColumn("at", at).withColumn("read_r", read_r).withColumn("read_a", read_a)
-    partly = ~insertion & (F.col("o1").isNull() | F.col("o2").isNull()) & (F.col("o1").isNotNull() | F.col("o2").isNotNull())
-    inside = F.when(insertion, F.col("o1").isNotNull() & F.col("ob").isNotNull()).otherwise(F.col("o1").isNotNull() & F.col("o2").isNotNull())
+    whole = F.col("covered") == F.col("last") - F.col("first") + 1
+    inside = F.when(insertion, F.col("o1").isNotNull() & F.col("ob").isNotNull()).otherwise(whole)
+    partly = ~insertion & ~whole & (F.col("covered") > 0)
+    p = p.withColumn("inside", inside).withColumn("partly", partly)
     found = F.substr("cds", F.col("at") + 1, F.length("r"))
     mutant = F.concat(F.substr("cds", F.lit(1), F.col("at")), F.col("read_a"), F.substr("cds", F.col("at") + F.length("r") + 1))
-    p = p.withColumn("mutant", F.when(inside, mutant))
-    codon = F.floor(F.col("at") / 3).cast("int")
-    n_codons = F.greatest(F.lit(1), F.ceil((F.col("at") % 3 + F.greatest(F.length("r"), F.lit(1))) / 3)).cast("int")
-    ref_codons, alt_codons = F.substr("cds", codon * 3 + 1, n_codons * 3), F.substr("mutant", codon * 3 + 1, n_codons * 3)
-    ref_aa, alt_aa = translate(ref_codons), translate(alt_codons)
-    start = start_codon_effect(F.substring("cds", 1, 3), F.substring("mutant", 1, 3))["consequence"]
+    p = p.withColumn("mutant", F.when(F.col("inside"), mutant))
     delta = F.length("a") - F.length("r")
-    protein, changed = F.split_part(translate("cds"), F.lit("*"), F.lit(1)), F.split_part(translate("mutant"), F.lit("*"), F.lit(1))
+    edge = _edges(F.col("first"), F.col("last"))
+    low_exon = F.filter("exons", lambda x: (x.start < F.col("last")) & (F.col("first") <= x.end))
+    low_base, high_base = F.greatest(F.array_min(F.transform(low_exon, lambda x: x.start)) + 1, F.col("first")), F.least(F.array_max(F.transform(low_exon, lambda x: x.end)), F.col("last"))
+    least = F.when(F.col("partly"), coding_offset("exons", F.when(minus, high_base).otherwise(low_base), "strand"))
+    p = p.withColumn("anchor", F.when(F.col("inside"), F.col("at")).otherwise(least))
+    codon = F.floor(F.col("anchor") / 3).cast("int")
+    n_codons = F.greatest(F.lit(1), F.ceil((F.col("anchor") % 3 + F.greatest(F.length("r"), F.lit(1))) / 3)).cast("int")
+    p = p.withColumn("codon", codon).withColumn("n_codons", n_codons)
+    window = lambda seq, count: translate_short(F.substr(seq, F.col("codon") * 3 + 1, count * 3))
+    moved = F.floor(F.abs(delta) / 3).cast("int")
+    gained = F.regexp_extract(window("mutant", moved), r"^([^*]*\*?)", 1)
+    ref_aa = F.when(delta == 0, window("cds", F.col("n_codons"))).when(delta % 3 != 0, window("cds", F.lit(1))).when(delta < 0, window("cds", moved)).otherwise("")
+    alt_aa = F.when(delta == 0, window("mutant", F.col("n_codons"))).when((delta % 3 == 0) & (delta > 0), gained).otherwise("")
+    fits = (F.col("codon") + F.when(insertion, 1).otherwise(F.col("n_codons"))) * 3 <= n
+    p = p.withColumn("ref_aa", F.when(F.col("inside") & fits, ref_aa)).withColumn("alt_aa", F.when(F.col("inside") & fits, alt_aa))
+    start = start_codon_effect(F.substring("cds", 1, 3), F.substring("mutant", 1, 3))["consequence"]
+    unknown = start_codon_effect(F.substring("cds", 1, 3), F.lit("NNN"))["consequence"]
     length_class = F.when(delta % 3 != 0, "frameshift").when(delta > 0, "inframe_insertion").otherwise("inframe_deletion")
-    last_codon = codon == F.floor(n / 3).cast("int") - 1
     substitution = (
-        F.when((codon == 0) & start.isNotNull(), start).when(ref_aa == alt_aa, "synonymous").when(F.instr(ref_aa, "*") > 0, "stop_lost")
-        .when(F.instr(alt_aa, "*") > 0, "stop_gained").otherwise("missense")
+        F.when((F.col("codon") == 0) & start.isNotNull(), start).when(F.col("ref_aa") == F.col("alt_aa"), "synonymous").when(F.instr("ref_aa", "*") > 0, "stop_lost")
+        .when(F.instr("alt_aa", "*") > 0, "stop_gained").otherwise("missense")
+    )
+    upstream, downstream = F.when(minus, edge["above"]).otherwise(edge["below"]), F.when(minus, edge["below"]).otherwise(edge["above"])
+    leaving = (
+        F.when(downstream & ~upstream, "splice_donor").when(upstream | downstream | edge["between"], "splice_acceptor")
+        .when((F.col("anchor") < 3) & unknown.isNotNull(), "start_lost").when(delta == 0, "intronic").otherwise(length_class)
     )
-    indel = F.when((codon == 0) & start.isNotNull(), start).when((delta % 3 == 0) & (F.length(changed) < F.length(protein) + delta / 3), "stop_gained").otherwise(length_class)
-    edge = F.when(F.least(F.coalesce("o1", F.lit(1 << 30)), F.coalesce("o2", F.lit(1 << 30))) < 3, "start_lost").when(partly & (delta == 0), "splice_region").otherwise(length_class)
     what = (
-        F.when(~inside & ~partly, "intronic").when(partly, edge).when(~insertion & (found != F.col("read_r")), "reference_mismatch")
-        .when(F.length("r") == F.length("a"), substitution).otherwise(indel)
+        F.when(F.col("partly"), leaving).when(~F.col("inside"), "intronic").when(~insertion & (found != F.col("read_r")), "reference_mismatch")
+        .when(~fits & (delta == 0), "past_the_end").when(delta == 0, substitution).when((F.col("codon") == 0) & start.isNotNull(), start).otherwise(length_class)
+    )
+    p = p.withColumn("consequence", what).withColumn("residue", F.col("codon"))
+    behind = F.instr(translate(F.substr("mutant", F.col("codon") * 3 + 1)), "*")
+    p = p.withColumn("stop_after", F.when((F.col("consequence") == "frameshift") & F.col("inside"), F.nullif(behind, F.lit(0))))
+    p = p.withColumn("in_last_codon", F.when(F.col("inside"), F.col("codon") == F.floor(n / 3).cast("int") - 1))
+    p = p.withColumn("notation", notation("consequence", "residue", "ref_aa", "alt_aa", F.length("cds") / 3))
+    return p.drop("o1", "o2", "ob", "lo", "at", "read_r", "read_a", "mutant", "r", "a", "first", "last", "covered", "inside", "partly", "anchor", "codon", "n_codons")
+
+
+#: Three-letter names of amino acids, and how a stop is written.
+AMINO_NAMES = {
+    "A": "Ala", "C": "Cys", "D": "Asp", "E": "Glu", "F": "Phe", "G": "Gly", "H": "His", "I": "Ile", "K": "Lys", "L": "Leu", "M": "Met",
+    "N": "Asn", "P": "Pro", "Q": "Gln", "R": "Arg", "S": "Ser", "T": "Thr", "V": "Val", "W": "Trp", "Y": "Tyr", "X": "Xaa", "U": "Sec", "*": "Ter",
+}
+
+
+def three_letters(residues: str | Column) -> Column:
+    """Residues by their three-letter names."""
+    names = F.create_map(*(F.lit(x) for kv in AMINO_NAMES.items() for x in kv))
+    c = F.col(residues) if isinstance(residues, str) else residues
+    return F.when(F.length(c) == 1, F.element_at(names, c)).when(F.length(c) > 1, F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(names, x), F.lit("Xaa"))), "")).otherwise(F.lit(""))
+
+
+def notation(consequence: str, residue: str, ref_aa: str, alt_aa: str, residues: Column, frame: Column | None = None) -> Column:
+    """The change in protein notation with three-letter names, and the frame it is counted in where one is given (VC11).
+
+    Substitutions of several residues are written as a replacement of the
+    stretch; where the residues are not known there is no notation.
+    """
+    place, end = F.col(residue) + 1, F.col(residue) + F.length(ref_aa)
+    what, old, new = F.col(consequence), F.col(ref_aa), F.col(alt_aa)
+    left, right = F.concat(three_letters(F.substring(old, 1, 1)), place.cast("string")), F.concat(three_letters(F.substring(old, -1, 1)), end.cast("string"))
+    stretch = F.when(F.length(old) > 1, F.concat_ws("_", left, right)).otherwise(left)
+    text = (
+        F.when(what == "start_lost", "Met1?").when(what == "synonymous", F.concat(stretch, F.lit("=")))
+        .when(what.isin("missense", "stop_gained") & (F.length(old) == 1), F.concat(left, three_letters(new)))
+        .when(what.isin("missense", "stop_gained"), F.concat(stretch, F.lit("delins"), three_letters(new)))
+        .when(what == "stop_lost", F.concat(left, three_letters(new), F.lit("ext*?")))
+        .when(what == "frameshift", F.concat(left, F.lit("fs"))).when(what == "inframe_deletion", F.concat(stretch, F.lit("del")))
+        .when((what == "inframe_insertion") & (F.length(new) > 0), F.concat(place.cast("string"), F.lit("ins"), three_letters(new)))
     )
-    p = p.withColumn("consequence", what).withColumn("residue", F.when(inside, codon)).withColumn("ref_aa", F.when(inside, ref_aa)).withColumn("alt_aa", F.when(inside, alt_aa))
-    p = p.withColumn("residues_changed", F.when(inside & (delta != 0), F.length(changed) - F.length(protein))).withColumn("in_last_codon", F.when(inside, last_codon))
-    notation = F.when(F.col("consequence").isin("missense", "synonymous", "stop_gained", "stop_lost") & (F.length("ref_aa") == 1), F.concat(F.lit("p."), "ref_aa", (F.col("residue") + 1).cast("string"), "alt_aa"))
-    return p.withColumn("notation", notation).drop("o1", "o2", "ob", "lo", "at", "read_r", "read_a", "mutant", "r", "a", "first")
+    known = F.when(old.isNull(), what == "start_lost").otherwise(F.lit(True))
+    plain = F.when(known & text.isNotNull(), F.concat(F.lit("p."), text))
+    return plain if frame is None else F.when(plain.isNotNull(), F.concat(plain, F.lit(" ("), frame, F.lit(" frame)")))
 
 
 def fallback_class(delta: Column, coding: Column) -> Column:
@@ -114,7 +186,7 @@ def scan(lines: DataFrame, index: DataFrame, contigs: list[str] | None = None, w
     known = F.col("chrom").isin(*contigs) if contigs else F.lit(True)
     stage = F.when(F.col("rejected").isNotNull(), F.concat(F.lit("rejected_"), "rejected")).when(~passing, "not_pass").when(~known, "off_catalog")
     v = v.withColumn("stage", stage)
-    hits = classify(variants_in_orfs(v.where("stage is null"), index, width))
+    hits = stored(classify(variants_in_orfs(v.where("stage is null"), index, width)), "scan-hits")  # read by the caller and by the funnel
     hit_ids = hits.where("consequence <> 'intronic'").select("line", "alt_index").distinct().withColumn("hit", F.lit(True))
     funnel = v.join(hit_ids, ["line", "alt_index"], "left").groupBy(F.coalesce("stage", F.when(F.col("hit"), "hit").otherwise("no_orf")).alias("stage")).agg(F.count("*").alias("n"))
     return hits, funnel

@@ -5,14 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under ``spark.checkpoint.dir`` and read again; only where that is unset (tests), under a folder of our own."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir``; only where that is unset (tests), under a folder of our own."""
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="orfloom-"))
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new scratch path and read again."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orfloom.operators.variants import hits_by_gene, scan
 
@@ -15,8 +18,9 @@ def stream_scan(spark: SparkSession, folder: str, index: DataFrame, hits_path: s
 
     def write(batch: DataFrame, number: int) -> None:
         hits, _ = scan(batch.select(F.monotonically_increasing_id().alias("line"), "value"), index)
-        hits.drop("exons").write.mode("overwrite").parquet(f"{hits_path}/batch={number}")
-        hits_by_gene(hits, "gene").write.mode("overwrite").parquet(f"{genes_path}/batch={number}")
+        at = f"{hits_path}/batch={number}"
+        hits.drop("exons").write.mode("overwrite").parquet(at)
+        hits_by_gene(spark.read.schema(hits.drop("exons").schema).parquet(at), "gene").write.mode("overwrite").parquet(f"{genes_path}/batch={number}")
 
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -24,3 +28,71 @@ def stream_scan(spark: SparkSession, folder: str, index: DataFrame, hits_path: s
 def stream_quota(events: DataFrame, client: str, ts: str, width: str = "1 hour", slide: str = "10 minutes", late: str = "10 minutes") -> DataFrame:
     """Events of a client by sliding window, late ones within the watermark counted (SR02)."""
     return events.withWatermark(ts, late).groupBy(F.window(ts, width, slide), client).agg(F.count("*").alias("n"))
+
+
+class _Quota(StatefulProcessor):
+    """Counts of a client's seconds: those whose turn has not come, and those in the widest window."""
+
+    def __init__(self, client: str, windows: list[int], limits: list[int]):
+        self.client, self.windows, self.limits = client, windows, limits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        second, count = (T.StructType([T.StructField(name, T.LongType())]) for name in ("second", "n"))  # no session in a worker to read DDL
+        self.waiting = handle.getMapState("waiting", second, count)
+        self.past = handle.getMapState("past", second, count)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for f in rows:
+            for second, n in f.groupby("second")["n"].sum().items():
+                before = self.waiting.getValue((int(second),)) if self.waiting.exists() and self.waiting.containsKey((int(second),)) else (0,)
+                self.waiting.updateValue((int(second),), (int(before[0]) + int(n),))
+                self.handle.registerTimer((int(second) + 1) * 1000)  # once the watermark is past the second, all its events are here
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        due = expiredTimerInfo.getExpiryTimeInMs() // 1000
+        ready = sorted((k[0], v[0]) for k, v in self.waiting.iterator() if k[0] < due) if self.waiting.exists() else []
+        past = dict((k[0], v[0]) for k, v in self.past.iterator()) if self.past.exists() else {}
+        out = []
+        for second, n in ready:
+            self.waiting.removeKey((second,))
+            past[second] = past.get(second, 0) + n
+            self.past.updateValue((second,), (past[second],))
+            row = {self.client: key[0], "second": second, "n": n}
+            for width, limit in zip(self.windows, self.limits, strict=True):
+                inside = {s: k for s, k in past.items() if second - width < s <= second}
+                total = sum(inside.values())
+                row |= {f"n_{width}": total, f"over_{width}": total > limit, f"wait_{width}": min(inside) + width - second if total > limit else 0}
+            out.append(row)
+        for second in [s for s in past if s <= due - 1 - max(self.windows)]:  # out of every later window
+            self.past.removeKey((second,))
+            del past[second]
+        if ready:
+            self.handle.registerTimer((ready[-1][0] + max(self.windows) + 2) * 1000)  # then the client is forgotten
+        yield pd.DataFrame(out, columns=[self.client, "second", "n", *(f"{c}_{w}" for w in self.windows for c in ("n", "over", "wait"))])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_quotas(events: DataFrame, client: str, ts: str, windows: list[int], limits: list[int], late: str = "10 minutes") -> DataFrame:
+    """Rolling quotas of a client on a stream (SR02): for each second with events ``n``, and for each trailing window (seconds) ``n_``, ``over_`` its limit and ``wait_`` until its oldest event leaves.
+
+    A second is answered once, when the watermark (``late`` behind the newest
+    event) has passed it, so the answers are those of the batch operator
+    whatever the order of arrival within it; later events are dropped by the
+    watermark.  State is counts by second of the widest window and goes when
+    the client has been silent for that long.  Needs the RocksDB state store.
+    """
+    ddl = ", ".join(f"n_{w} long, over_{w} boolean, wait_{w} long" for w in windows)
+    schema = T.StructType([T.StructField(client, events.schema[client].dataType), *T.StructType.fromDDL(f"second long, n long, {ddl}").fields])
+    rows = events.withWatermark(ts, late).select(client, ts, F.floor(F.unix_micros(ts) / 1_000_000).cast("long").alias("second"), F.lit(1).alias("n"))
+    return rows.groupBy(client).transformWithStateInPandas(_Quota(client, windows, limits), schema, "Append", "EventTime")
+
+
+def finish(query: StreamingQuery) -> None:
+    """Waits for a query that stops by itself; its error is raised."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
