@@ -112,8 +112,9 @@ def changed_span(pos: str | Column, ref: str | Column, alt: str | Column) -> dic
     """Minimal change (SC23): first changed base and the alleles without their common prefix (one base kept for pure indels' position)."""
     r, a = F.upper(col(ref)), F.upper(col(alt))
     n = F.least(F.length(r), F.length(a))
-    same = F.aggregate(
+    # two single bases, as most changes are, need no loop
+    same = F.when((F.length(r) == 1) & (F.length(a) == 1), (r == a).cast("int")).otherwise(F.aggregate(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0),
         lambda k, i: F.when((k == i - 1) & (i <= n) & (F.substr(r, i, F.lit(1)) == F.substr(a, i, F.lit(1))), i).otherwise(k),
-    )
+    ))
     return {"first": col(pos) + same, "ref": F.substr(r, same + 1), "alt": F.substr(a, same + 1), "shared": same}

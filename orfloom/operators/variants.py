@@ -72,7 +72,8 @@ def classify(pairs: DataFrame) -> DataFrame:
     p = p.withColumn("o1", coding_offset("exons", "first", "strand"))
     p = p.withColumn("o2", F.when(F.col("last") == F.col("first"), F.col("o1")).otherwise(coding_offset("exons", "last", "strand")))
     p = p.withColumn("ob", F.when(insertion, coding_offset("exons", F.col("first") - 1, "strand")))
-    p = p.withColumn("covered", F.aggregate("exons", F.lit(0).cast("long"), lambda m, x: m + F.greatest(F.least(x.end, F.col("last")) - F.greatest(x.start, F.col("first") - 1), F.lit(0))))
+    many = F.aggregate("exons", F.lit(0).cast("long"), lambda m, x: m + F.greatest(F.least(x.end, F.col("last")) - F.greatest(x.start, F.col("first") - 1), F.lit(0)))
+    p = p.withColumn("covered", F.when(F.col("last") == F.col("first"), F.col("o1").isNotNull().cast("long")).otherwise(many))
     p = p.withColumn("lo", F.least("o1", "o2"))
     read_r = F.when(minus, reverse_complement("r")).otherwise(F.col("r"))
     read_a = F.when(minus, reverse_complement("a")).otherwise(F.col("a"))
@@ -122,45 +123,38 @@ def classify(pairs: DataFrame) -> DataFrame:
     behind = F.instr(translate(F.substr("mutant", F.col("codon") * 3 + 1)), "*")
     p = p.withColumn("stop_after", F.when((F.col("consequence") == "frameshift") & F.col("inside"), F.nullif(behind, F.lit(0))))
     p = p.withColumn("in_last_codon", F.when(F.col("inside"), F.col("codon") == F.floor(n / 3).cast("int") - 1))
-    p = p.withColumn("notation", notation("consequence", "residue", "ref_aa", "alt_aa", F.length("cds") / 3))
+    p = p.withColumn("notation", notation("consequence", "residue", "ref_aa", "alt_aa"))
     return p.drop("o1", "o2", "ob", "lo", "at", "read_r", "read_a", "mutant", "r", "a", "first", "last", "covered", "inside", "partly", "anchor", "codon", "n_codons")
 
 
-#: Three-letter names of amino acids, and how a stop is written.
+# Three-letter names of amino acids, and how a stop is written.
 AMINO_NAMES = {
     "A": "Ala", "C": "Cys", "D": "Asp", "E": "Glu", "F": "Phe", "G": "Gly", "H": "His", "I": "Ile", "K": "Lys", "L": "Leu", "M": "Met",
-    "N": "Asn", "P": "Pro", "Q": "Gln", "R": "Arg", "S": "Ser", "T": "Thr", "V": "Val", "W": "Trp", "Y": "Tyr", "X": "Xaa", "U": "Sec", "*": "Ter",
+    "N": "Asn", "P": "Pro", "Q": "Gln", "R": "Arg", "S": "Ser", "T": "Thr", "V": "Val", "W": "Trp", "Y": "Tyr", "*": "Ter",
 }
 
 
 def three_letters(residues: str | Column) -> Column:
-    """Residues by their three-letter names."""
+    """Residues by their three-letter names; other letters stay."""
     names = F.create_map(*(F.lit(x) for kv in AMINO_NAMES.items() for x in kv))
     c = F.col(residues) if isinstance(residues, str) else residues
-    return F.when(F.length(c) == 1, F.element_at(names, c)).when(F.length(c) > 1, F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(names, x), F.lit("Xaa"))), "")).otherwise(F.lit(""))
+    one = F.coalesce(F.element_at(names, c), c)
+    return F.when(F.length(c) <= 1, one).otherwise(F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(names, x), x)), ""))
 
 
-def notation(consequence: str, residue: str, ref_aa: str, alt_aa: str, residues: Column, frame: Column | None = None) -> Column:
-    """The change in protein notation with three-letter names, and the frame it is counted in where one is given (VC11).
+def notation(consequence: str | Column, residue: str | Column, ref_aa: str | Column, alt_aa: str | Column, frame: Column | None = None) -> Column:
+    """The change of a hit in protein notation, and the frame it is counted in where one is given (VC11).
 
-    Substitutions of several residues are written as a replacement of the
-    stretch; where the residues are not known there is no notation.
+    Only changes of as many residues as they replace have one, others are null:
+    a lost start ends in ``?``, several residues are replaced as a stretch, an
+    unchanged one ends in ``=``.
     """
-    place, end = F.col(residue) + 1, F.col(residue) + F.length(ref_aa)
-    what, old, new = F.col(consequence), F.col(ref_aa), F.col(alt_aa)
-    left, right = F.concat(three_letters(F.substring(old, 1, 1)), place.cast("string")), F.concat(three_letters(F.substring(old, -1, 1)), end.cast("string"))
-    stretch = F.when(F.length(old) > 1, F.concat_ws("_", left, right)).otherwise(left)
-    text = (
-        F.when(what == "start_lost", "Met1?").when(what == "synonymous", F.concat(stretch, F.lit("=")))
-        .when(what.isin("missense", "stop_gained") & (F.length(old) == 1), F.concat(left, three_letters(new)))
-        .when(what.isin("missense", "stop_gained"), F.concat(stretch, F.lit("delins"), three_letters(new)))
-        .when(what == "stop_lost", F.concat(left, three_letters(new), F.lit("ext*?")))
-        .when(what == "frameshift", F.concat(left, F.lit("fs"))).when(what == "inframe_deletion", F.concat(stretch, F.lit("del")))
-        .when((what == "inframe_insertion") & (F.length(new) > 0), F.concat(place.cast("string"), F.lit("ins"), three_letters(new)))
-    )
-    known = F.when(old.isNull(), what == "start_lost").otherwise(F.lit(True))
-    plain = F.when(known & text.isNotNull(), F.concat(F.lit("p."), text))
-    return plain if frame is None else F.when(plain.isNotNull(), F.concat(plain, F.lit(" ("), frame, F.lit(" frame)")))
+    what, at, old, new = (F.col(x) if isinstance(x, str) else x for x in (consequence, residue, ref_aa, alt_aa))
+    place = F.concat(three_letters(F.substring(old, 1, 1)), (at + 1).cast("string"))
+    stretch = F.concat(place, F.lit("_"), three_letters(F.substring(old, -1, 1)), (at + F.length(old)).cast("string"), F.lit("delins"), three_letters(new))
+    text = F.when(what == "start_lost", F.concat(place, F.lit("?"))).when(F.length(old) > 1, stretch).when(old == new, F.concat(place, F.lit("="))).otherwise(F.concat(place, three_letters(new)))
+    plain = F.when((F.length(old) > 0) & (F.length(old) == F.length(new)), F.concat(F.lit("p."), text))
+    return plain if frame is None else F.when(plain.isNotNull(), F.concat(plain, F.lit(" · "), frame, F.lit(" frame")))
 
 
 def fallback_class(delta: Column, coding: Column) -> Column:

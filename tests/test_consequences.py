@@ -108,8 +108,9 @@ def test_consequences_equal_the_walk(spark):
 
 
 def test_notation_and_frame(spark):
-    rows = [("missense", 4, "A", "V"), ("missense", 4, "AR", "VK"), ("stop_gained", 0, "Q", "*"), ("frameshift", 9, "L", ""), ("inframe_deletion", 2, "KR", ""), ("inframe_insertion", 2, "", "GG"), ("synonymous", 1, "S", "S"), ("start_lost", 0, None, None), ("splice_donor", 3, None, None)]
+    rows = [("missense", 4, "A", "V"), ("missense", 4, "AR", "VK"), ("stop_gained", 0, "Q", "*"), ("stop_lost", 8, "*", "R"), ("frameshift", 9, "L", ""), ("inframe_deletion", 2, "KR", ""), ("inframe_insertion", 2, "", "GG"), ("synonymous", 1, "S", "S"), ("start_lost", 0, "L", "P"), ("splice_donor", 3, None, None), ("missense", 0, "X", "A")]
     df = spark.createDataFrame(rows, "what string, residue int, old string, new string")
-    got = [r[0] for r in df.select(variants.notation("what", "residue", "old", "new", F.lit(9))).collect()]
-    assert got == ["p.Ala5Val", "p.Ala5_Arg6delinsValLys", "p.Gln1Ter", "p.Leu10fs", "p.Lys3_Arg4del", "p.3insGlyGly", "p.Ser2=", "p.Met1?", None]
-    assert df.select(variants.notation("what", "residue", "old", "new", F.lit(9), F.lit("isoform"))).first()[0] == "p.Ala5Val (isoform frame)"
+    got = [r[0] for r in df.select(variants.notation("what", "residue", "old", "new")).collect()]
+    assert got == ["p.Ala5Val", "p.Ala5_Arg6delinsValLys", "p.Gln1Ter", "p.Ter9Arg", None, None, None, "p.Ser2=", "p.Leu1?", None, "p.X1Ala"]
+    framed = [r[0] for r in df.select(variants.notation("what", "residue", "old", "new", F.lit("isoform"))).limit(1).collect()]
+    assert framed == ["p.Ala5Val · isoform frame"]

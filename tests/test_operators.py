@@ -84,7 +84,7 @@ def test_variant_scan(spark):
     lines = spark.createDataFrame(list(enumerate(VCF)), "line long, value string")
     hits, funnel = variants.scan(lines, index(spark))
     got = {r["variant_id"]: (r["consequence"], r["notation"]) for r in hits.collect()}
-    assert got == {"chr1:11:A:C": ("start_lost", None), "chr1:14:G:A": ("missense", "p.A2T"), "chr1:16:AA:A": ("frameshift", None), "chr1:17:A:T": ("stop_gained", "p.K3*")}
+    assert got == {"chr1:11:A:C": ("start_lost", "p.Met1?"), "chr1:14:G:A": ("missense", "p.Ala2Thr"), "chr1:16:AA:A": ("frameshift", None), "chr1:17:A:T": ("stop_gained", "p.Lys3Ter")}
     assert {r["stage"]: r["n"] for r in funnel.collect()} == {"hit": 4, "not_pass": 1, "no_orf": 1, "rejected_unsupported_alt": 1, "rejected_malformed": 1}
 
 
