@@ -36,11 +36,21 @@ r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM r JOIN documents ON node = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
 
+def _folded(path: str) -> str:
+    """A path without dot segments: a fold that keeps what is not taken back."""
+    parts = f"string_split({path}, '/')"
+    fold = f"list_reduce({parts}[2:], lambda d, x: CASE x WHEN '.' THEN d WHEN '..' THEN regexp_replace(d, '(^|/)[^/]*$', '') ELSE d || '/' || x END, '')"
+    clean = f"({fold} || CASE WHEN {parts}[-1] IN ('.', '..') THEN '/' ELSE '' END)"
+    return f"CASE WHEN regexp_matches({path}, '(^|/)\\.\\.?(/|$)') THEN coalesce(nullif({clean}, ''), '/') WHEN {path} = '' THEN '/' ELSE {path} END"
+
+
 def _key(url: str) -> str:
     """The name of a page in links, as ``urls.url_key`` makes it."""
     plain = f"regexp_replace(trim({url}), '#(.|\\n)*$', '')"
     head = f"regexp_extract({plain}, '^([^:/?#]+://[^/?#]*)', 1)"
-    return f"({_LOWER.format(head)} || substr({plain}, length({head}) + 1))"
+    rest = f"substr({plain}, length({head}) + 1)"
+    path = f"regexp_extract({rest}, '^([^?]*)', 1)"
+    return f"(CASE WHEN {head} = '' THEN {plain} ELSE {_LOWER.format(head)} || {_folded(path)} || substr({rest}, length({path}) + 1) END)"
 
 
 def _rule(host: str, path: str, what: str) -> str:
@@ -50,21 +60,32 @@ def _rule(host: str, path: str, what: str) -> str:
 
 
 _REST = "CASE WHEN strpos({0}, '://') > 0 THEN substr({0}, strpos({0}, '://') + 3) ELSE '' END"
-_QUOTE = "[\"'']?"
-_LINK = "([^\"''\\s>]+)"
 _FOLDER = "nullif(regexp_extract(u, '^([^:/?#]+://[^/?#]*/(?:[^?#]*/)?)', 1), '')"
 
+
+def _attribute(name: str) -> str:
+    """Value of an attribute of ``x``, unescaped."""
+    pattern = "(?is)(?:^|[\\s\"''/])" + name + "\\s*=\\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\\s\"''>]+))"
+    value = " || ".join(f"coalesce(regexp_extract(x, '{pattern}', {k}), '')" for k in (1, 2, 3))
+    return f"trim(replace(replace({value}, '&quot;', '\"'), '&amp;', '&'))"
+
+
+def _tags(name: str) -> str:
+    return f"unnest(regexp_extract_all(html, '(?is)<{name}\\b((?:[^>\"'']|\"[^\"]*\"|''[^'']*'')*)>', 1))"
+
+
 OP10 = f"""
 WITH RECURSIVE p AS (SELECT page_id, {_key("url")} AS node, coalesce({_REST.format("url")}, '') AS rest FROM pages),
 h AS (SELECT page_id, node, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+y AS (SELECT url AS u, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g') AS html FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
 t AS (
-  SELECT url AS u, trim(coalesce(nullif(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*{_QUOTE}canonical\\b[^>]*?\\bhref\\s*=\\s*{_QUOTE}{_LINK}', 1), ''),
-    regexp_extract(html, '(?is)<link\\b[^>]*?\\bhref\\s*=\\s*{_QUOTE}{_LINK}[^>]*\\brel\\s*=\\s*{_QUOTE}canonical\\b', 1))) AS l FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
+  SELECT u, {_attribute("href")} AS l FROM (SELECT u, {_tags("link")} AS x FROM y) WHERE regexp_matches({_attribute("rel")}, '(?i)(^|\\s)canonical(\\s|$)')
   UNION ALL
-  SELECT url, trim(regexp_extract(html, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*{_QUOTE}refresh\\b[^>]*?\\bcontent\\s*=\\s*{_QUOTE}[^"''>]*?url\\s*=\\s*{_QUOTE}{_LINK}', 1)) FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-g AS (SELECT u, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN starts_with(l, '//') THEN regexp_extract(u, '^([^:/?#]+:)//', 1) || l
-  WHEN starts_with(l, '/') THEN regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || l ELSE coalesce({_FOLDER}, regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || '/') || l END AS v FROM t WHERE l <> '' AND NOT starts_with(l, '#')),
-d AS (SELECT DISTINCT {_key("u")} AS a, {_key("v")} AS b FROM g),
+  SELECT u, regexp_extract({_attribute("content")}, '(?is)^[\\s\\d.]*[;,]?\\s*(?:url\\s*=\\s*)?[\"'']?([^\"'']*)', 1) FROM (SELECT u, {_tags("meta")} AS x FROM y) WHERE regexp_matches({_attribute("http-equiv")}, '(?i)(^|\\s)refresh(\\s|$)')),
+g AS (SELECT u, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(l, '//') THEN regexp_extract(u, '^([^:/?#]+:)//', 1) || l
+  WHEN starts_with(l, '/') THEN regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || l WHEN starts_with(l, '?') THEN regexp_extract(u, '^([^?#]*)', 1) || l
+  ELSE coalesce({_FOLDER}, regexp_extract(u, '^([^:/?#]+://[^/?#]*)', 1) || '/') || l END AS v FROM (SELECT u, trim(l) AS l FROM t) WHERE l <> '' AND NOT starts_with(l, '#')),
+d AS (SELECT DISTINCT {_key("u")} AS a, {_key("v")} AS b FROM g WHERE v IS NOT NULL),
 e AS (SELECT a, b FROM d WHERE a <> b UNION SELECT b, a FROM d WHERE a <> b),
 r(node, peer) AS (SELECT a, a FROM e UNION SELECT e.b, r.peer FROM r JOIN e ON e.a = r.node),
 k AS (SELECT node, peer, coalesce({_REST.format("peer")}, '') AS rest FROM r),
