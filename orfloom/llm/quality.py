@@ -285,31 +285,35 @@ def fit_quality(
 ) -> QualityModel:
     """Co-trains on a hash sample of about ``labelled_rows`` labels and on all other rows of ``df``.
 
-    Null labels and ids teach nothing; of repeated labels the largest counts;
-    repeated rows each teach; columns that ``df`` lacks count as null.
+    Null labels and ids teach nothing; of repeated labels the largest counts, and
+    of the rows of one label that with the least hash of its text teaches, so
+    the driver holds ``labelled_rows`` rows of features however often they are
+    repeated.  Other repeated rows each teach; columns that ``df`` lacks count
+    as null.
     """
     bounded_batches(df.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).cast("double").alias("__y"))
     n_known = known.count()
 
     def within(rows: int, total: int, salt: int):
-        return F.pmod(F.xxhash64(F.col(doc_id), F.lit(salt)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, rows / max(1, total)))
+        return F.pmod(F.xxhash64(F.col(doc_id), F.lit(salt)), F.lit(1 << 62)) < int((1 << 62) * min(1.0, rows / max(1, total)))
 
     sample = known.where(within(labelled_rows, n_known, 1))  # bounded: at most about labelled_rows small rows
     page = [c.alias(n) for c, n in zip(_page(df, lang, source, size), ("lang", "source", "size"), strict=True)]
     rows = df.select(F.col(f"`{doc_id}`").alias(doc_id), F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"), *page)
-    rows = rows.join(F.broadcast(sample), doc_id, "left").select("t", "lang", "source", "size", "__y", "h")
+    rows = rows.join(F.broadcast(sample), doc_id, "left").select("t", "lang", "source", "size", "__y", "h", F.when(F.col("__y").isNotNull(), F.xxhash64(doc_id)).alias("i"))
 
     def run(batches):
         for batch in batches:
             for lo, hi, raw, offsets in slices(batch.column(0)):
-                cut = [batch.column(i).slice(lo, hi - lo) for i in range(6)]
+                cut = [batch.column(i).slice(lo, hi - lo) for i in range(7)]
                 views = (text_view(raw, offsets), meta_view(*cut[1:4]))
                 packed = (pa.array([x.tobytes() for x in v.astype(np.float32)], pa.binary()) for v in views)
-                yield pa.RecordBatch.from_arrays([cut[4], cut[5], *packed], names=["y", "h", "a", "b"])
+                yield pa.RecordBatch.from_arrays([*cut[4:], *packed], names=["y", "h", "i", "a", "b"])
 
-    table = stored(rows.mapInArrow(run, "y double, h long, a binary, b binary"), "quality-features")
-    got = table.where("y is not null").toPandas().sort_values(["h", "a"])
+    table = stored(rows.mapInArrow(run, "y double, h long, i long, a binary, b binary"), "quality-features")
+    one = table.where("y is not null").groupBy("i", "y").agg(F.min(F.struct("h", "a", "b")).alias("x"))
+    got = one.select("y", "x.*").toPandas().sort_values(["h", "a"])  # a row for each sampled label
     if not len(got):
         return QualityModel(0.5)
     a, b = (np.stack([np.frombuffer(x, np.float32) for x in got[c]]).astype(np.float64) for c in ("a", "b"))

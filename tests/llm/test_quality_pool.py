@@ -18,3 +18,15 @@ def test_all_unlabelled_rows_are_exchanged(spark):
     assert max(model.given) > 3 * SHARE * 8000
     got = score_quality(df.where("doc_id >= 600"), model).collect()
     assert sum((r["score"] >= 0.5) == (r["good"] == 1) for r in got) >= 0.95 * len(got)
+
+
+def test_copies_of_a_labelled_document_are_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from orfloom.llm.quality import fit_quality
+
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string"), F.lit(" good text")).alias("text"))
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    many = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(3000)).select("doc_id", "text"))
+    a, b = fit_quality(docs, labels), fit_quality(many, labels)
+    assert a.base == b.base and len(a.views) == len(b.views)
