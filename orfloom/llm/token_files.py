@@ -3,7 +3,8 @@
 Each task writes one run of documents, in ascending id, as three raw little-
 endian files: ``.bin`` the token ids (16 bits where the vocabulary fits, else
 32), ``.idx`` the 64-bit offsets of its documents (and the end), ``.doc`` the
-64-bit document ids.  A manifest with one row per task carries the task's base,
+64-bit document ids.  A manifest with one row per task says how many documents at
+its start have a null id (those come first) and carries the task's base,
 the prefix sum of the ids before it, so ``base + idx[i]`` is the global start of
 a document.  A reader memory-maps the files.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from orfloom.llm.storage import bounded_batches, scratch, stored
 from orfloom.llm.tokens import _encoded, vocabulary
 
-MANIFEST = "part long, path string, dtype string, n_docs long, n_ids long"
+MANIFEST = "part long, path string, dtype string, n_docs long, n_null long, n_ids long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 TOKENS = "doc_id long, start long, ids array<long>"
 
@@ -45,10 +46,12 @@ class _Files:
         self.fs.create_dir(self.root, recursive=True)
         self.path, self.dtype = f"{self.root}/{name}", dtype
         self.open = {k: self.fs.open_output_stream(f"{self.path}.{k}.part") for k in ("bin", "idx", "doc")}
-        self.n_docs = self.n_ids = 0
+        self.n_docs = self.n_null = self.n_ids = 0
         self.open["idx"].write(np.zeros(1, "<u8").tobytes())
 
-    def add(self, doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, docs: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.n_null += docs.null_count
+        doc_ids = docs.fill_null(0).to_numpy(zero_copy_only=False)
         self.open["bin"].write(ids.astype(self.dtype).tobytes())
         self.open["idx"].write((np.cumsum(sizes) + self.n_ids).astype("<u8").tobytes())
         self.open["doc"].write(doc_ids.astype("<i8").tobytes())
@@ -66,9 +69,9 @@ def write_token_files(
 ) -> DataFrame:
     """Writes every text's ids and ``end_id`` in ascending ``doc_id``; returns the manifest with ``base``.
 
-    A null or empty text gives the end id alone.  Rows with a null id are left
-    out: the format has no name for them.  Rows of one id keep together, in
-    the order of their texts.  Other columns of ``df`` play no part.  An empty
+    A null or empty text gives the end id alone.  Rows with a null id come
+    first; the manifest counts them.  Rows of one id keep together, in the order
+    of their texts.  A text of any length is one document.  Other columns of ``df`` play no part.  An empty
     table gives an empty manifest.  A task that is run again writes files of
     its own; only those of the attempt that ended are in the manifest.
     """
@@ -76,24 +79,24 @@ def write_token_files(
     bounded_batches(spark)
     folder = folder or scratch(spark, "token-files")
     dtype = id_type(vocabulary_path)
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("doc_id is not null")
+    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")
 
     def write(batches):
         files, part, first = None, TaskContext.get().partitionId(), True
         vocab = vocabulary(vocabulary_path)
         for batch in batches:
-            doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            if first and len(doc_ids):
+            docs = batch.column(0)
+            if first and len(docs):
                 files, first = _Files(folder, f"part-{part:06d}-{uuid.uuid4().hex[:12]}", dtype), False
             for lo, hi, counts, ids in _encoded(batch.column(1), vocab, True):
                 ends = np.cumsum(counts)
-                files.add(doc_ids[lo:hi], counts + 1, np.insert(ids, ends, end_id))
+                files.add(docs.slice(lo, hi - lo), counts + 1, np.insert(ids, ends, end_id))
         if files:
             files.close()
             yield pa.RecordBatch.from_pylist(
-                [{"part": part, "path": files.path, "dtype": dtype, "n_docs": files.n_docs, "n_ids": files.n_ids}],
-                schema=pa.schema([("part", pa.int64()), ("path", pa.string()), ("dtype", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
+                [{"part": part, "path": files.path, "dtype": dtype, "n_docs": files.n_docs, "n_null": files.n_null, "n_ids": files.n_ids}],
+                schema=pa.schema([("part", pa.int64()), ("path", pa.string()), ("dtype", pa.string()), *((n, pa.int64()) for n in ("n_docs", "n_null", "n_ids"))]),
             )
 
     manifest = stored(rows.sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
@@ -123,15 +126,16 @@ def read_token_files(manifest: DataFrame, digests: bool = False, rows_at_once: i
                     hi = min(lo + rows_at_once, len(docs))
                     ends, flat = where[lo : hi + 1], ids[where[lo] : where[hi]].astype("<u4")
                     start = pa.array(ends[:-1] + row["base"])
+                    names = pa.array(docs[lo:hi], mask=np.arange(lo, hi) < row["n_null"])
                     if digests:
                         view, at = memoryview(flat.tobytes()), (ends - ends[0]) * 4
                         crc = [zlib.crc32(view[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(docs[lo:hi]), start, pa.array(np.diff(ends)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
+                            [names, start, pa.array(np.diff(ends)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
                         )
                     else:
                         lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), pa.array(flat.astype(np.int64)))
-                        yield pa.RecordBatch.from_arrays([pa.array(docs[lo:hi]), start, lists], names=["doc_id", "start", "ids"])
+                        yield pa.RecordBatch.from_arrays([names, start, lists], names=["doc_id", "start", "ids"])
 
     spread = manifest.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return spread.mapInArrow(read, DIGESTS if digests else TOKENS)

@@ -76,7 +76,9 @@ def test_token_files_round_trip(spark, library):
     digests = {(r["start"], r["n_tokens"], r["ids_crc32"]) for r in read_token_files(manifest, digests=True).collect()}
     assert digests == {(s, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for s, _, x in back}
     assert read_token_files(write_token_files(table(spark, []), VOCABULARY)).count() == 0
-    assert write_token_files(table(spark, [(None, "a"), (1, "b")]), VOCABULARY).agg(F.sum("n_docs")).first()[0] == 1
+    nameless = write_token_files(table(spark, [(1, "b"), (None, "a"), (0, "c"), (None, None)]), VOCABULARY, partitions=2)
+    named = [(r["doc_id"], r["n_tokens"]) for r in read_token_files(nameless, digests=True).orderBy("start").collect()]
+    assert named == [(None, 1), (None, 2), (0, 2), (1, 2)] and nameless.agg(F.sum("n_null")).first()[0] == 2
 
 
 def test_language(spark):
