@@ -186,9 +186,11 @@ def scan(lines: DataFrame, index: DataFrame, contigs: list[str] | None = None, w
     return hits, funnel
 
 
-def hits_by_gene(hits: DataFrame, gene: str) -> DataFrame:
-    """Distinct variants, hits and ORFs of each gene, most first (AG22)."""
-    return hits.groupBy(gene).agg(F.countDistinct("variant_id").alias("n_variants"), F.count("*").alias("n_hits"), F.countDistinct("orf_id").alias("n_orfs")).orderBy(F.desc("n_variants"), F.desc("n_hits"), gene)
+def hits_by_gene(hits: DataFrame, gene: str, region: str | None = None) -> DataFrame:
+    """Distinct variants, hits and ORFs of each gene, most first (AG22); with a ``region`` column also the hits in unique and in shared regions."""
+    where = [] if region is None else [F.count_if(F.col(region) == r).alias(f"n_{r}") for r in ("unique", "shared")]
+    rolled = hits.groupBy(gene).agg(F.countDistinct("variant_id").alias("n_variants"), F.count("*").alias("n_hits"), *where, F.countDistinct("orf_id").alias("n_orfs"))
+    return rolled.orderBy(F.desc("n_variants"), F.desc("n_hits"), gene)
 
 
 def score_lookup(variants: DataFrame, scores: DataFrame, transcript: str) -> DataFrame:

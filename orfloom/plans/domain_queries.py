@@ -228,6 +228,12 @@ def two_frame_calls(spark, d):
     return called.select("line", "orf_id", "whole_consequence", *(c.alias(k) for k, c in pick.items()))
 
 
+@register(f"WITH {_SCAN} SELECT p_brand, count(DISTINCT chrom || ':' || pos || ':' || ref || ':' || alt) AS n_variants, count(*) AS n_hits, count(*) FILTER (off >= 9) AS n_unique, count(*) FILTER (off < 9) AS n_shared, count(DISTINCT orf_id) AS n_orfs FROM k GROUP BY 1")
+def scan_regions(spark, d):
+    hits = _scan(spark, d)[0].withColumn("region", variants.region_of_hit(F.col("residue"), F.lit(3), F.lit(99)))
+    return variants.hits_by_gene(hits, "p_brand", "region")
+
+
 _SEVERITY = {"R": 3, "A": 2, "N": 1}
 
 
@@ -285,6 +291,34 @@ def tag_candidates(spark, d):
     return metrics.tag_candidates(c, ["rich"], ["c_acctbal"], ["builder"], ["opinion"])
 
 
+@register("""
+WITH m AS (
+  SELECT 'l_' || lower(l_returnflag) || '_' || ['n_lines', 'price_delta', 'tax_ratio', 'canonical_price'][l_linenumber % 4 + 1] AS metric, max(l_linenumber % 4) AS kind, upper(l_returnflag) AS category FROM lineitem GROUP BY 1, 3),
+p AS (SELECT metric, CASE WHEN kind = 3 THEN 'canonical' ELSE 'isoform' END AS pane, category FROM m UNION ALL SELECT 'abs:' || metric, 'isoform', category FROM m WHERE kind = 1 AND category <> 'A'),
+b AS (SELECT DISTINCT 'l_' || lower(l_returnflag) || '_' || CASE WHEN l_linestatus = 'F' THEN 'tax_enriched' ELSE 'big_enriched' END AS feature, upper(l_returnflag) AS category FROM lineitem),
+r AS (SELECT *, regexp_replace(feature, '_enriched$', '_ratio') AS ratio, regexp_replace(feature, '_enriched$', '_ratio') IN (SELECT metric FROM p) AS known FROM b)
+SELECT lower(l_returnflag) || '1' AS tag_id, l_returnflag AS category, 'flag ' || l_returnflag AS label, 'crit_' || l_returnflag AS metric, 'bool' AS kind, '' AS direction, 'criterion' AS source,
+  CASE WHEN l_returnflag = 'N' THEN 'criteria column absent in this run' ELSE '' END AS blocked FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT metric || '_magnitude', category, metric || ' changes appreciably', 'abs:' || metric, 'code', '>=', 'sweep', '' FROM p WHERE metric LIKE 'l%\\_delta' ESCAPE '\\' AND 'abs:' || metric IN (SELECT metric FROM p)
+UNION ALL SELECT metric || e.s, category, metric || e.w, metric, 'code', e.d, 'sweep', '' FROM p, (VALUES ('_hi', ' high', '>='), ('_lo', ' low', '<')) e(s, w, d) WHERE pane <> 'canonical' AND metric NOT LIKE '%delta'
+UNION ALL SELECT CASE WHEN known THEN ratio || '_hi' ELSE feature END, category, CASE WHEN known THEN ratio || ' high' ELSE feature END, CASE WHEN known THEN ratio ELSE feature END, CASE WHEN known THEN 'code' ELSE 'bool' END,
+  CASE WHEN known THEN '>=' ELSE '' END, CASE WHEN known THEN 'enriched' ELSE 'bool' END, '' FROM r
+UNION ALL SELECT 'asked', 'S', 'asked', '', 'llm', '', 'llm', ''""")
+def enumerated_candidates(spark, d):
+    """A catalogue, profiles and criteria whose names come from the lines' flags."""
+    x = t(spark, d, "lineitem").select("l_returnflag", F.lower("l_returnflag").alias("f"), (F.col("l_linenumber") % 4).alias("k"), "l_linestatus")
+    kinds = F.array(*(F.lit(n) for n in ("n_lines", "price_delta", "tax_ratio", "canonical_price")))
+    metric = F.concat(F.lit("l_"), "f", F.lit("_"), F.get(kinds, F.col("k")))
+    seen = x.select(metric.alias("metric"), F.when(F.col("k") == 3, "canonical").otherwise("isoform").alias("pane"), F.upper("l_returnflag").alias("category"), "k").distinct()
+    profiled = seen.drop("k").unionByName(seen.where("k = 1 and category <> 'A'").select(F.concat(F.lit("abs:"), "metric").alias("metric"), F.lit("isoform").alias("pane"), "category"))
+    name = F.concat(F.lit("l_"), "f", F.when(F.col("l_linestatus") == "F", "_tax_enriched").otherwise("_big_enriched"))
+    catalog = x.select(name.alias("feature"), F.lit("bool").alias("dtype"), F.lit("isoform").alias("pane"), F.upper("l_returnflag").alias("category"), F.lit("binary").alias("exclude_reason")).distinct()
+    criteria = x.select(F.concat("l_returnflag", F.lit("1")).alias("criterion"), F.concat(F.lit("flag "), "l_returnflag").alias("label"), F.concat(F.lit("crit_"), "l_returnflag").alias("column")).distinct()
+    judged = spark.createDataFrame([("asked", "S", "asked")], "tag_id string, category string, label string")
+    columns = ["crit_A", "crit_R", *(f"l_{f}_{k}_enriched" for f in "anr" for k in ("tax", "big"))]
+    return metrics.enumerate_candidates(catalog, profiled, criteria, judged, columns)
+
+
 @register("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' OR coalesce(CASE WHEN l_linenumber <> 2 THEN l_tax > 0.05 END, false)")
 def present_in_any(spark, d):
     x = t(spark, d, "lineitem").withColumn("present_a", F.col("l_returnflag") == "R").withColumn("present_b", F.expr("CASE WHEN l_linenumber <> 2 THEN l_tax > 0.05 END"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orfloom.operators import genome, stats, sweeps
+from orfloom.operators import genome, peptides, stats, sweeps
 from orfloom.plans.queries import EVENTS, events, register, t
 from orfloom.scratch import scratch_path
 from orfloom.streaming import jobs
@@ -138,3 +138,38 @@ def even_quota_picks(spark, d):
     c = t(spark, d, "customer")
     picks = stats.quota_picks(c, "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", 0, quotas=stats.even_quotas(c, "c_mktsegment", 17))
     return picks.select("c_custkey", "c_nationkey", "c_mktsegment", "rank")
+
+
+# --- peptides (SC14, SC15): items are proteins
+
+
+def _digest_sql(name: str, protein: str, keys: str, source: str) -> str:
+    """CTEs ``<name>``: peptides of up to two pieces with their starts, by a mark behind each cut."""
+    return f"""
+{name}0 AS (SELECT {keys}, list_filter(string_split(replace(regexp_replace({protein}, '([KR])', '\\1|', 'g'), '|P', 'P'), '|'), lambda x: x <> '') AS w FROM {source}),
+{name}1 AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM {name}0),
+{name}2 AS (SELECT {keys}, w[i] AS peptide, length(array_to_string(w[1:i - 1], '')) AS pos FROM {name}1 UNION SELECT {keys}, w[i] || w[i + 1], length(array_to_string(w[1:i - 1], '')) FROM {name}1 WHERE i < len(w)),
+{name} AS (SELECT * FROM {name}2 WHERE length(peptide) BETWEEN 7 AND 30)"""
+
+
+_EXCISED = "pos = 0 AND substr(peptide, 2, 1) IN ('A', 'C', 'G', 'P', 'S', 'T', 'V')"
+
+
+@register(f"""
+WITH s AS (
+  SELECT item_id % 7 AS gene, can, CASE item_id % 5 WHEN 0 THEN 'MASGKR' || can WHEN 1 THEN substr(can, 21) ELSE reverse(can) END AS iso, CASE item_id % 5 WHEN 0 THEN 'Extended' WHEN 1 THEN 'Truncated' WHEN 2 THEN 'uORF' WHEN 3 THEN 'Annotated' END AS kind
+  FROM (SELECT item_id, 'M' || regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g') AS can FROM benchmark)),
+{_digest_sql("x", "iso", "gene, can, kind", "s")},
+{_digest_sql("y", "can", "can", "(SELECT DISTINCT can FROM s)")},
+k AS (SELECT * FROM x WHERE CASE kind WHEN 'Extended' THEN pos < 6 WHEN 'Truncated' THEN pos = 0 ELSE true END),
+f AS (SELECT gene, can, peptide FROM k UNION SELECT gene, can, substr(peptide, 2) FROM k WHERE kind IS NOT NULL AND {_EXCISED}),
+a AS (SELECT peptide FROM y UNION SELECT substr(peptide, 2) FROM y WHERE {_EXCISED})
+SELECT DISTINCT gene, peptide FROM f WHERE (can, peptide) NOT IN (SELECT can, peptide FROM y) AND peptide NOT IN (SELECT peptide FROM a)""")
+def unique_peptides(spark, d):
+    items = t(spark, d, "benchmark").select("item_id", F.concat(F.lit("M"), F.regexp_replace(F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "[^A-Z]", "")).alias("can"))
+    k = F.col("item_id") % 5
+    sites = items.select(
+        (F.col("item_id") % 7).alias("gene"), "can", F.when(k == 0, F.concat(F.lit("MASGKR"), "can")).when(k == 1, F.substring("can", 21, 1 << 30)).otherwise(F.reverse("can")).alias("iso"),
+        F.when(k == 0, "Extended").when(k == 1, "Truncated").when(k == 2, "uORF").when(k == 3, "Annotated").alias("kind"), F.when(k == 0, 0).alias("a"), F.when(k == 0, 6).alias("b"),
+    )
+    return peptides.unique_peptides(sites, "gene", "iso", "can", "kind", "a", "b", peptides.proteome_peptides(sites, "can")).select("gene", "peptide")
