@@ -45,7 +45,7 @@ def _folded(path: str) -> str:
 
 
 def _key(url: str) -> str:
-    """The name of a page in links, as ``urls.url_key`` makes it."""
+    """The name of a page in links, as ``urls.with_url_key`` makes it."""
     plain = f"regexp_replace(trim({url}), '#(.|\\n)*$', '')"
     head = f"regexp_extract({plain}, '^([^:/?#]+://[^/?#]*)', 1)"
     rest = f"substr({plain}, length({head}) + 1)"

@@ -63,19 +63,22 @@ def _without_dots(path: Column) -> Column:
     return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.when(clean == "", "/").otherwise(clean)).otherwise(path)
 
 
-def url_key(url: Column) -> Column:
-    """The name of a page in links: no fragment, no white space around, scheme and host lower-cased, no dot segments, ``/`` for no path."""
-    plain = F.regexp_replace(F.trim(url), r"(?s)#.*$", "")
-    head = F.regexp_extract(plain, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
-    rest = F.substr(plain, F.length(head) + F.lit(1))
-    path, query = F.regexp_extract(rest, r"(?s)^([^?]*)", 1), F.regexp_extract(rest, r"(?s)^[^?]*(.*)$", 1)
-    return F.when(head == "", plain).otherwise(F.concat(F.translate(head, _UPPER, _LOWER), F.when(path == "", "/").otherwise(_without_dots(path)), query))
+def with_url_key(df: DataFrame, url: str, out: str) -> DataFrame:
+    """``df`` with the name of a page in links: no fragment, no white space around, scheme and host lower-cased, no dot segments, ``/`` for no path."""
+    plain, head, rest, path = (f"{out}__{x}" for x in ("plain", "head", "rest", "path"))
+    df = df.withColumn(plain, F.regexp_replace(F.trim(F.col(url)), r"(?s)#.*$", ""))
+    df = df.withColumn(head, F.regexp_extract(plain, r"(?s)^([^:/?#]+://[^/?#]*)", 1))
+    df = df.withColumn(rest, F.substr(plain, F.length(head) + F.lit(1)))
+    df = df.withColumn(path, F.regexp_extract(rest, r"(?s)^([^?]*)", 1))
+    query = F.substr(rest, F.length(path) + F.lit(1))
+    key = F.concat(F.translate(head, _UPPER, _LOWER), F.when(F.col(path) == "", "/").otherwise(_without_dots(F.col(path))), query)
+    return df.withColumn(out, F.when(F.col(head) == "", F.col(plain)).otherwise(key)).drop(plain, head, rest, path)
 
 
 def link_target(base: Column, link: Column) -> Column:
     """``link`` as found on page ``base``: absolute, scheme-relative, from the root, a query of the page, or beside it.
 
-    Empty links, fragments of the page and other schemes (``mailto:``) give null; dot segments are for :func:`url_key`.
+    Empty links, fragments of the page and other schemes (``mailto:``) give null; dot segments are for :func:`with_url_key`.
     """
     scheme = F.regexp_extract(base, r"^([^:/?#]+:)//", 1)
     site = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
@@ -125,9 +128,11 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     refresh = F.transform(_values(F.col("h"), "meta", "http-equiv", "refresh", "content"), lambda c: F.regexp_extract(c, r"""(?is)^[\s\d.]*[;,]?\s*(?:url\s*=\s*)?["']?([^"']*)""", 1))
     targets = F.concat(_values(F.col("h"), "link", "rel", "canonical", "href"), refresh)
     stated = F.get(F.filter(F.transform(F.regexp_extract_all("h", F.lit(_TAG.format("base")), F.lit(1)), lambda a: _value(a, "href")), lambda x: x != ""), F.lit(0))
+    # each step is a column of its own: nested in one another they would repeat many times
     found = found.select("u", stated.alias("s"), F.explode(F.array_distinct(targets)).alias("t")).where("t <> ''")
-    against = F.coalesce(link_target(F.col("u"), F.col("s")), F.col("u"))
-    return found.select(url_key(F.col("u")).alias("a"), url_key(link_target(against, F.col("t"))).alias("b")).where("b is not null and a <> b").distinct()
+    found = found.select("u", "t", link_target(F.col("u"), F.col("s")).alias("s")).select("u", "t", F.coalesce("s", "u").alias("base"))
+    found = found.select("u", link_target(F.col("base"), F.col("t")).alias("v")).where("v is not null")
+    return with_url_key(with_url_key(found, "u", "a"), "v", "b").select("a", "b").where("a <> b").distinct()
 
 
 def judge_urls(
@@ -156,7 +161,7 @@ def judge_urls(
     if html is not None:
         edges.append(page_links(pages, url, html))
     if redirects is not None:
-        edges.append(redirects.select(url_key(F.col("src")).alias("a"), url_key(F.col("dst")).alias("b")).where("a <> b"))
+        edges.append(with_url_key(with_url_key(redirects, "src", "a"), "dst", "b").select("a", "b").where("a <> b"))
     rows = rows.select("page_id", "__url", host.alias("host"), path.alias("path"))
     rows = with_rules(rows, rules)
     if not edges:
@@ -175,7 +180,7 @@ def judge_urls(
     )
     shared = classes.join(verdicts, "component")
     return (
-        rows.withColumn("node", url_key(F.col("__url")))
+        with_url_key(rows, "__url", "node")
         .join(shared, "node", "left")
         .select("page_id", "host", "path", "rule", F.coalesce("own", "shared", F.lit("allow")).alias("verdict"), "component")
     )

@@ -6,12 +6,11 @@ from urllib.parse import urljoin, urlsplit, urlunsplit
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from orfloom.llm import urls
 from orfloom.llm.queries import URL_RULES
 from orfloom.llm.sql import OP10
-from orfloom.llm.urls import judge_urls, url_key
+from orfloom.llm.urls import judge_urls, with_url_key
 
 PAGES = "page_id long, url string, html string, host string, verdict int"
 
@@ -107,5 +106,5 @@ def test_equal_rules_and_names(spark, monkeypatch):
         monkeypatch.setattr(urls, "MOST_RULES", most)
         assert sorted((r["page_id"], r["rule"], r["verdict"]) for r in judge_urls(df, rules).collect()) == [(1, "a.b/c", "allow"), (2, "b/", "block")]
     given = ["http://A.org", "HTTP://a.org/b/../c/./d/..?q=/../x#f", "http://a.org/../../x/.", " x y "]
-    out = [r[0] for r in spark.createDataFrame([(g,) for g in given], "u string").select(url_key(F.col("u"))).collect()]
+    out = [r[0] for r in with_url_key(spark.createDataFrame([(g,) for g in given], "u string"), "u", "k").select("k").collect()]
     assert out == ["http://a.org/", "http://a.org/c/?q=/../x", "http://a.org/x/", "x y"]
