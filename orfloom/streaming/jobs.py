@@ -42,34 +42,53 @@ class _Quota(StatefulProcessor):
         self.waiting = handle.getMapState("waiting", second, count)
         self.past = handle.getMapState("past", second, count)
 
+    def _wake(self, second: int) -> None:
+        """Once the watermark is past a second, all its events are here."""
+        self.handle.registerTimer((second + 1) * 1000)
+
     def handleInputRows(self, key, rows, timerValues):
+        new: dict[int, int] = {}
         for f in rows:
             for second, n in f.groupby("second")["n"].sum().items():
-                before = self.waiting.getValue((int(second),)) if self.waiting.exists() and self.waiting.containsKey((int(second),)) else (0,)
-                self.waiting.updateValue((int(second),), (int(before[0]) + int(n),))
-                self.handle.registerTimer((int(second) + 1) * 1000)  # once the watermark is past the second, all its events are here
+                new[int(second)] = new.get(int(second), 0) + int(n)
+        known = self.waiting.exists()
+        for second, n in new.items():
+            before = self.waiting.getValue((second,))[0] if known and self.waiting.containsKey((second,)) else 0
+            self.waiting.updateValue((second,), (int(before) + n,))
+        if new:
+            self._wake(min(new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs() // 1000
-        ready = sorted((k[0], v[0]) for k, v in self.waiting.iterator() if k[0] < due) if self.waiting.exists() else []
-        past = dict((k[0], v[0]) for k, v in self.past.iterator()) if self.past.exists() else {}
-        out = []
-        for second, n in ready:
-            self.waiting.removeKey((second,))
-            past[second] = past.get(second, 0) + n
-            self.past.updateValue((second,), (past[second],))
+        due = timerValues.getCurrentWatermarkInMs() // 1000  # one timer answers all that the watermark has passed
+        waiting = [(k[0], v[0]) for k, v in self.waiting.iterator()] if self.waiting.exists() else []
+        ready = sorted(x for x in waiting if x[0] < due)
+        if len(ready) < len(waiting):
+            self._wake(min(s for s, _ in waiting if s >= due))
+        past = sorted((k[0], v[0]) for k, v in self.past.iterator()) if self.past.exists() else []
+        times, seen = past + ready, [0]
+        for _, n in times:
+            seen.append(seen[-1] + n)
+        first, out = dict.fromkeys(self.windows, 0), []
+        for i in range(len(past), len(times)):
+            second, n = times[i]
             row = {self.client: key[0], "second": second, "n": n}
             for width, limit in zip(self.windows, self.limits, strict=True):
-                inside = {s: k for s, k in past.items() if second - width < s <= second}
-                total = sum(inside.values())
-                row |= {f"n_{width}": total, f"over_{width}": total > limit, f"wait_{width}": min(inside) + width - second if total > limit else 0}
+                while times[first[width]][0] <= second - width:
+                    first[width] += 1
+                total, oldest = seen[i + 1] - seen[first[width]], times[first[width]][0]
+                row |= {f"n_{width}": total, f"over_{width}": total > limit, f"wait_{width}": oldest + width - second if total > limit else 0}
             out.append(row)
-        for second in [s for s in past if s <= due - 1 - max(self.windows)]:  # out of every later window
-            self.past.removeKey((second,))
-            del past[second]
+        old = due - max(self.windows)  # out of every later window
+        for second, _ in past:
+            if second < old:
+                self.past.removeKey((second,))
+        for second, n in ready:
+            self.waiting.removeKey((second,))
+            if second >= old:
+                self.past.updateValue((second,), (n,))
         if ready:
-            self.handle.registerTimer((ready[-1][0] + max(self.windows) + 2) * 1000)  # then the client is forgotten
+            self._wake(ready[-1][0] + max(self.windows) + 1)  # then the client is forgotten
         yield pd.DataFrame(out, columns=[self.client, "second", "n", *(f"{c}_{w}" for w in self.windows for c in ("n", "over", "wait"))])
 
     def close(self) -> None:
