@@ -330,7 +330,7 @@ class Repair:
             F.sum(F.when(blank, 0).when(again, n).otherwise(n - 1)).alias("duplicate"),
             F.sum(F.when((F.col("fault") == 1) & ~again, 1).otherwise(0)).alias("truncated"),
         )
-        gaps = F.coalesce(F.when(F.col("lo").isNull(), 0).otherwise(F.try_add(F.try_subtract("hi", "lo"), F.lit(1) - F.col("turns"))))
+        gaps = F.when(F.col("lo").isNull(), 0).otherwise(F.try_add(F.try_subtract("hi", "lo"), F.lit(1) - F.col("turns")))
         seams = self.segments.select("conv", "nr", "illegal", "head", "tail")
         before = F.lag("tail").over(Window.partitionBy("conv").orderBy("nr"))  # a row for each segment
         seams = seams.withColumn("before", before)
