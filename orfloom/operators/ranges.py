@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orfloom.operators.sweeps import average_ranks
+from orfloom.operators.sweeps import average_ranks, running
 
 
 def bins(start: Column, end: Column, width: float) -> Column:
@@ -56,6 +56,21 @@ def tag_regions(variants: DataFrame, regions: DataFrame, key: str, pos: str, var
     return variants.join(flags, [key, variant_id]).unionByName(blank)
 
 
+def spans_at(points: DataFrame, spans: DataFrame, pos: str, start: str, end: str, on: list[str] | None = None, out: str = "n") -> DataFrame:
+    """``points`` that lie in half-open spans, with how many (JN05): the pairs of :func:`point_join`, counted without being formed.
+
+    A running total over the distinct positions; the cost does not grow with the
+    lengths of the spans or with how many cover a point.
+    """
+    on = on or []
+    ends = F.explode(F.array(F.struct(F.col(start).alias("__pos"), F.lit(1).alias("__d")), F.struct(F.col(end).alias("__pos"), F.lit(-1).alias("__d")))).alias("__e")
+    steps = spans.where(F.col(start) < F.col(end)).select(*on, ends).select(*on, "__e.*")
+    asked = points.where(F.col(pos).isNotNull()).select(*on, F.col(pos).alias("__pos"), F.lit(0).alias("__d")).distinct()
+    steps = steps.unionByName(asked).groupBy(*on, "__pos").agg(F.sum("__d").alias("__d"))
+    depth = running(steps, on, ["__pos"], {"__before": ("sum", "__d")}).withColumn(out, F.coalesce("__before", F.lit(0)) + F.col("__d"))
+    return points.withColumn("__pos", F.col(pos)).join(depth.where(F.col(out) > 0).select(*on, "__pos", out), [*on, "__pos"]).drop("__pos")
+
+
 def weighted_track_mean(intervals: DataFrame, track: DataFrame, key: list[str], width: float, on: list[str] | None = None) -> DataFrame:
     """Mean of a track over intervals, weighted by interval width; intervals without data do not count (JN11).
 
