@@ -71,6 +71,42 @@ def spans_at(points: DataFrame, spans: DataFrame, pos: str, start: str, end: str
     return points.withColumn("__pos", F.col(pos)).join(depth.where(F.col(out) > 0).select(*on, "__pos", out), [*on, "__pos"]).drop("__pos")
 
 
+def points_within(spans: DataFrame, points: DataFrame, key: list[str], start: str, end: str, pos: str, least: str, on: list[str] | None = None) -> DataFrame:
+    """``key, n, least``: points in a key's half-open spans and the least value of a column over them; keys without points are left out.
+
+    The pairs of a range join, summed up without being formed.  A span of a
+    length from 2^k to 2^(k+1) is the tail of one aligned block of 2^k, the blocks
+    behind it (two at most) and the head of another; heads and tails are running
+    totals over the distinct positions.  Points are copied for each k in use.
+    """
+    on = on or []
+    # of a power of two, so that places in blocks are exact; never above the length
+    size = F.pow(F.lit(2.0), F.floor(F.log2(F.col("__hi") - F.col("__lo")) - 1e-9))
+    block = lambda x: F.floor(F.col(x) / F.col("__size"))
+    s = spans.where(F.col(start) < F.col(end)).select(*key, *(c for c in on if c not in key), F.col(start).alias("__lo"), F.col(end).alias("__hi")).withColumn("__size", size)
+    first, last = block("__lo"), block("__hi")
+    ask = lambda part, b, x: F.struct(F.lit(part).alias("__part"), b.alias("__block"), x.cast("double").alias("__at"))
+    middle = F.when(last - first > 1, F.transform(F.sequence(first + 1, last - 1), lambda b: ask("whole", b, F.lit(0.0)))).otherwise(F.array().cast("array<struct<__part:string,__block:bigint,__at:double>>"))
+    asked = s.withColumn("__ask", F.explode(F.concat(F.array(ask("tail", first, F.col("__lo")), ask("head", last, F.col("__hi"))), middle))).select(*dict.fromkeys([*key, *on]), "__size", "__ask.*")
+
+    known = points.where(F.col(pos).isNotNull()).groupBy(*on, F.col(pos).cast("double").alias("__at")).agg(F.count("*").alias("__n"), F.min(least).alias("__least"))
+    known = known.crossJoin(F.broadcast(s.select("__size").distinct())).withColumn("__block", block("__at"))  # a few sizes
+    place, empty = [*on, "__size", "__block"], [F.lit(None).cast("long").alias("__n"), F.lit(None).cast(points.schema[least].dataType).alias("__least")]
+    wanted = asked.where("__part <> 'whole'").select(*place, "__at", "__part").distinct()
+
+    def side(part: str) -> DataFrame:
+        """Sums of a block's points before a head's end, or from a tail's start on."""
+        rows = known.select(*place, "__at", "__n", "__least", F.lit(False).alias("__asks")).unionByName(wanted.where(F.col("__part") == part).select(*place, "__at", *empty, F.lit(True).alias("__asks")))
+        way = 1 if part == "head" else -1
+        rows = rows.withColumns({"__way": F.col("__at") * way, "__turn": F.col("__asks").cast("int") * -way})
+        sums = running(rows, place, ["__way", "__turn"], {"__n_all": ("sum", "__n"), "__least_all": ("min", "__least")}).where("__asks and __n_all is not null")
+        return sums.select(*place, "__at", F.lit(part).alias("__part"), F.col("__n_all").alias("n"), F.col("__least_all").alias(least))
+
+    whole = known.groupBy(*place).agg(F.sum("__n").alias("n"), F.min("__least").alias(least)).select(*place, F.lit(0.0).alias("__at"), F.lit("whole").alias("__part"), "n", least)
+    found = asked.join(side("head").unionByName(side("tail")).unionByName(whole), [*place, "__at", "__part"])
+    return found.groupBy(*key).agg(F.sum("n").alias("n"), F.min(least).alias(least))
+
+
 def weighted_track_mean(intervals: DataFrame, track: DataFrame, key: list[str], width: float, on: list[str] | None = None) -> DataFrame:
     """Mean of a track over intervals, weighted by interval width; intervals without data do not count (JN11).
 

@@ -16,7 +16,24 @@ def test_spans_at_counts_the_pairs(spark):
     assert dict(map(tuple, got)) == {i: n for i, n in want.items() if n}
 
 
+def test_points_within_sums_up_the_pairs(spark):
+    rng = random.Random(2)
+    for scale in (1.0, 0.37):
+        points = [(rng.choice("xy"), rng.randint(-70, 200) * scale, rng.randint(0, 999)) for _ in range(150)] + [("x", None, -5)]
+        spans = [(i % 200, rng.choice("xyz"), x * scale, (x + rng.choice([0, 1, 2, 4, 7, 8, 16, 31, 64, 300])) * scale) for i, x in ((i, rng.randint(-90, 200)) for i in range(260))]
+        got = ranges.points_within(spark.createDataFrame(spans, "k int, g string, a double, b double"), spark.createDataFrame(points, "g string, p double, e int"), ["k"], "a", "b", "p", "e", ["g"]).collect()
+        want = {}
+        for k, g, a, b in spans:
+            for h, p, e in points:
+                if p is not None and g == h and a <= p < b:
+                    n, least = want.get(k, (0, e))
+                    want[k] = (n + 1, min(least, e))
+        assert {r["k"]: (r["n"], r["e"]) for r in got} == want
+
+
 def test_pairs_are_counted_where_none_could_be_formed(spark):
     n = 300_000  # 9e10 pairs
     points, spans = spark.range(n).select("id", (F.col("id") % 50).alias("p")), spark.range(n).select("id", (F.col("id") % 10).alias("a"), F.lit(100).alias("b"))
     assert ranges.spans_at(points, spans, "p", "a", "b").agg(F.sum("n")).first()[0] == sum((n // 50) * (n // 10) * min(p + 1, 10) for p in range(50))
+    r = ranges.points_within(spans, points.select("p", F.col("id").alias("least")), ["id"], "a", "b", "p", "least").agg(F.sum("n"), F.sum("least")).first()
+    assert tuple(r) == (sum((n // 10) * (n // 50) * (50 - a) for a in range(10)), (n // 10) * 45)
