@@ -107,14 +107,57 @@ def points_within(spans: DataFrame, points: DataFrame, key: list[str], start: st
     return found.groupBy(*key).agg(F.sum("n").alias("n"), F.min(least).alias(least))
 
 
+def track_integrals(intervals: DataFrame, track: DataFrame, columns: dict[str, Column], width: float, on: list[str] | None = None) -> DataFrame:
+    """``intervals`` (distinct rows with start, end) with, for each column, the sum over the track of value times overlap.
+
+    Both are cut at the edges of bins.  In a bin the integral up to a place is the running
+    slope times the place, less a running sum; a piece is the difference of two.
+    """
+    on = on or []
+    edge = F.col("__bin") * width
+
+    def cut(df: DataFrame, start: str, end: str) -> DataFrame:
+        rows = df.where(F.col(start) < F.col(end)).withColumn("__bin", bins(F.col(start), F.col(end), width))
+        rows = rows.withColumns({"__lo": F.greatest(F.col(start), edge) - edge, "__hi": F.least(F.col(end), edge + width) - edge})
+        return rows.where("__lo < __hi")
+
+    ends = lambda: F.explode(F.array(F.struct(F.col("__lo").cast("double").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("__hi").cast("double").alias("at"), F.lit(-1).alias("sign")))).alias("__e")
+    values = [f"__v{k}" for k in range(len(columns))]
+    steps = cut(track.withColumns(dict(zip(values, columns.values(), strict=True))), "t_start", "t_end").select(*on, "__bin", *values, ends())
+    steps = steps.select(*on, "__bin", "__e.at", *((F.col(v) * F.col("__e.sign")).cast("double").alias(v) for v in values))
+    parts = cut(intervals, "start", "end").select(*intervals.columns, "__bin", ends()).select(*intervals.columns, "__bin", "__e.*")
+    places = parts.select(*on, "__bin", "at").distinct()
+    steps = steps.unionByName(places.select("*", *(F.lit(0.0).alias(v) for v in values))).groupBy(*on, "__bin", "at").agg(*(F.sum(v).alias(v) for v in values))
+    steps = steps.select("*", *((F.col(v) * F.col("at")).alias(f"{v}_at") for v in values))
+    totals = {f"{v}_sum": ("sum", v) for v in values} | {f"{v}_at_sum": ("sum", f"{v}_at") for v in values}
+    upto = running(steps, [*on, "__bin"], ["at"], totals)
+    upto = upto.select(*on, "__bin", "at", *(F.coalesce(F.col(f"{v}_sum") * F.col("at") - F.col(f"{v}_at_sum"), F.lit(0.0)).alias(v) for v in values))
+    met = parts.join(upto, [*on, "__bin", "at"])
+    return met.groupBy(*intervals.columns).agg(*(F.sum(-F.col("sign") * F.col(v)).alias(c) for c, v in zip(columns, values, strict=True)))
+
+
 def weighted_track_mean(intervals: DataFrame, track: DataFrame, key: list[str], width: float, on: list[str] | None = None) -> DataFrame:
     """Mean of a track over intervals, weighted by interval width; intervals without data do not count (JN11).
 
-    intervals: key + (start, end); track: (t_start, t_end, value).
+    intervals: key + (start, end); track: (t_start, t_end, value).  Pairs are
+    not formed.  Values that are not finite go as a track of their own, lest
+    they spoil the sums of others.
     """
-    hits = range_join(intervals, track, width, "start", "end", "t_start", "t_end", on)
-    over = F.least("end", "t_end") - F.greatest("start", "t_start")
-    per = hits.groupBy(*key, "start", "end").agg((F.sum(F.col("value") * over) / F.sum(over)).alias("m"))
+    value, mine = F.col("value").cast("double"), list(dict.fromkeys([*key, *(on or []), "start", "end"]))
+    infinite = float("inf")
+    odd = {"nan": F.isnan(value), "up": value == infinite, "down": value == -infinite}
+    known, distinct = track.where("value is not null"), intervals.select(*mine).distinct()
+    finite = ~(odd["nan"] | odd["up"] | odd["down"])
+    per = track_integrals(distinct, known, {"sum": F.when(finite, value).otherwise(0.0), "over": F.lit(1.0)}, width, on).where("over > 0")
+    if not known.where(~finite).isEmpty():
+        flags = track_integrals(distinct, known.where(~finite), {k: c.cast("double") for k, c in odd.items()}, width, on)
+        same = per["start"].eqNullSafe(flags["start"]) & per["end"].eqNullSafe(flags["end"])
+        for c in mine[:-2]:
+            same = same & per[c].eqNullSafe(flags[c])
+        per = per.join(flags, same, "left").select(*(per[c] for c in per.columns), "nan", "up", "down")
+        added = F.when((F.col("nan") > 0) | ((F.col("up") > 0) & (F.col("down") > 0)), float("nan")).when(F.col("up") > 0, infinite).when(F.col("down") > 0, -infinite)
+        per = per.withColumn("sum", F.coalesce(added, F.col("sum")))
+    per = per.groupBy(*key, "start", "end").agg((F.sum("sum") / F.sum("over")).alias("m"))
     w = F.col("end") - F.col("start")
     return per.groupBy(*key).agg((F.sum(F.col("m") * w) / F.sum(w)).alias("mean"), F.sum(w).alias("width"), F.count("*").alias("n_intervals"))
 

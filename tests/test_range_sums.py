@@ -31,9 +31,28 @@ def test_points_within_sums_up_the_pairs(spark):
         assert {r["k"]: (r["n"], r["e"]) for r in got} == want
 
 
+def test_track_mean_is_that_of_the_pairs(spark):
+    rng = random.Random(3)
+    intervals = [(i % 6, x, x + rng.randint(1, 60)) for i in range(90) for x in [rng.randint(-40, 300)]]
+    intervals.append(intervals[0])
+    track = [(x, x + rng.randint(1, 30), rng.choice([None, 1.5, -2.25, 1e3])) for x in (rng.randint(-40, 300) for _ in range(60))]
+    for more in ([], [(10, 20, float("nan"))], [(200, 205, float("inf"))], [(200, 205, float("inf")), (203, 204, float("-inf"))]):
+        t = spark.createDataFrame(track + more, "t_start int, t_end int, value double").where("value is not null")
+        i = spark.createDataFrame(intervals, "k int, start int, end int")
+        hits = ranges.range_join(i, t, 16, "start", "end", "t_start", "t_end")
+        over = F.least("end", "t_end") - F.greatest("start", "t_start")
+        w = F.col("end") - F.col("start")
+        per = hits.groupBy("k", "start", "end").agg((F.sum(F.col("value") * over) / F.sum(over)).alias("m"))
+        want = per.groupBy("k").agg((F.sum(F.col("m") * w) / F.sum(w)).alias("mean"), F.sum(w).alias("width"), F.count("*").alias("n_intervals"))
+        rows = lambda df: sorted((r["k"], str(round(r["mean"], 7) + 0.0), r["width"], r["n_intervals"]) for r in df.collect())
+        assert rows(ranges.weighted_track_mean(i, t, ["k"], 16)) == rows(want)
+
+
 def test_pairs_are_counted_where_none_could_be_formed(spark):
     n = 300_000  # 9e10 pairs
     points, spans = spark.range(n).select("id", (F.col("id") % 50).alias("p")), spark.range(n).select("id", (F.col("id") % 10).alias("a"), F.lit(100).alias("b"))
     assert ranges.spans_at(points, spans, "p", "a", "b").agg(F.sum("n")).first()[0] == sum((n // 50) * (n // 10) * min(p + 1, 10) for p in range(50))
     r = ranges.points_within(spans, points.select("p", F.col("id").alias("least")), ["id"], "a", "b", "p", "least").agg(F.sum("n"), F.sum("least")).first()
     assert tuple(r) == (sum((n // 10) * (n // 50) * (50 - a) for a in range(10)), (n // 10) * 45)
+    m = ranges.weighted_track_mean(spans.select((F.col("id") % 2).alias("k"), F.col("a").alias("start"), F.col("b").alias("end")), points.select(F.col("p").alias("t_start"), (F.col("p") + 1).alias("t_end"), F.lit(2.0).alias("value")), ["k"], 16)
+    assert sorted((r["k"], round(r["mean"], 9)) for r in m.collect()) == [(0, 2.0), (1, 2.0)]
