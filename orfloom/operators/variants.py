@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +16,21 @@ from orfloom.scratch import stored
 MOST_ALTS = 1000
 
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with columns that are computed once a row: from a generator no filter or projection above takes copies of the expressions."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+
 def normalize_variants(lines: DataFrame, value: str = "value", line_id: str = "line") -> DataFrame:
     """One row per alternative allele with its class, or a typed rejection (SRC09)."""
-    f = F.split(F.col(value), "\t")
-    rows = lines.where(~F.col(value).startswith("#") & (F.trim(F.col(value)) != "")).select(line_id, f.alias("f"))
+    text = F.col(value)
+    rows = _once(lines.where(~text.startswith("#") & (F.trim(text) != "")).select(line_id, value), {"f": F.split(text, "\t")}).drop(value)
     pos = F.try_element_at("f", F.lit(2)).try_cast("long")
     ref = F.upper(F.try_element_at("f", F.lit(4)))
     alts = F.split(F.upper(F.try_element_at("f", F.lit(5))), ",")
-    rows = rows.select(line_id, normalize_chrom(F.col("f")[0]).alias("chrom"), pos.alias("pos"), ref.alias("ref"), alts.alias("alts"), F.try_element_at("f", F.lit(7)).alias("filter"))
+    rows = _once(rows, {"chrom": normalize_chrom(F.col("f")[0]), "pos": pos, "ref": ref, "alts": alts, "filter": F.try_element_at("f", F.lit(7))}).drop("f")
     bad = F.when(F.col("pos").isNull() | (F.col("pos") < 1) | F.col("ref").isNull() | ~F.col("ref").rlike("^[ACGTN]+$") | F.col("alts").isNull(), "malformed").when(F.size("alts") > MOST_ALTS, "too_many_alts")
-    rows = rows.withColumn("rejected", bad)
+    rows = _once(rows, {"rejected": bad})
     out = rows.select("*", F.posexplode_outer(F.when(F.col("rejected").isNull(), F.col("alts"))).alias("alt_index", "alt")).drop("alts")
     odd = F.when(F.col("alt").rlike(r"[\[\]]"), "sv_breakend").when(F.col("alt").isNotNull() & ~F.col("alt").rlike("^[ACGTN]+$"), "unsupported_alt")
     out = out.withColumn("rejected", F.coalesce("rejected", odd))
@@ -173,17 +180,68 @@ def figure_coordinate(offset: Column, start_offset: Column) -> Column:
     return F.when(d % 3 == 0, (d / 3).cast("double")).otherwise(d / 3.0)
 
 
-def scan(lines: DataFrame, index: DataFrame, contigs: list[str] | None = None, width: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Hits and the funnel of a variant file (VC08, AG22): each variant counts in the first class that fits."""
+_ALLELE, _MODEL = ["chrom", "pos", "ref", "alt"], ["chrom", "strand", "exons", "cds"]
+
+
+class Called(NamedTuple):
+    """A variant file called against an index: its variants with their stage, the index, counts of the stages and passing alleles, and a call for each allele on each distinct model."""
+
+    variants: DataFrame
+    index: DataFrame
+    alleles: DataFrame
+    calls: DataFrame
+
+
+def _alike(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
+
+
+def scan_calls(lines: DataFrame, index: DataFrame, contigs: list[str] | None = None, width: int = 10_000) -> Called:
+    """Calls of a variant file: lines of one allele and ORFs of one model (chromosome, strand, exons, sequence) have the same calls, so these are made once (VC08)."""
     v = normalize_variants(lines)
     passing = F.col("filter").isNull() | F.col("filter").isin("PASS", ".", "")
     known = F.col("chrom").isin(*contigs) if contigs else F.lit(True)
     stage = F.when(F.col("rejected").isNotNull(), F.concat(F.lit("rejected_"), "rejected")).when(~passing, "not_pass").when(~known, "off_catalog")
-    v = v.withColumn("stage", stage)
-    hits = stored(classify(variants_in_orfs(v.where("stage is null"), index, width)), "scan-hits")  # read by the caller and by the funnel
-    hit_ids = hits.where("consequence <> 'intronic'").select("line", "alt_index").distinct().withColumn("hit", F.lit(True))
-    funnel = v.join(hit_ids, ["line", "alt_index"], "left").groupBy(F.coalesce("stage", F.when(F.col("hit"), "hit").otherwise("no_orf")).alias("stage")).agg(F.count("*").alias("n"))
-    return hits, funnel
+    v = _once(v, {"stage": stage})
+    counts = v.groupBy("stage", *(F.when(F.col("stage").isNull(), F.col(c)).alias(c) for c in _ALLELE)).agg(F.count("*").alias("n_lines"))
+    counts = stored(counts, "scan-alleles")
+    alleles, models = counts.where("stage is null").select(*_ALLELE), index.select(*_MODEL).distinct()
+    return Called(v, index, counts, stored(classify(variants_in_orfs(alleles, models, width)), "scan-calls"))
+
+
+def all_hits(found: Called, calls: DataFrame | None = None) -> DataFrame:
+    """A row for each line and ORF of the calls (or of ``calls`` made from them)."""
+    calls = found.calls if calls is None else calls
+    v, index = found.variants.where("stage is null"), found.index
+    met = calls.join(v, _ALLELE)
+    added = [c for c in index.columns if c not in _MODEL]
+    return met.join(index, _alike(met, index, _MODEL)).select(*(met[c] for c in met.columns), *(index[c] for c in added))
+
+
+def weighed_hits(found: Called, group: str) -> DataFrame:
+    """The calls for each value of an index column, with ``weight``: of how many lines and ORFs; and ``variant_id``."""
+    lines = found.alleles.where("stage is null").select(*_ALLELE, "n_lines")
+    orfs = found.index.groupBy(*_MODEL, group).agg(F.count("*").alias("n_rows"))
+    met = found.calls.join(lines, _ALLELE)
+    met = met.join(orfs, _alike(met, orfs, _MODEL)).select(*(met[c] for c in met.columns), orfs[group], (F.col("n_lines") * F.col("n_rows")).alias("weight"))
+    return met.withColumn("variant_id", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt")).drop("n_lines")
+
+
+def funnel(found: Called) -> DataFrame:
+    """How many variants ended in each stage (AG22): each counts in the first class that fits; lines of one number share a hit."""
+    hit = found.calls.where("consequence <> 'intronic'").select(*_ALLELE).distinct().withColumn("hit", F.lit(True))
+    met = found.variants.where("stage is null").select("line", "alt_index", *_ALLELE).join(hit, _ALLELE, "left")
+    met = met.groupBy("line", "alt_index").agg(F.count("*").alias("n"), F.max("hit").alias("hit")).select(F.when(F.col("hit"), "hit").otherwise("no_orf").alias("stage"), "n")
+    return found.alleles.where("stage is not null").select("stage", F.col("n_lines").alias("n")).unionByName(met).groupBy("stage").agg(F.sum("n").alias("n"))
+
+
+def scan(lines: DataFrame, index: DataFrame, contigs: list[str] | None = None, width: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """Hits and the funnel of a variant file (VC08, AG22)."""
+    found = scan_calls(lines, index, contigs, width)
+    return all_hits(found), funnel(found)
 
 
 def hits_by_gene(hits: DataFrame, gene: str, region: str | None = None) -> DataFrame:
@@ -193,6 +251,17 @@ def hits_by_gene(hits: DataFrame, gene: str, region: str | None = None) -> DataF
     return rolled.orderBy(F.desc("n_variants"), F.desc("n_hits"), gene)
 
 
+def genes_of_scan(found: Called, gene: str, region: Column | None = None) -> DataFrame:
+    """As :func:`hits_by_gene`, from the calls and their weights: hits are not formed."""
+    hits = weighed_hits(found, gene).withColumn("region", F.lit(None).cast("string") if region is None else region)
+    where = [] if region is None else [F.coalesce(F.sum(F.when(F.col("region") == r, F.col("weight"))), F.lit(0)).alias(f"n_{r}") for r in ("unique", "shared")]
+    rolled = hits.groupBy(gene).agg(F.countDistinct("variant_id").alias("n_variants"), F.sum("weight").alias("n_hits"), *where)
+    met, index = found.calls.select(*_MODEL).distinct(), found.index
+    orfs = index.join(met, _alike(index, met, _MODEL), "left_semi").groupBy(F.col(gene).alias("__gene")).agg(F.countDistinct("orf_id").alias("n_orfs"))
+    rolled = rolled.join(orfs, F.col(gene).eqNullSafe(F.col("__gene"))).drop("__gene")
+    return rolled.orderBy(F.desc("n_variants"), F.desc("n_hits"), gene)
+
+
 def score_lookup(variants: DataFrame, scores: DataFrame, transcript: str) -> DataFrame:
     """Per-variant score by exact allele, a matching transcript (without version) first (JN08)."""
     bare = F.split_part(F.col("score_transcript"), F.lit("."), F.lit(1))
@@ -257,9 +326,10 @@ def chosen_frame(isoform: Column, canonical: Column, isoform_region: Column, can
     }
 
 
-def wrong_reference(hits: DataFrame, key: list[str], mismatch: Column, checked: Column, share: float = 0.5, least: int = 10) -> DataFrame:
-    """Per key: bases checked against the reference, mismatches, and whether they speak for another assembly (AG30)."""
-    out = hits.groupBy(*key).agg(F.count_if(checked).alias("n_checked"), F.count_if(checked & mismatch).alias("n_mismatch"))
+def wrong_reference(hits: DataFrame, key: list[str], mismatch: Column, checked: Column, share: float = 0.5, least: int = 10, weight: str | None = None) -> DataFrame:
+    """Per key: bases checked against the reference, mismatches, and whether they speak for another assembly (AG30); ``weight``: of how many hits a row speaks."""
+    count = F.count_if if weight is None else lambda which: F.coalesce(F.sum(F.when(which, F.col(weight))), F.lit(0))
+    out = hits.groupBy(*key).agg(count(checked).alias("n_checked"), count(checked & mismatch).alias("n_mismatch"))
     return out.withColumn("wrong_reference", (F.col("n_checked") >= least) & (F.col("n_mismatch") >= share * F.col("n_checked")))
 
 

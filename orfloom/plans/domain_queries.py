@@ -10,6 +10,7 @@ from orfloom.functions import scalars as sc
 from orfloom.functions import sequence as sq
 from orfloom.operators import combine, compare, evidence, filters, metrics, stats, variants
 from orfloom.plans.queries import EVENTS, events, register, t
+from orfloom.scratch import stored
 
 _CODONS = "MAP {" + ", ".join(f"'{''.join(b)}': '{a}'" for b, a in zip(product("TCAG", repeat=3), sq.STANDARD_CODE, strict=True)) + "}"
 
@@ -195,43 +196,44 @@ k AS (SELECT *, CASE WHEN found <> ref THEN 'reference_mismatch' WHEN residue =
 
 
 def _scan(spark, d):
-    return variants.scan(_variant_lines(spark, d), _orfs(spark, d), ["chr1", "chr2", "chr3"], width=100)
+    return variants.scan_calls(_variant_lines(spark, d), _orfs(spark, d), ["chr1", "chr2", "chr3"], width=100)
 
 
 @register(f"WITH {_SCAN} SELECT coalesce(stage, CASE WHEN EXISTS (SELECT 1 FROM h WHERE h.line = v.line) THEN 'hit' ELSE 'no_orf' END) AS stage, count(*) AS n FROM v GROUP BY 1")
 def scan_funnel(spark, d):
-    return _scan(spark, d)[1]
+    return variants.funnel(_scan(spark, d))
 
 
 @register(f"WITH {_SCAN} SELECT line, orf_id, residue, ref_aa, alt_aa, consequence FROM k")
 def vcf_scan(spark, d):
-    return _scan(spark, d)[0].select("line", "orf_id", "residue", "ref_aa", "alt_aa", "consequence")
+    return variants.all_hits(_scan(spark, d)).select("line", "orf_id", "residue", "ref_aa", "alt_aa", "consequence")
 
 
 @register(f"WITH {_SCAN} SELECT p_brand, count(DISTINCT chrom || ':' || pos || ':' || ref || ':' || alt) AS n_variants, count(*) AS n_hits, count(DISTINCT orf_id) AS n_orfs FROM h GROUP BY 1")
 def scan_genes(spark, d):
-    return variants.hits_by_gene(_scan(spark, d)[0], "p_brand")
+    return variants.genes_of_scan(_scan(spark, d), "p_brand")
 
 
 @register(f"WITH {_SCAN} SELECT p_brand, count(*) AS n_checked, count(*) FILTER (consequence = 'reference_mismatch') AS n_mismatch, count(*) >= 10 AND count(*) FILTER (consequence = 'reference_mismatch') >= 0.5 * count(*) AS wrong_reference FROM k GROUP BY 1")
 def wrong_reference(spark, d):
-    return variants.wrong_reference(_scan(spark, d)[0], ["p_brand"], F.col("consequence") == "reference_mismatch", F.col("consequence").isNotNull())
+    hits = variants.weighed_hits(_scan(spark, d), "p_brand")
+    return variants.wrong_reference(hits, ["p_brand"], F.col("consequence") == "reference_mismatch", F.col("consequence").isNotNull(), weight="weight")
 
 
 @register(f"WITH {_SCAN}, w AS (SELECT *, off >= 9 AS inside FROM k) SELECT line, orf_id, consequence AS whole_consequence, CASE WHEN off >= 9 THEN residue - 3 ELSE residue END AS residue, CASE WHEN off >= 9 THEN 'isoform' ELSE 'canonical' END AS frame, CASE WHEN off >= 9 THEN 'unique' ELSE 'shared' END AS region FROM w")
 def two_frame_calls(spark, d):
-    hits = _scan(spark, d)[0].select("line", "orf_id", "pos", "ref", "alt", "strand", "exons", "cds")
+    found = _scan(spark, d)
     late = F.transform("exons", lambda x: F.struct((x.start + 9).alias("start"), x.end.alias("end")))
-    both = hits.withColumn("whole_exons", F.col("exons")).withColumn("late_exons", late).withColumn("late_cds", F.substring("cds", 10, 100))
-    called = variants.two_frames(both, {"whole": ("whole_exons", "cds"), "late": ("late_exons", "late_cds")}, ["consequence", "residue"])
+    both = found.calls.select("chrom", "pos", "ref", "alt", "strand", "exons", "cds").withColumn("whole_exons", F.col("exons")).withColumn("whole_cds", F.col("cds")).withColumn("late_exons", late).withColumn("late_cds", F.substring("cds", 10, 100))
+    called = variants.two_frames(both, {"whole": ("whole_exons", "whole_cds"), "late": ("late_exons", "late_cds")}, ["consequence", "residue"])
     pick = variants.chosen_frame(F.col("late_residue"), F.col("whole_residue"), F.when(F.col("late_residue").isNotNull(), "unique"), F.lit("shared"))
-    return called.select("line", "orf_id", "whole_consequence", *(c.alias(k) for k, c in pick.items()))
+    called = called.withColumns({"exons": F.col("whole_exons"), "cds": F.col("whole_cds")})  # the model that was hit
+    return variants.all_hits(found, stored(called, "two-frames")).select("line", "orf_id", "whole_consequence", *(c.alias(k) for k, c in pick.items()))
 
 
 @register(f"WITH {_SCAN} SELECT p_brand, count(DISTINCT chrom || ':' || pos || ':' || ref || ':' || alt) AS n_variants, count(*) AS n_hits, count(*) FILTER (off >= 9) AS n_unique, count(*) FILTER (off < 9) AS n_shared, count(DISTINCT orf_id) AS n_orfs FROM k GROUP BY 1")
 def scan_regions(spark, d):
-    hits = _scan(spark, d)[0].withColumn("region", variants.region_of_hit(F.col("residue"), F.lit(3), F.lit(99)))
-    return variants.hits_by_gene(hits, "p_brand", "region")
+    return variants.genes_of_scan(_scan(spark, d), "p_brand", variants.region_of_hit(F.col("residue"), F.lit(3), F.lit(99)))
 
 
 _SEVERITY = {"R": 3, "A": 2, "N": 1}
