@@ -72,12 +72,21 @@ def _residue(codon: Column) -> Column:
     return F.when((place[0] > 0) & (place[1] > 0) & (place[2] > 0) & (F.length(codon) == 3), F.substr(F.lit(STANDARD_CODE), at, F.lit(1))).otherwise(F.lit("X"))
 
 
+_RESIDUES = {"".join(digits): a for digits, a in zip(product("1234", repeat=3), STANDARD_CODE, strict=True)}
+#: Amino acids by three digits, one a base: T, C, A, G are 1 to 4, any other character is 0.
+_BY_DIGITS = [_RESIDUES.get(f"{k:03}", "X") for k in range(445)]
+
+
 def translate(seq: str | Column) -> Column:
-    """Amino acids of whole codons; ``*`` for stops, X for gaps and ambiguous bases; a partial codon is dropped."""
+    """Amino acids of whole codons; ``*`` for stops, X for gaps and ambiguous bases; a partial codon is dropped.
+
+    One pass of an expression cuts the codons: a substring at a place would walk there from the start.
+    """
     c = F.upper(col(seq))
-    n = F.floor(F.length(c) / 3).cast("int")
-    codons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: _residue(F.substr(c, i * 3 + 1, F.lit(3))))
-    return F.when(n > 0, F.concat_ws("", codons)).when(c.isNotNull(), "")
+    digits = F.translate(F.regexp_replace(c, "[^TCAG]", "0"), "TCAG", "1234")
+    table = F.array(*(F.lit(a) for a in _BY_DIGITS))
+    codons = F.transform(F.regexp_extract_all(digits, F.lit("([0-4]{3})"), F.lit(1)), lambda x: F.get(table, x.cast("int")))
+    return F.when(c.isNotNull(), F.concat_ws("", codons))
 
 
 def translate_short(seq: str | Column) -> Column:

@@ -1,7 +1,9 @@
 """Scalar, interval and sequence functions on small rows."""
 
+import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +123,15 @@ def test_region(spark):
 
 def test_numbers(spark):
     assert sorted(one(spark, n=sc.numbers_in(F.lit("1,200 of 35% is +3.5, 3.5")))["n"]) == ["1200", "3.5", "35"]
+
+
+def test_long_sequences_are_translated_in_one_pass(spark):
+    rng = random.Random(11)
+    seq = "".join(rng.choice("acgtTCAGNnR-1é𝄞") if k % 7 == 0 else rng.choice("TCAG") for k in range(200_001))
+    code = {"".join(b): a for b, a in zip(itertools.product("TCAG", repeat=3), sq.STANDARD_CODE, strict=True)}
+    want = "".join(code.get(seq[i : i + 3].upper(), "X") for i in range(0, len(seq) - 2, 3))
+    df = spark.createDataFrame([(seq,), ("",), (None,)], "s string")
+    began = time.monotonic()
+    got = [r["p"] for r in df.select(sq.translate("s").alias("p")).collect()]
+    assert got == [want, "", None]
+    assert time.monotonic() - began < 60  # a walk from the start for each codon takes minutes
