@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,17 +20,26 @@ def empty() -> Column:
     return F.array().cast(INTERVALS)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def normalize(intervals: str | Column) -> Column:
     """Sorted, empty ones dropped, overlapping and adjacent ones merged (SC20)."""
-    given = F.array_sort(F.filter(col(intervals).cast(INTERVALS), lambda x: x.start < x.end))
+    given = F.sort_array(F.filter(col(intervals).cast(INTERVALS), lambda x: x.start < x.end))
 
     def add(done: Column, x: Column) -> Column:
         joins = (F.size(done) > 0) & F.coalesce(x.start <= F.try_element_at(done, F.lit(-1)).end, F.lit(False))
         tail = F.try_element_at(done, F.lit(-1))
-        merged = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(_pair(tail.start, F.greatest(tail.end, x.end))))
-        return F.when(joins, merged).otherwise(F.concat(done, F.array(_pair(x.start, x.end))))
+        longer = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(_pair(tail.start, F.greatest(tail.end, x.end))))
+        return F.when(joins, longer).otherwise(F.concat(done, F.array(_pair(x.start, x.end))))
 
-    return F.aggregate(given, empty(), add)
+    def merged(x: Column) -> Column:
+        touch = F.zip_with(F.slice(x.end, 1, F.size(x) - 1), F.slice(x.start, 2, F.size(x)), lambda end, start: start <= end)
+        return F.when((F.size(x) < 2) | ~F.array_contains(touch, True), x).otherwise(F.aggregate(x, empty(), add))  # most lists have nothing to merge
+
+    return bound(given, merged)
 
 
 def total_length(intervals: str | Column) -> Column:
@@ -37,12 +48,15 @@ def total_length(intervals: str | Column) -> Column:
 
 def intersect(a: str | Column, b: str | Column) -> Column:
     """Common parts of two normalised lists (ST03)."""
-    other = col(b).cast(INTERVALS)
-    parts = F.transform(
-        col(a).cast(INTERVALS),
-        lambda x: F.transform(F.filter(other, lambda y: (x.start < y.end) & (y.start < x.end)), lambda y: _pair(F.greatest(x.start, y.start), F.least(x.end, y.end))),
-    )
-    return F.flatten(parts)
+
+    def common(other: Column) -> Column:
+        parts = F.transform(
+            col(a).cast(INTERVALS),
+            lambda x: F.transform(F.filter(other, lambda y: (x.start < y.end) & (y.start < x.end)), lambda y: _pair(F.greatest(x.start, y.start), F.least(x.end, y.end))),
+        )
+        return F.flatten(parts)
+
+    return bound(col(b).cast(INTERVALS), common)
 
 
 def difference(a: str | Column, b: str | Column) -> Column:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orfloom.functions.intervals import INTERVALS, empty, intersect, normalize, total_length
+from orfloom.functions.intervals import INTERVALS, bound, empty, normalize, total_length
 from orfloom.functions.sequence import reverse_complement
 from orfloom.scratch import stored
 
@@ -34,9 +34,9 @@ def tiles(df: DataFrame, chrom: str | Column, sequence: str | Column, width: int
     """``chrom, tile, bases`` of sequences that are values of a table."""
     c = F.col(chrom) if isinstance(chrom, str) else chrom
     s = F.col(sequence) if isinstance(sequence, str) else sequence
-    rows = df.select(c.alias("chrom"), s.alias("s")).where(F.length("s") > 0)
-    cut = rows.select("chrom", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / width).cast("int"))).alias("t"))
-    return cut.select("chrom", F.col("t").cast("long").alias("tile"), F.substr("s", F.col("t") * width + 1, F.lit(width)).alias("bases"))
+    parts = F.regexp_extract_all(s, F.lit(f"(?s)(.{{1,{width}}})"), F.lit(1))  # one pass; an outer generator has its input computed once
+    cut = df.select(c.alias("chrom"), F.posexplode_outer(parts).alias("tile", "bases"))
+    return cut.where("bases is not null").select("chrom", F.col("tile").cast("long").alias("tile"), "bases")
 
 
 def read_genome(spark: SparkSession, path: str | list[str], width: int = WIDTH, name: str = r"^(\S+)") -> DataFrame:
@@ -102,11 +102,16 @@ def cut_out(df: DataFrame, tiled: DataFrame, key: list[str], columns: dict[str,
     """``key`` and, for each ``{out: intervals column}``, the bases of its half-open intervals read on the strand, upper-cased, and ``<out>_missing``: how many of them no tile has (SC03).
 
     All columns are cut in one join with the tiles.  A row without intervals
-    has an empty sequence.  ``key`` must be unique.
+    has an empty sequence.  ``key`` must be unique.  ``df`` is computed once and
+    written, with its intervals in order.
     """
-    lists = F.array(*(F.struct(F.lit(out).alias("which"), normalize(F.coalesce(F.col(c).cast(INTERVALS), empty())).alias("parts")) for out, c in columns.items()))
-    rows = df.select(*key, F.col(chrom).alias("chrom"), F.explode(lists).alias("x")).select(*key, "chrom", "x.which", F.explode("x.parts").alias("part"))
-    rows = rows.select(*key, "chrom", "which", F.greatest("part.start", F.lit(0)).alias("lo"), F.col("part.end").alias("hi")).where("lo < hi")
+    given = df.withColumns({f"__of_{o}": normalize(F.coalesce(F.col(c).cast(INTERVALS), empty())) for o, c in columns.items()})
+    df = stored(given.drop(*(c for c in columns if c in df.columns)), "cut-out")
+
+    def named(o: str) -> Column:
+        return F.transform(f"__of_{o}", lambda x: F.struct(F.lit(o).alias("which"), F.greatest(x.start, F.lit(0)).alias("lo"), x.end.alias("hi")))
+
+    rows = df.select(*key, F.col(chrom).alias("chrom"), F.explode_outer(F.concat(*map(named, columns))).alias("x")).select(*key, "chrom", "x.*").where("lo < hi")
     rows = rows.select("*", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("tile"))
     met = rows.join(tiled.select("chrom", "tile", "bases"), ["chrom", "tile"])
     begin = F.greatest(F.col("lo"), F.col("tile") * width)
@@ -120,16 +125,21 @@ def cut_out(df: DataFrame, tiled: DataFrame, key: list[str], columns: dict[str,
     out = df.join(found, same, "left")
     minus = F.col(strand) == "-"
     return out.select(
-        *(F.col(c) for c in df.columns if c not in columns.keys()),
+        *(F.col(c) for c in df.columns if not c.startswith("__of_")),
         *(F.when(minus, reverse_complement(F.coalesce(o, F.lit("")))).otherwise(F.upper(F.coalesce(o, F.lit("")))).alias(o) for o in columns),
-        *((total_length(normalize(F.coalesce(F.col(c).cast(INTERVALS), empty()))) - F.length(F.coalesce(o, F.lit("")))).alias(f"{o}_missing") for o, c in columns.items()),
+        *((total_length(f"__of_{o}") - F.length(F.coalesce(o, F.lit("")))).alias(f"{o}_missing") for o in columns),
     )
 
 
 def coding_parts(exons: str, start: str | Column, end: str | Column) -> Column:
     """The part of sorted exons inside the coding bounds."""
-    s, e = (F.col(x) if isinstance(x, str) else x for x in (start, end))
-    return intersect(normalize(exons), F.array(F.struct(s.cast("long").alias("start"), e.cast("long").alias("end"))))
+    s, e = ((F.col(x) if isinstance(x, str) else x).cast("long") for x in (start, end))
+
+    def cut(span: Column) -> Column:
+        parts = F.transform(normalize(exons), lambda x: F.struct(F.greatest(x.start, span.start).alias("start"), F.least(x.end, span.end).alias("end")))
+        return F.filter(parts, lambda x: (x.start < x.end) & span.start.isNotNull() & span.end.isNotNull())
+
+    return bound(F.struct(s.alias("start"), e.alias("end")), cut)
 
 
 def index_with_sequences(df: DataFrame, tiled: DataFrame, key: str = "tis_id", frames: dict[str, tuple[str, str]] | None = None, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:

@@ -71,3 +71,27 @@ def test_coding_parts_are_the_exons_inside_the_bounds(spark):
     df = spark.sql("SELECT array(named_struct('start', 30L, 'end', 40L), named_struct('start', 0L, 'end', 10L), named_struct('start', 15L, 'end', 22L)) AS e")
     got = df.select(genome.coding_parts("e", F.lit(5), F.lit(33)).alias("p")).first()["p"]
     assert [(x["start"], x["end"]) for x in got] == [(5, 10), (15, 22), (30, 33)]
+
+
+def test_bounds_that_are_missing_or_crossed_leave_no_part(spark):
+    df = spark.sql("SELECT array(named_struct('start', 0L, 'end', 10L), named_struct('start', 10L, 'end', 20L)) AS e")
+    spans = {"whole": (-5, 99), "crossed": (15, 5), "open": (None, 7), "point": (4, 4)}
+    got = df.select(*(genome.coding_parts("e", F.lit(a).cast("int"), F.lit(b).cast("int")).alias(k) for k, (a, b) in spans.items())).first().asDict(recursive=True)
+    assert got == {"whole": [{"start": 0, "end": 20}], "crossed": [], "open": [], "point": []}
+
+
+def test_rows_to_cut_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    kind = "tis_id long, chrom string, strand string, exons array<struct<start:long,end:long>>"
+    sites = spark.createDataFrame([(i, "c", "+", [(i, i + 5), (i + 3, i + 9)]) for i in range(20)], kind).mapInArrow(count, kind)
+    tiled = genome.tiles(spark.createDataFrame([("c", "ACG\nT𝄞" * 9), ("d", ""), ("e", None)], "chrom string, s string"), "chrom", "s", 4)
+    assert sorted((r["tile"], r["bases"]) for r in tiled.collect()) == [(k, ("ACG\nT𝄞" * 9)[4 * k : 4 * k + 4]) for k in range(14)]
+    got = {r["tis_id"]: r["out"] for r in genome.cut_out(sites, tiled, ["tis_id"], {"out": "exons"}, width=4).collect()}
+    assert got == {i: ("ACG\nT𝄞" * 9)[i : i + 9].upper() for i in range(20)}
+    assert seen.value == 20  # not once for the pieces and once for the rows
