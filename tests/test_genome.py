@@ -95,3 +95,18 @@ def test_rows_to_cut_are_computed_once(spark):
     got = {r["tis_id"]: r["out"] for r in genome.cut_out(sites, tiled, ["tis_id"], {"out": "exons"}, width=4).collect()}
     assert got == {i: ("ACG\nT𝄞" * 9)[i : i + 9].upper() for i in range(20)}
     assert seen.value == 20  # not once for the pieces and once for the rows
+
+
+def test_report_of_an_index_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    kind = "tis_id long, chrom string, strand string, exons array<struct<start:long,end:long>>, residues int"
+    sites = spark.createDataFrame([(i, "c", "-", [(i, i + 6)], 2 + i % 2) for i in range(10)], kind).mapInArrow(count, kind)
+    tiled = genome.tiles(spark.createDataFrame([("c", "ACGT" * 9)], "chrom string, s string"), "chrom", "s", 4)
+    report = genome.index_with_sequences(sites, tiled, "tis_id", {"cds": ("exons", "residues")}, 4)[1]
+    assert [tuple(r) for r in report.collect()] == [("cds", 10, 5)] and seen.value == 10
