@@ -11,8 +11,8 @@ that a passage which many documents share makes no long columns.
    collapse there), and the count sketch: a pass over the texts.
 2. *Prefixes*: a written row for each set with its prefix n-grams in order: a
    second pass.  All columns come from this table.
-3. *Columns*: prefix n-grams that at least two sets have, with the places of
-   those n-grams in the sets that have them.
+3. *Columns*: prefix n-grams that at least two rows of that table have, with
+   the places of those n-grams in the sets that have them.
 4. *Few*: columns of few sets are joined with themselves and overlaps are
    accumulated; pairs under the size-derived bound are discarded.
 5. *Hubs*: in every column of many sets each set is paired with hubs of its size
@@ -239,7 +239,7 @@ def _rows(prefixes: DataFrame, columns) -> DataFrame:
 
 
 def _contents(docs: DataFrame, size: int, ids) -> DataFrame:
-    """``(sid, content)`` of the sets of the documents whose id is in the filter or null."""
+    """``(sid, content)`` of the sets of the documents whose id is in the filter or null; a task gives each set once."""
 
     def run(batches):
         seen: set[int] = set()
@@ -257,7 +257,7 @@ def _contents(docs: DataFrame, size: int, ids) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(contents, pa.binary())], names=["sid", "content"])
         give_back()
 
-    return stored(docs.mapInArrow(run, "sid long, content binary").dropDuplicates(["sid"]), "shingle-contents")
+    return stored(docs.mapInArrow(run, "sid long, content binary"), "shingle-contents")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -266,7 +266,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, nu
     named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     read = stored(members.join(named, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("key")).where("key is not null"), "pair-documents")
     ids = docs.sparkSession.sparkContext.broadcast(_column_filter(read))
-    sets = _contents(docs, size, ids)
+    sets = _contents(docs, size, ids).dropDuplicates(["sid"])  # by the exchange of the joins
     ids.destroy()
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("content").alias("x")), "a")
     both = left.join(sets.select(F.col("sid").alias("b"), F.col("content").alias("y")), "b").select("a", "b", "x", "y")
@@ -430,8 +430,8 @@ def jaccard_classes(
     classes = spark.sparkContext.broadcast(_order_classes(read.where("block is not null").select("block", "counts")))
     prefixes = _prefixes(docs, size, num, den, classes)
     classes.destroy()
-    counts = prefixes.select("sid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
-    shared = stored(counts.where("lo <> hi").select("key", "m"), "shared-columns")
+    counts = prefixes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m"))
+    shared = stored(counts.where("m > 1"), "shared-columns")  # a set that several tasks met counts as several; alone in a column it has no pair
     bits = spark.sparkContext.broadcast(_column_filter(shared))
     rows = stored(_rows(prefixes, bits), "shingle-rows")
     bits.destroy()
