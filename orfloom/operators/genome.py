@@ -111,14 +111,10 @@ def cut_out(df: DataFrame, tiled: DataFrame, key: list[str], columns: dict[str,
     def named(o: str) -> Column:
         return F.transform(f"__of_{o}", lambda x: F.struct(F.lit(o).alias("which"), F.greatest(x.start, F.lit(0)).alias("lo"), x.end.alias("hi")))
 
-    rows = df.select(*key, F.col(chrom).alias("chrom"), F.explode_outer(F.concat(*map(named, columns))).alias("x")).select(*key, "chrom", "x.*").where("lo < hi")
-    rows = rows.select("*", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("tile"))
-    met = rows.join(tiled.select("chrom", "tile", "bases"), ["chrom", "tile"])
-    begin = F.greatest(F.col("lo"), F.col("tile") * width)
-    piece = F.substr("bases", (begin - F.col("tile") * width + 1).cast("int"), (F.least(F.col("hi"), (F.col("tile") + 1) * width) - begin).cast("int"))
-    pieces = met.select(*key, "which", F.struct(begin.alias("at"), piece.alias("bases")).alias("p"))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["bases"]), "")  # of one transcript
-    found = pieces.groupBy(*(F.col(k).alias(f"__{k}") for k in key)).pivot("which", list(columns)).agg(whole)
+    rows = df.select(*key, F.col(chrom).alias("chrom"), F.explode(F.concat(*map(named, columns))).alias("x")).select(*key, "chrom", "x.*")
+    ends = [F.when(F.col("which") == o, F.col(c)).alias(f"__{c}_{o}") for o in columns for c in ("lo", "hi")]
+    found = _met(rows.select(*key, "chrom", *ends), tiled, key, {o: (f"__lo_{o}", f"__hi_{o}") for o in columns}, "chrom", width, "inner")
+    found = found.select(*(F.col(k).alias(f"__{k}") for k in key), *columns)
     same = F.lit(True)
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
@@ -131,6 +127,51 @@ def cut_out(df: DataFrame, tiled: DataFrame, key: list[str], columns: dict[str,
     )
 
 
+def _met(exons: DataFrame, tiled: DataFrame, by: list[str], spans: dict[str, tuple[str, str]], chrom: str, width: int, how: str) -> DataFrame:
+    """``by`` and, for each ``{out: (start, end)}``, the bases of its intervals in order of their starts, and ``__of_<out>``: how long they are together.
+
+    A row meets the tiles under all of its intervals once.
+    """
+    given = {o: F.col(a) < F.col(b) for o, (a, b) in spans.items()}
+    lo = [F.when(given[o], F.greatest(F.col(a), F.lit(0))) for o, (a, _) in spans.items()]
+    hi = [F.when(given[o], F.col(b)) for o, (_, b) in spans.items()]
+    lo, hi = (F.least(*lo), F.greatest(*hi)) if len(spans) > 1 else (lo[0], hi[0])
+    under = F.when(lo < hi, F.sequence(F.floor(lo / width), F.floor((hi - 1) / width)))
+    ends = list(dict.fromkeys(c for pair in spans.values() for c in pair))
+    rows = exons.select(*by, F.col(chrom).alias("chrom"), *ends, (F.posexplode_outer if how == "left" else F.posexplode)(under).alias("nr", "tile"))
+    met = rows.join(tiled.select("chrom", "tile", "bases"), ["chrom", "tile"], how)
+    first, pieces, lengths = F.col("tile") * width, {}, {}
+    for o, (a, b) in spans.items():
+        begin = F.greatest(F.col(a), first)
+        end = F.least(F.col(b), first + width)
+        piece = F.substr("bases", (begin - first + 1).cast("int"), (end - begin).cast("int"))
+        # in a tile, with bases; a null is not collected
+        pieces[f"__p_{o}"] = F.when(given[o] & (begin < end) & (begin - first < F.length("bases")), F.struct(F.col(a).alias("start"), begin.alias("at"), piece.alias("bases")))
+        lengths[f"__of_{o}"] = F.when(given[o] & (F.coalesce("nr", F.lit(0)) == 0), F.col(b) - F.col(a))
+    met = met.select(*by, *(c.alias(n) for n, c in (pieces | lengths).items()))
+    whole = (F.array_join(F.sort_array(F.collect_list(f"__p_{o}"))["bases"], "").alias(o) for o in spans)  # of one transcript
+    return met.groupBy(*by).agg(*whole, *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in lengths))
+
+
+def splice(exons: DataFrame, tiled: DataFrame, key: list[str], spans: dict[str, tuple[str, str]], keep: list[str] | None = None, every: bool = True, chrom: str = "chrom", strand: str = "strand", width: int = WIDTH) -> DataFrame:
+    """``cut_out`` of a table of one exon a row: ``key``, ``keep`` and, for each ``{out: (start, end)}``, its bases and ``<out>_missing``.
+
+    A row may hold several parts of its exon.  The exons of a key start at
+    different places; bases on which they overlap are read in each.  Chromosome,
+    strand and the columns ``keep`` are the same in all rows of a key.  Without
+    ``every``, keys of which no tile has a base are left out.  Where exons are
+    dealt by ``key`` already and tiles are few, no exon is shuffled or written.
+    """
+    found = _met(exons, tiled, [*key, *(keep or []), strand], spans, chrom, width, "left" if every else "inner")
+    found = found if every else found.where(" or ".join(f"length(`{o}`) > 0" for o in spans))
+    minus = F.col(strand) == "-"
+    return found.select(
+        *key, *(keep or []),
+        *(F.when(minus, reverse_complement(o)).otherwise(F.upper(o)).alias(o) for o in spans),
+        *((F.col(f"__of_{o}") - F.length(o)).alias(f"{o}_missing") for o in spans if every),
+    )
+
+
 def coding_parts(exons: str, start: str | Column, end: str | Column) -> Column:
     """The part of sorted exons inside the coding bounds."""
     s, e = ((F.col(x) if isinstance(x, str) else x).cast("long") for x in (start, end))
@@ -149,8 +190,18 @@ def index_with_sequences(df: DataFrame, tiled: DataFrame, key: str = "tis_id", f
     length or without bases nothing is checked.
     """
     frames = frames or {"orf_cds": ("orf_exons", "isoform_len"), "canonical_cds": ("canonical_orf_exons", "canonical_per_tid_length")}
-    out = cut_out(df, tiled, [key], {o: exons for o, (exons, _) in frames.items()}, width=width)
-    wrong = {o: (F.length(o) > 0) & F.col(n).isNotNull() & (F.length(o) != 3 * F.col(n)) for o, (_, n) in frames.items()}
-    checks = F.explode(F.array(*(F.struct(F.lit(o).alias("sequence"), F.coalesce(bad, F.lit(False)).alias("bad"), (F.length(o) > 0).alias("given")) for o, bad in wrong.items()))).alias("x")
-    report = out.select(checks).select("x.*").groupBy("sequence").agg(F.count_if("given").alias("n"), F.count_if("bad").alias("n_mismatched"))
+    return _checked(cut_out(df, tiled, [key], {o: exons for o, (exons, _) in frames.items()}, width=width), {o: n for o, (_, n) in frames.items()})
+
+
+def _checked(out: DataFrame, residues: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    wrong = {o: (F.length(o) > 0) & F.col(n).isNotNull() & (F.length(o) != 3 * F.col(n)) for o, n in residues.items()}
+    counts = [F.struct(F.lit(o).alias("sequence"), F.count_if(F.length(o) > 0).alias("n"), F.count_if(bad).alias("n_mismatched")) for o, bad in wrong.items()]
+    report = out.agg(F.array(*counts).alias("x")).select(F.explode("x").alias("x")).select("x.*")  # a row for each sequence, of an empty index too
     return out.withColumns({f"{o}_ok": ~bad for o, bad in wrong.items()}), report
+
+
+def index_exons(exons: DataFrame, tiled: DataFrame, key: str, frames: dict[str, tuple[str, str, str]], width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """``index_with_sequences`` of a table of one exon a row, with ``{out: (start, end, residues)}``; see ``splice``."""
+    spans, residues = {o: (a, b) for o, (a, b, _) in frames.items()}, {o: n for o, (*_, n) in frames.items()}
+    index, given = (splice(exons, tiled, [key], spans, list(dict.fromkeys(residues.values())), every=every, width=width) for every in (True, False))
+    return _checked(index, residues)[0], _checked(given, residues)[1]  # the report counts keys that have bases

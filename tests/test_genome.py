@@ -110,3 +110,61 @@ def test_report_of_an_index_computes_its_rows_once(spark):
     tiled = genome.tiles(spark.createDataFrame([("c", "ACGT" * 9)], "chrom string, s string"), "chrom", "s", 4)
     report = genome.index_with_sequences(sites, tiled, "tis_id", {"cds": ("exons", "residues")}, 4)[1]
     assert [tuple(r) for r in report.collect()] == [("cds", 10, 5)] and seen.value == 10
+
+
+def exon_rows(spark, seqs, rng):
+    """Exons of 60 transcripts, a row each with two parts, and the sequences and missing bases they should give."""
+    rows, want = [], {}
+    for i in range(60):
+        c, strand = rng.choice([*seqs, "absent"]), rng.choice("+-")
+        starts = sorted(rng.sample(range(-40, 1100), rng.randint(1, 4)))
+        exons = [(a, a + rng.choice([0, 3, 40, 300])) for a in starts]  # overlapping ones are read twice, an empty one is nothing
+        parts = [(a + 2, max(a + 2, b - 5)) for a, b in exons]
+        for name, spans in (("whole", exons), ("part", parts)):
+            plus = "".join(seqs.get(c, "")[max(a, 0) : max(b, 0)].upper() for a, b in spans)
+            want[i, name] = (plus[::-1].translate(TURNED) if strand == "-" else plus, sum(b - a for a, b in spans) - len(plus))
+        rows += [(i, c, strand, *x, *y, i % 50) for x, y in zip(exons, parts, strict=True)]
+        rows.append((i, c, strand, None, 7, 5, None, i % 50))
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, "tis_id long, chrom string, strand string, a long, b long, c long, d long, residues int"), want
+
+
+def test_spliced_rows_equal_slices(spark):
+    seqs, rng = chromosomes(), random.Random(11)
+    tiled = genome.tiles(spark.createDataFrame(list(seqs.items()), "chrom string, s string"), "chrom", "s", 50)
+    exons, want = exon_rows(spark, seqs, rng)
+    spans, old = {"whole": ("a", "b"), "part": ("c", "d")}, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (old, "-1"):  # tiles broadcast and shuffled
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            every = genome.splice(exons, tiled, ["tis_id"], spans, ["residues"], width=50).collect()
+            assert {(r["tis_id"], n): (r[n], r[f"{n}_missing"]) for r in every for n in spans} == want and len(every) == 60
+            assert all(r["residues"] == r["tis_id"] % 50 for r in every)
+            given = {r["tis_id"]: (r["whole"], r["part"]) for r in genome.splice(exons, tiled, ["tis_id"], spans, every=False, width=50).collect()}
+            assert given == {i: (want[i, "whole"][0], want[i, "part"][0]) for i in range(60) if want[i, "whole"][0] or want[i, "part"][0]}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_index_of_exon_rows_and_its_report(spark):
+    seqs, rng = chromosomes(), random.Random(12)
+    tiled = genome.tiles(spark.createDataFrame(list(seqs.items()), "chrom string, s string"), "chrom", "s", 50)
+    exons, want = exon_rows(spark, seqs, rng)
+    exons = exons.withColumn("residues", F.when(F.col("tis_id") % 2 == 0, F.lit(1)).otherwise(F.lit(len(want[1, "part"][0]) // 3)))
+    index, report = genome.index_exons(exons, tiled, "tis_id", {"part": ("c", "d", "residues")}, 50)
+    lengths = {i: len(want[i, "part"][0]) for i in range(60)}
+    wrong = {i for i, n in lengths.items() if n and n != 3 * (1 if i % 2 == 0 else lengths[1] // 3)}
+    assert [tuple(r) for r in report.collect()] == [("part", sum(1 for n in lengths.values() if n), len(wrong))]
+    assert {r["tis_id"] for r in index.where("not part_ok").collect()} == wrong and index.count() == 60
+    nothing = genome.index_exons(exons.where("false"), tiled, "tis_id", {"part": ("c", "d", "residues")}, 50)[1]
+    assert [tuple(r) for r in nothing.collect()] == [("part", 0, 0)]
+
+
+def test_exons_of_the_queries_are_shuffled_once(spark):
+    from orfloom.plans import sequence_queries
+
+    for query in (sequence_queries.orf_sequences, sequence_queries.genome_transcripts):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+    tiled = sequence_queries._genome(spark, "/root/testdata/sf0.01")
+    assert tiled.where("chrom >= 200").count() == 0 < tiled.count()  # only chromosomes that transcripts name
