@@ -127,8 +127,8 @@ def cut_out(df: DataFrame, tiled: DataFrame, key: list[str], columns: dict[str,
     )
 
 
-def _met(exons: DataFrame, tiled: DataFrame, by: list[str], spans: dict[str, tuple[str, str]], chrom: str, width: int, how: str) -> DataFrame:
-    """``by`` and, for each ``{out: (start, end)}``, the bases of its intervals in order of their starts, and ``__of_<out>``: how long they are together.
+def _met(exons: DataFrame, tiled: DataFrame, by: list[str], spans: dict[str, tuple[str, str]], chrom: str, width: int, how: str, order: str | None = None) -> DataFrame:
+    """``by`` and, for each ``{out: (start, end)}``, the bases of its intervals by ``order``, else by their starts, and ``__of_<out>``: how long they are together, null where all are null.
 
     A row meets the tiles under all of its intervals once.
     """
@@ -137,8 +137,8 @@ def _met(exons: DataFrame, tiled: DataFrame, by: list[str], spans: dict[str, tup
     hi = [F.when(given[o], F.col(b)) for o, (_, b) in spans.items()]
     lo, hi = (F.least(*lo), F.greatest(*hi)) if len(spans) > 1 else (lo[0], hi[0])
     under = F.when(lo < hi, F.sequence(F.floor(lo / width), F.floor((hi - 1) / width)))
-    ends = list(dict.fromkeys(c for pair in spans.values() for c in pair))
-    rows = exons.select(*by, F.col(chrom).alias("chrom"), *ends, (F.posexplode_outer if how == "left" else F.posexplode)(under).alias("nr", "tile"))
+    ends = list(dict.fromkeys([c for pair in spans.values() for c in pair] + [order] * (order is not None)))
+    rows = exons.select(*by, F.col(chrom).alias("chrom"), *ends, (F.posexplode_outer if how == "left" else F.posexplode)(under).alias("__nth", "tile"))
     met = rows.join(tiled.select("chrom", "tile", "bases"), ["chrom", "tile"], how)
     first, pieces, lengths = F.col("tile") * width, {}, {}
     for o, (a, b) in spans.items():
@@ -146,28 +146,29 @@ def _met(exons: DataFrame, tiled: DataFrame, by: list[str], spans: dict[str, tup
         end = F.least(F.col(b), first + width)
         piece = F.substr("bases", (begin - first + 1).cast("int"), (end - begin).cast("int"))
         # in a tile, with bases; a null is not collected
-        pieces[f"__p_{o}"] = F.when(given[o] & (begin < end) & (begin - first < F.length("bases")), F.struct(F.col(a).alias("start"), begin.alias("at"), piece.alias("bases")))
-        lengths[f"__of_{o}"] = F.when(given[o] & (F.coalesce("nr", F.lit(0)) == 0), F.col(b) - F.col(a))
+        pieces[f"__p_{o}"] = F.when(given[o] & (begin < end) & (begin - first < F.length("bases")), F.struct(F.col(order or a).alias("nr"), begin.alias("at"), piece.alias("bases")))
+        lengths[f"__of_{o}"] = F.when(given[o].isNotNull() & (F.coalesce("__nth", F.lit(0)) == 0), F.greatest(F.col(b) - F.col(a), F.lit(0)))
     met = met.select(*by, *(c.alias(n) for n, c in (pieces | lengths).items()))
     whole = (F.array_join(F.sort_array(F.collect_list(f"__p_{o}"))["bases"], "").alias(o) for o in spans)  # of one transcript
-    return met.groupBy(*by).agg(*whole, *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in lengths))
+    return met.groupBy(*by).agg(*whole, *(F.sum(n).alias(n) for n in lengths))
 
 
-def splice(exons: DataFrame, tiled: DataFrame, key: list[str], spans: dict[str, tuple[str, str]], keep: list[str] | None = None, every: bool = True, chrom: str = "chrom", strand: str = "strand", width: int = WIDTH) -> DataFrame:
+def splice(exons: DataFrame, tiled: DataFrame, key: list[str], spans: dict[str, tuple[str, str]], keep: list[str] | None = None, every: bool = True, chrom: str = "chrom", strand: str = "strand", width: int = WIDTH, order: str | None = None) -> DataFrame:
     """``cut_out`` of a table of one exon a row: ``key``, ``keep`` and, for each ``{out: (start, end)}``, its bases and ``<out>_missing``.
 
-    A row may hold several parts of its exon.  The exons of a key start at
-    different places; bases on which they overlap are read in each.  Chromosome,
+    A row may hold several parts of its exon.  Exons are read by ``order``, else
+    by their starts, which must then differ in a key; bases on which they overlap
+    are read in each.  Of a key whose intervals are all null, so is the sequence.  Chromosome,
     strand and the columns ``keep`` are the same in all rows of a key.  Without
     ``every``, keys of which no tile has a base are left out.  Where exons are
     dealt by ``key`` already and tiles are few, no exon is shuffled or written.
     """
-    found = _met(exons, tiled, [*key, *(keep or []), strand], spans, chrom, width, "left" if every else "inner")
+    found = _met(exons, tiled, [*key, *(keep or []), strand], spans, chrom, width, "left" if every else "inner", order)
     found = found if every else found.where(" or ".join(f"length(`{o}`) > 0" for o in spans))
-    minus = F.col(strand) == "-"
+    minus, known = F.col(strand) == "-", {o: F.when(F.col(f"__of_{o}").isNotNull(), F.col(o)) for o in spans}
     return found.select(
         *key, *(keep or []),
-        *(F.when(minus, reverse_complement(o)).otherwise(F.upper(o)).alias(o) for o in spans),
+        *(F.when(minus, reverse_complement(x)).otherwise(F.upper(x)).alias(o) for o, x in known.items()),
         *((F.col(f"__of_{o}") - F.length(o)).alias(f"{o}_missing") for o in spans if every),
     )
 
@@ -200,8 +201,8 @@ def _checked(out: DataFrame, residues: dict[str, str]) -> tuple[DataFrame, DataF
     return out.withColumns({f"{o}_ok": ~bad for o, bad in wrong.items()}), report
 
 
-def index_exons(exons: DataFrame, tiled: DataFrame, key: str, frames: dict[str, tuple[str, str, str]], width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+def index_exons(exons: DataFrame, tiled: DataFrame, key: str, frames: dict[str, tuple[str, str, str]], width: int = WIDTH, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``index_with_sequences`` of a table of one exon a row, with ``{out: (start, end, residues)}``; see ``splice``."""
     spans, residues = {o: (a, b) for o, (a, b, _) in frames.items()}, {o: n for o, (*_, n) in frames.items()}
-    index, given = (splice(exons, tiled, [key], spans, list(dict.fromkeys(residues.values())), every=every, width=width) for every in (True, False))
+    index, given = (splice(exons, tiled, [key], spans, list(dict.fromkeys(residues.values())), every=every, width=width, order=order) for every in (True, False))
     return _checked(index, residues)[0], _checked(given, residues)[1]  # the report counts keys that have bases

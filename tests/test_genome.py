@@ -160,6 +160,14 @@ def test_index_of_exon_rows_and_its_report(spark):
     assert [tuple(r) for r in nothing.collect()] == [("part", 0, 0)]
 
 
+def test_spliced_rows_go_by_their_order_and_nulls_stay_null(spark):
+    tiled = genome.tiles(spark.createDataFrame([("c", "ACGTTGCAAC")], "chrom string, s string"), "chrom", "s", 4)
+    rows = [(1, "c", "+", 2, 0, 6), (1, "c", "+", 1, 0, 9), (2, "c", "-", 1, None, 3), (3, "c", "+", 1, 4, 4), (3, "c", "+", 2, 3, None)]
+    exons = spark.createDataFrame(rows, "k long, chrom string, strand string, nr int, a long, b long")
+    got = genome.splice(exons, tiled, ["k"], {"s": ("a", "b")}, width=4, order="nr")
+    assert sorted(map(tuple, got.collect())) == [(1, "ACGTTGCAA" + "ACGTTG", 0), (2, None, None), (3, "", 0)]
+
+
 def test_exons_of_the_queries_are_shuffled_once(spark):
     from orfloom.plans import sequence_queries
 
