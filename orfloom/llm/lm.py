@@ -13,8 +13,9 @@ for each token:
 
 The filter is broadcast, and a scorer probes a bigram with level 1, 2, ... until
 the first miss.  Only if all segments together pass ``BROADCAST_BYTES`` the
-probes travel instead: chunks send their distinct bigrams to the segments,
-which send the levels back.  Both ways give the same scores.
+probes travel instead: chunks send their distinct bigrams to ranges of segments,
+one row for each range, which send the levels back; a range's task holds its
+segments and probes for many chunks at once.  Both ways give the same scores.
 
 The probability is the bigram's quantised count, smoothed with the unigram by a
 weight that depends on the count of the word before.
@@ -39,6 +40,8 @@ SEND_TOKENS = 1_000_000
 BLOCK_KEYS = 1_000_000
 #: Bits of the filter for each entry, probes for each level, and bytes of a filter that is broadcast.
 ENTRY_BITS, PROBES, BROADCAST_BYTES = 10, 4, 128 << 20
+#: Bytes of a range of segments that travelling probes meet in one task, at most, and ranges, at least, as far as there are blocks.
+RANGE_BYTES, RANGES = 8 << 20, 64
 #: Pseudo-count of the unigram behind each word.
 PRIOR = 300.0
 _START, _END = np.uint64(0x51A27B1D00000001), np.uint64(0x51A27B1D00000002)
@@ -119,6 +122,11 @@ def _cuts(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(np.diff(cut)), cut
 
 
+def _runs(data: bytes, starts: np.ndarray, ends: np.ndarray, width: int) -> list[bytes]:
+    """The keys of each run, ``width`` bytes a key."""
+    return [data[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
+
+
 _PIECES = "chunk long, lo long, width int, counts binary"
 
 
@@ -138,9 +146,9 @@ def _word_counts(streams: DataFrame, blocks: int) -> DataFrame:
         for c in _chunks_of(batches):
             counts = np.bincount(c.tokens[c.taught()], minlength=len(c.words)).astype(np.uint32)
             some, cut = _cuts(c.words, blocks)
-            parts = [slice(cut[b], cut[b + 1]) for b in some]
+            parts = [_binaries(_runs(x.tobytes(), cut[some], cut[some + 1], x.itemsize)) for x in (c.words, counts)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), _binaries([c.words[p].tobytes() for p in parts]), _binaries([counts[p].tobytes() for p in parts])],
+                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), *parts],
                 names=["block", "chunk", "lo", "words", "counts"],
             )
 
@@ -194,12 +202,10 @@ def _filter_segments(streams: DataFrame, blocks: int) -> DataFrame:
     def message(held: list[np.ndarray]):
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
         some, cut = _cuts(keys, blocks)
-        once, often, times = [], [], []
-        for b in some:
-            k, c = keys[cut[b] : cut[b + 1]], counts[cut[b] : cut[b + 1]]
-            once.append(_pack(k[c == 1]))
-            often.append(_pack(k[c > 1]))
-            times.append(c[c > 1].astype(np.uint32).tobytes())
+        more = np.concatenate([[0], np.cumsum(counts > 1)])[cut]  # keys before each cut that were counted more than once
+        once = _runs(_pack(keys[counts == 1]), (cut - more)[some], (cut - more)[some + 1], 5)
+        often = _runs(_pack(keys[counts > 1]), more[some], more[some + 1], 5)
+        times = _runs(counts[counts > 1].astype(np.uint32).tobytes(), more[some], more[some + 1], 4)
         return pa.RecordBatch.from_arrays([pa.array(some), *map(_binaries, (once, often, times))], names=["block", "once", "often", "times"])
 
     def send(batches):
@@ -259,37 +265,64 @@ class LogFrequencyFilter:
         """Level of each bigram (its 40 bits are enough): probes with 1, 2, ... up to the first miss; 0: not held."""
         found = np.zeros(len(bigrams), dtype=np.int64)
         live = np.flatnonzero(self.size[block] > 0)
-        keys, size, start = (bigrams & _KEY), self.size[block], self.start[block]
+        keys, size, start = bigrams[live] & _KEY, self.size[block[live]], self.start[block[live]]
         level = 0
         while len(live):
             level += 1
             for probe in range(PROBES):
-                at = _places(keys[live], level, probe, size[live])
-                live = live[(self.data[start[live] + (at >> 3)] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)]
+                at = _places(keys, level, probe, size)
+                hit = np.flatnonzero(self.data[start + (at >> 3)] >> (7 - (at & 7)).astype(np.uint8) & 1)
+                if len(hit) < len(live):
+                    live, keys, size, start = live[hit], keys[hit], size[hit], start[hit]
             found[live] = level
         return found
 
 
-def _asked_levels(streams: DataFrame, segments: DataFrame, blocks: int) -> DataFrame:
-    """``(chunk, lo, width, counts)``: levels of the chunk's sorted distinct bigrams from place ``lo``, asked of the segments where they lie."""
+def _asked_levels(streams: DataFrame, segments: DataFrame, blocks: int, per: int) -> DataFrame:
+    """``(chunk, lo, width, counts)``: levels of the chunk's sorted distinct bigrams from place ``lo``, asked of the segments where they lie.
+
+    ``per`` blocks are a range, and a range a task.  A chunk asks a range with one row, so rows do not grow with the
+    blocks; ``sizes`` says how many of its keys each block has.  Segments come first, and what is asked streams past them.
+    """
+    ranges = -(-blocks // per)
 
     def ask(batches):
         for c in _chunks_of(batches):
-            keys = np.unique(c.bigrams())
-            some, cut = _cuts(keys, blocks)
+            keys = np.sort(c.bigrams())
+            keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]  # np.unique without an inverse hashes, several times as slow
+            _, cut = _cuts(keys, blocks)
+            cut = np.concatenate([cut, np.full(ranges * per - blocks, cut[-1])])
+            start, sizes = cut[::per], np.diff(cut).astype(np.uint32)
+            some = np.flatnonzero(np.diff(start))
+            parts = (_runs(sizes.tobytes(), some * per, (some + 1) * per, 4), _runs(_pack(keys), start[some], start[some + 1], 5))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(cut[some]), _binaries([_pack(keys[cut[b] : cut[b + 1]]) for b in some])], names=["block", "chunk", "lo", "keys"]
+                [pa.array(some), pa.array(np.full(len(some), c.name)), pa.array(start[some]), *map(_binaries, parts)], names=["range", "chunk", "lo", "sizes", "keys"]
             )
 
-    def answer(segment: pa.Table, asked: pa.Table) -> pa.Table:
-        keys = [_unpack([x]) for x in asked["keys"].to_pylist()]
-        held = LogFrequencyFilter(blocks, [(r["block"], r["bits"], r["filter"]) for r in segment.to_pylist()])
-        block = asked["block"].to_pylist()[:1] * max(map(len, keys), default=0)
-        found = [held.levels_in(np.array(block[: len(k)], np.int64), k).astype(np.uint8).tobytes() for k in keys]
-        return _pieces(asked["chunk"].to_pylist(), asked["lo"].to_pylist(), [1] * len(keys), found)
+    def answer(batches):
+        segments, held = [], None
+        for batch in batches:
+            n = batch.column("chunk").null_count
+            segments += [(r["block"], r["bits"], r["filter"]) for r in batch.slice(0, n).to_pylist()]
+            asked = batch.slice(n)
+            if not asked.num_rows:
+                continue
+            held = held or LogFrequencyFilter(blocks, segments)
+            segments = []
+            sizes = np.frombuffer(b"".join(asked.column("sizes").to_pylist()), np.uint32).reshape(-1, per)
+            block = np.tile(np.arange(per), len(sizes)) + np.repeat(asked.column("range").to_numpy() * per, per)
+            names = _unpack(asked.column("keys").to_pylist()) | np.repeat(block.astype(np.uint64) << np.uint64(40), sizes.ravel())
+            names, at = np.unique(names, return_inverse=True)
+            level = held.levels_in((names >> np.uint64(40)).astype(np.int64), names).astype(np.uint8)[at]
+            end = np.cumsum(sizes.sum(axis=1, dtype=np.int64))
+            found = _runs(level.tobytes(), np.concatenate([[0], end[:-1]]), end, 1)
+            yield from _pieces(asked.column("chunk").to_pylist(), asked.column("lo").to_pylist(), [1] * len(found), found).to_batches()
+        give_back()
 
-    asked = streams.mapInArrow(ask, "block long, chunk long, lo long, keys binary")
-    return stored(segments.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(answer, _PIECES), "bigram-levels")
+    asked = streams.mapInArrow(ask, "range long, chunk long, lo long, sizes binary, keys binary")
+    met = segments.withColumn("range", F.floor(F.col("block") / per)).unionByName(asked, allowMissingColumns=True)
+    met = met.repartitionById(ranges, F.col("range").cast("int")).sortWithinPartitions(F.col("chunk").asc_nulls_first())
+    return stored(met.mapInArrow(answer, _PIECES), "bigram-levels")
 
 
 def _joined(streams: DataFrame, replies: DataFrame, name: str) -> DataFrame:
@@ -300,9 +333,9 @@ def _joined(streams: DataFrame, replies: DataFrame, name: str) -> DataFrame:
 
 def _gathered(pieces: pa.Scalar, size: int) -> np.ndarray:
     out = np.zeros(size, dtype=np.int64)
-    for p in pieces.values:
-        got = np.frombuffer(p["counts"].as_buffer(), f"<u{p['width'].as_py()}")
-        out[p["lo"].as_py() : p["lo"].as_py() + len(got)] = got
+    for lo, width, counts in zip(*(pieces.values.field(n).to_pylist() for n in ("lo", "width", "counts")), strict=True):
+        got = np.frombuffer(counts, f"<u{width}")
+        out[lo : lo + len(got)] = got
     return out
 
 
@@ -349,12 +382,14 @@ def lm_scores(df: DataFrame, is_train: Column, doc_id: str = "doc_id", text: str
     segments = _filter_segments(streams, pair_blocks)
     told = _joined(streams, counts, "counts")
     shipped = None
-    if (segments.agg(F.sum(F.octet_length("filter"))).first()[0] or 0) <= broadcast_bytes:
+    held = segments.agg(F.sum(F.octet_length("filter"))).first()[0] or 0
+    if held <= broadcast_bytes:
         parts = [(r["block"], r["bits"], bytes(r["filter"])) for r in segments.toLocalIterator()]  # at most broadcast_bytes in all
         shipped = spark.sparkContext.broadcast(LogFrequencyFilter(pair_blocks, parts))
         del parts
     else:
-        told = _joined(told, _asked_levels(streams, segments, pair_blocks), "levels")
+        per = max(1, min(pair_blocks * RANGE_BYTES // held, pair_blocks // RANGES))
+        told = _joined(told, _asked_levels(streams, segments, pair_blocks, per), "levels")
     found = stored(_score(told, shipped, prior, distinct, total, starts), "lm-scores")  # now, so that workers let the filter go
     if shipped is not None:
         shipped.destroy()
@@ -372,12 +407,8 @@ def _score(told: DataFrame, shipped, prior: float, distinct: int, total: int, st
             before = np.empty(len(c.tokens), dtype=np.int64)
             before[1:] = count[c.tokens[:-1]]
             before[c.first] = starts
-            keys = c.bigrams()
-            if shipped is not None:
-                level = shipped.value.levels(keys)
-            else:
-                names, at = np.unique(keys, return_inverse=True)
-                level = _gathered(row["levels"], len(names))[at]
+            names, at = np.unique(c.bigrams(), return_inverse=True)
+            level = (shipped.value.levels(names) if shipped is not None else _gathered(row["levels"], len(names)))[at]
             held = np.minimum(least_count(level), before)
             score = np.log10((held + prior * p) / (before + prior))
             known = (count > 0)[c.tokens].astype(np.int64)

@@ -58,6 +58,27 @@ def test_scores(spark, monkeypatch, broadcast_bytes):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=0.02)
 
 
+def test_travelling_probes_do_not_grow_with_blocks(spark, monkeypatch):
+    """A chunk asks ranges of blocks, not blocks: rows grow as the text and not as its square; scores are those of the broadcast filter."""
+    written = {}
+    real = lm.stored
+    monkeypatch.setattr(lm, "stored", lambda df, name: written.setdefault(name, real(df, name)))
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(lm, "BLOCK_KEYS", 20)
+    monkeypatch.setattr(lm, "RANGES", 3, raising=False)
+    rng = random.Random(23)
+    # long runs of one pair have high levels; the held-out texts have pairs that no segment has
+    docs = [(i, " ".join(rng.choice(["a b a b a b", f"w{rng.randint(0, 200)}", f"x{i}"]) for _ in range(30))) for i in range(150)]
+    df = spark.createDataFrame([*docs, (None, None), (500, "")], "doc_id long, text string").repartition(3)
+    shipped = {r["doc_id"]: r for r in lm_scores(df, F.expr(TRAIN)).collect()}
+    written.clear()
+    asked = {r["doc_id"]: r for r in lm_scores(df, F.expr(TRAIN), broadcast_bytes=0).collect()}
+    assert asked == shipped and len(asked) == 152
+    chunks, blocks = written["token-streams"].count(), written["bigram-filter"].count()
+    assert chunks > 20 and blocks > 100
+    assert written["bigram-levels"].count() <= 4 * chunks
+
+
 def test_nothing_to_learn_or_score(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert lm_scores(df.where("false"), F.expr(TRAIN)).count() == 0
